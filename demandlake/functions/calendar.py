@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from demandlake.contracts import DATE_FORMAT
 
 _ISO_DAY = r"^\d{4}-\d{2}-\d{2}([T ].*)?$"
+_COMPACT_DAY = r"^\d{8}$"
 
 
 def contract_date(text: Column) -> Column:
@@ -18,10 +19,14 @@ def contract_date(text: Column) -> Column:
 def iso_date(text: Column) -> Column:
     """The day of an ISO date or date-time text, blanks around it ignored; anything else is NULL.
 
-    The pattern keeps out partial dates (`2025`), which a cast would accept.
+    The day is the one written in the text, whatever its offset. The patterns keep out partial
+    dates (`2025`), which a cast would accept.
     """
     trimmed = F.trim(text)
-    return F.when(trimmed.rlike(_ISO_DAY), trimmed.substr(1, 10).try_cast("date"))
+    readable = trimmed.rlike(_ISO_DAY) & trimmed.try_cast("timestamp").isNotNull()
+    return F.when(readable, trimmed.substr(1, 10).try_cast("date")).when(
+        trimmed.rlike(_COMPACT_DAY), F.try_to_date(trimmed, "yyyyMMdd")
+    )
 
 
 def calendar_columns(day: Column) -> list[Column]:
