@@ -79,17 +79,15 @@ def dim_supplier(silver: DataFrame) -> DataFrame:
     return _distinct_values(F.col("supplier"), "SupplierBPNL", silver)
 
 
-def category_code(silver: DataFrame) -> Column:
-    """The category under either spelling; an empty one counts as missing."""
-    code = F.nullif(F.col("demandCategoryCode"), F.lit(""))
-    # Compare exact names: column resolution alone would not tell the two spellings apart.
-    if "DemandCategoryCode" in silver.columns and "demandCategoryCode" in silver.columns:
-        raise ValueError("rename one of DemandCategoryCode / demandCategoryCode before the gold step")
-    return code
+def category_code(spellings: tuple[str, ...]) -> Column:
+    """The category code out of the first column that holds one; an empty text counts as missing."""
+    return F.coalesce(*[F.nullif(F.col(name), F.lit("")) for name in spellings])
 
 
-def dim_demand_category(silver: DataFrame) -> DataFrame:
-    return _distinct_values(category_code(silver), "DemandCategoryCode", silver)
+def dim_demand_category(
+    silver: DataFrame, spellings: tuple[str, ...] = ("demandCategoryCode",)
+) -> DataFrame:
+    return _distinct_values(category_code(spellings), "DemandCategoryCode", silver)
 
 
 def dim_time(silver: DataFrame, column: str = "pointInTime") -> DataFrame:
@@ -106,14 +104,16 @@ def dim_time(silver: DataFrame, column: str = "pointInTime") -> DataFrame:
     return days.select(*calendar_columns(F.col("day")))
 
 
-def fact_material_demand(silver: DataFrame) -> DataFrame:
+def fact_material_demand(
+    silver: DataFrame, spellings: tuple[str, ...] = ("demandCategoryCode",)
+) -> DataFrame:
     """Demand facts, one per silver row."""
     return silver.select(
         F.col("materialDemandId").alias("DemandID"),
         F.col("materialNumberCustomer").alias("MaterialNumberCustomer"),
         F.col("customer").alias("CustomerBPNL"),
         F.col("supplier").alias("SupplierBPNL"),
-        category_code(silver).alias("DemandCategoryCode"),
+        category_code(spellings).alias("DemandCategoryCode"),
         F.col("pointInTime").cast("date").alias("PointInTime"),
         F.col("demand").alias("DemandQuantity"),
         F.col("materialDemandIsInactive").alias("MaterialDemandIsInactive"),

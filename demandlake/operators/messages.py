@@ -25,9 +25,19 @@ def of_topic(messages: DataFrame, topic: str) -> DataFrame:
     return messages.filter(F.col("topic") == topic)
 
 
-def _with_record(messages: DataFrame, topic: str) -> DataFrame:
+def parse_with_flag(messages: DataFrame, topic: str, keep: list[str] | None = None) -> DataFrame:
+    """The messages of one topic, parsed: `document`, whether it is `readable`, and the columns in `keep`."""
     record = jv.strict_record(F.col("value"), topic_of(topic).message_schema)
-    return messages.withColumn("record", record)
+    kept = keep or []
+    return (
+        of_topic(messages, topic)
+        .select(*kept, record.alias("record"))
+        .select(
+            *kept,
+            jv.record_value(F.col("record")).alias("document"),
+            jv.record_ok(F.col("record")).alias("readable"),
+        )
+    )
 
 
 def parse_messages(messages: DataFrame, topic: str) -> DataFrame:
@@ -36,10 +46,7 @@ def parse_messages(messages: DataFrame, topic: str) -> DataFrame:
     A message that is not one JSON object fitting the topic's schema is left out here and shows
     up in `quarantine_messages`; together the two cover every message exactly once.
     """
-    parsed = _with_record(of_topic(messages, topic).select("value"), topic)
-    return parsed.filter(jv.record_ok(F.col("record"))).select(
-        jv.record_value(F.col("record")).alias("document")
-    ).select("document.*")
+    return parse_with_flag(messages, topic).filter("readable").select("document.*")
 
 
 def unreadable_reason(text: Column) -> Column:
@@ -54,9 +61,10 @@ def unreadable_reason(text: Column) -> Column:
 
 def quarantine_messages(messages: DataFrame, topic: str) -> DataFrame:
     """The messages of one topic that cannot be read: `(topic, value, reason)`, text unchanged."""
-    parsed = _with_record(of_topic(messages, topic).select("value", "topic"), topic)
-    return parsed.filter(~jv.record_ok(F.col("record"))).select(
-        "topic", "value", unreadable_reason(F.col("value")).alias("reason")
+    return (
+        parse_with_flag(messages, topic, keep=["topic", "value"])
+        .filter("NOT readable")
+        .select("topic", "value", unreadable_reason(F.col("value")).alias("reason"))
     )
 
 
