@@ -40,9 +40,14 @@ def _write(frame: DataFrame, location: str, partitions: list[str]) -> None:
 # --- Batch tables -------------------------------------------------------------------------------
 
 
-def append_batch(frame: DataFrame, location: str, batch_id: int, partitions: list[str] | None = None) -> None:
-    """Write one micro-batch of a table; writing it again replaces it."""
-    _write(frame, f"{location}/{_BATCH}={batch_id}", partitions or [])
+def append_batch(
+    frame: DataFrame, location: str, batch_id: int, partitions: list[str] | None = None
+) -> DataFrame:
+    """Write one micro-batch of a table and return it as stored; writing it again replaces it."""
+    target = f"{location}/{_BATCH}={batch_id}"
+    _write(frame, target, partitions or [])
+    # The schema is given, as a batch without rows may have left no file to take it from.
+    return frame.sparkSession.read.schema(frame.schema).parquet(target)
 
 
 def read_batch(spark: SparkSession, location: str, batch_id: int) -> DataFrame:
@@ -89,9 +94,13 @@ def extend_distinct(frame: DataFrame, location: str, version: int, keep: int | N
     if base is not None:
         frame = read_version(spark, location, base).unionByName(frame).distinct()
     _write(frame, f"{location}/{_VERSION}={version}", [])
-    if keep is not None:
-        for old in versions(spark, location)[:-keep]:
-            delete_folder(spark, f"{location}/{_VERSION}={old}")
+    for old in _expired(spark, location, keep):
+        delete_folder(spark, f"{location}/{_VERSION}={old}")
+
+
+def _expired(spark: SparkSession, location: str, keep: int | None) -> list[int]:
+    """Versions beyond the newest `keep`; the last two stay, as a retry starts from the one before."""
+    return [] if keep is None else versions(spark, location)[: -max(keep, 2)]
 
 
 # --- Dimensions ---------------------------------------------------------------------------------
@@ -119,9 +128,8 @@ def merge_dimension(
     merged.withColumn(_STATE, state).write.mode("overwrite").partitionBy(_STATE).parquet(
         f"{location}/{_VERSION}={version}"
     )
-    if keep is not None:
-        for old in versions(spark, location)[:-keep]:
-            delete_folder(spark, f"{location}/{_VERSION}={old}/{_STATE}={_OPEN}")
+    for old in _expired(spark, location, keep):
+        delete_folder(spark, f"{location}/{_VERSION}={old}/{_STATE}={_OPEN}")
 
 
 def adopt_dimension(legacy: DataFrame, location: str, spec: DimSpec, version: int = 0) -> None:
