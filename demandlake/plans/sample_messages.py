@@ -201,7 +201,7 @@ def comment_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id",
         F.concat(F.when(event % 2 == 1, "urn:uuid:").otherwise(""), _uuid(event.cast("string"))).alias("commentId"),
         _uuid(F.concat(F.lit("object-"), F.col("user_id").cast("string"))).alias("objectId"),
-        F.concat(F.lit("urn:samm:example:"), "event_type").alias("objectType"),
+        F.concat(F.lit("urn:example:"), "event_type").alias("objectType"),
         partner("BPNL", F.col("user_id")).alias("customer"),
         partner("BPNL", event % 1000).alias("supplier"),
         F.concat(F.lit("user"), F.col("user_id"), F.lit("@example.com")).alias("author"),
