@@ -12,15 +12,20 @@ from pyspark.sql import functions as F
 _END = "end of document"
 
 
-def wrapped_variant(text: Column) -> Column:
-    """Parse the text between `[` and a closing marker; NULL if that is no valid JSON."""
-    return F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{_END}"]')))
+def strict_variant(text: Column) -> Column:
+    """The text as a variant, or NULL if it is not exactly one JSON value.
+
+    The text is parsed once, between `[` and a closing marker; the filter over the one-element
+    array drops the result if the marker is not where it belongs.
+    """
+    wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{_END}"]')))
+    closed = F.filter(F.array(wrapped), lambda value: F.try_variant_get(value, "$[1]", "string") == _END)
+    return F.try_variant_get(F.get(closed, F.lit(0)), "$[0]", "variant")
 
 
-def unwrap_variant(wrapped: Column) -> Column:
-    """The document inside `wrapped_variant`, or NULL if it was not exactly one JSON value."""
-    closed = F.try_variant_get(wrapped, "$[1]", "string") == _END
-    return F.when(closed, F.try_variant_get(wrapped, "$[0]", "variant"))
+def starts_with(text: Column, bracket: str) -> Column:
+    """Whether the first character of a JSON text that is not blank is the given bracket."""
+    return F.ltrim(text, F.lit(" \t\r\n")).startswith(bracket)
 
 
 def member(value: Column, name: str) -> Column:

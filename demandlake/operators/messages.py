@@ -51,10 +51,9 @@ def parse_messages(messages: DataFrame, topic: str) -> DataFrame:
 
 def unreadable_reason(text: Column) -> Column:
     """Why a message that does not fit its schema was put aside."""
-    document = jv.unwrap_variant(jv.wrapped_variant(text))
     return (
-        F.when(document.isNull(), MALFORMED)
-        .when(~jv.is_object(document), NOT_AN_OBJECT)
+        F.when(jv.strict_variant(text).isNull(), MALFORMED)
+        .when(~jv.starts_with(text, "{"), NOT_AN_OBJECT)
         .otherwise(CONTRACT_MISMATCH)
     )
 

@@ -36,34 +36,29 @@ def dispatch_requests(requests: DataFrame) -> DataFrame:
 def normalise_requests(requests: DataFrame) -> DataFrame:
     """Add `shape` and `items`: a single object becomes a list of one, a list stays as it is."""
     document = F.col("document")
-    as_list = jv.elements(document)
-    # One select per step: each parsed value is referenced several times by the next one.
+    # One select per step, as each parsed value is referenced several times by the next one.
     return (
         dispatch_requests(requests)
-        .withColumn("wrapped", jv.wrapped_variant(F.col("body")))
-        .withColumn("document", jv.unwrap_variant(F.col("wrapped")))
-        .withColumn("elements", as_list)
+        .withColumn("document", jv.strict_variant(F.col("body")))
         .withColumn(
             "shape",
             F.when(document.isNull(), MALFORMED)
-            .when(F.col("elements").isNotNull(), LIST)
-            .when(jv.is_object(document), OBJECT)
+            .when(jv.starts_with(F.col("body"), "["), LIST)
+            .when(jv.starts_with(F.col("body"), "{"), OBJECT)
             .otherwise(SCALAR),
         )
         .withColumn(
             "items",
-            F.when(F.col("shape") == LIST, F.col("elements")).when(
-                F.col("shape") == OBJECT, F.array(document)
-            ),
+            F.when(F.col("shape") == LIST, jv.elements(document)).when(F.col("shape") == OBJECT, F.array(document)),
         )
-        .drop("wrapped", "document", "elements")
+        .drop("document")
     )
 
 
 def malformed_requests(requests: DataFrame) -> DataFrame:
     """Requests whose body is not valid JSON, or neither an object nor a list."""
     normal = normalise_requests(requests)
-    return normal.filter(F.col("items").isNull()).select("request_id", "endpoint", "shape")
+    return normal.filter(F.col("shape").isin(MALFORMED, SCALAR)).select("request_id", "endpoint", "shape")
 
 
 def _error(field: str, item: Column | int, message: str) -> Column:
@@ -129,12 +124,15 @@ def item_errors(item: Column, rules: tuple[FieldRule, ...]) -> Column:
     )
 
 
+def _errors_per_item(rules: tuple[FieldRule, ...]) -> Column:
+    return F.transform(F.col("items"), lambda item: item_errors(item, rules))
+
+
 def check_requests(requests: DataFrame) -> DataFrame:
     """Normalised requests plus `errors`: per item, in order, the list of its violations."""
     errors = F.lit(None).cast(f"array<{_NO_ERRORS}>")
-    for topic, rules in CONTRACTS.items():
-        per_item = F.transform(F.col("items"), lambda item, rules=rules: item_errors(item, rules))
-        errors = F.when(F.col("topic") == topic, per_item).otherwise(errors)
+    for topic in CONTRACTS:
+        errors = F.when(F.col("topic") == topic, _errors_per_item(CONTRACTS[topic])).otherwise(errors)
     return normalise_requests(requests).withColumn("errors", errors)
 
 
@@ -151,7 +149,8 @@ def validation_errors(requests: DataFrame) -> DataFrame:
     )
     return (
         check_requests(requests)
-        .select("request_id", "endpoint", F.posexplode("errors").alias("index", "item_errors"))
+        # The outer form keeps Spark from testing, and so computing, the errors once more before.
+        .select("request_id", "endpoint", F.posexplode_outer("errors").alias("index", "item_errors"))
         .select("request_id", "endpoint", "index", F.explode("item_errors").alias("error"))
         .select(
             "request_id",
@@ -173,7 +172,7 @@ def dispose_requests(requests: DataFrame) -> DataFrame:
     failed = F.size(F.filter("errors", lambda errors: F.size(errors) > 0))
     status = (
         F.when(F.col("topic").isNull(), 404)
-        .when(F.col("items").isNull(), 400)
+        .when(F.col("shape").isin(MALFORMED, SCALAR), 400)
         .when((F.col("failed") > 0) & (F.col("failed") < F.col("total")), 400)
         .when(F.col("failed") > 0, 422)
         .when(F.col("total") == 1, 201)

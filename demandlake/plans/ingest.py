@@ -16,17 +16,25 @@ from demandlake.sources import archive, tables, topics
 from demandlake.streaming.archiver import start_archiver
 
 
+def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sample.stored(spark, sample.comment_messages(spark, sf_dir).select("topic", "value"), "messages")
+
+
+def _requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sample.stored(spark, sample.ingest_requests(spark, sf_dir), "requests")
+
+
 def decode_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = sample.comment_messages(spark, sf_dir).select("topic", F.col("value").cast("binary").alias("value"))
     return msg.decode_messages(raw)
 
 
 def parse_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return msg.parse_messages(sample.comment_messages(spark, sf_dir), COMMENTS_TOPIC)
+    return msg.parse_messages(_messages(spark, sf_dir), COMMENTS_TOPIC)
 
 
 def quarantine_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return msg.quarantine_all(sample.comment_messages(spark, sf_dir))
+    return msg.quarantine_all(_messages(spark, sf_dir))
 
 
 def route_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,30 +92,30 @@ def read_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def normalise_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    normal = val.normalise_requests(sample.ingest_requests(spark, sf_dir))
+    normal = val.normalise_requests(_requests(spark, sf_dir))
     return normal.select("request_id", "shape", F.coalesce(F.size("items"), F.lit(0)).alias("item_count"))
 
 
 def malformed_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return val.malformed_requests(sample.ingest_requests(spark, sf_dir))
+    return val.malformed_requests(_requests(spark, sf_dir))
 
 
 def dispatch_endpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return val.dispatch_requests(sample.ingest_requests(spark, sf_dir)).select("request_id", "endpoint", "topic")
+    return val.dispatch_requests(_requests(spark, sf_dir)).select("request_id", "endpoint", "topic")
 
 
 def validation_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return val.validation_errors(sample.ingest_requests(spark, sf_dir))
+    return val.validation_errors(_requests(spark, sf_dir))
 
 
 def request_disposition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return val.request_disposition(sample.ingest_requests(spark, sf_dir))
+    return val.request_disposition(_requests(spark, sf_dir))
 
 
 def publish_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Publish the items of valid requests to a landing folder and parse what arrived there."""
     location = f"{scratch_path(spark, 'published')}/landing"
-    topics.land_messages(val.accepted_messages(sample.ingest_requests(spark, sf_dir)), location)
+    topics.land_messages(val.accepted_messages(_requests(spark, sf_dir)), location)
     return msg.parse_messages(topics.landed_messages(spark, location), COMMENTS_TOPIC)
 
 

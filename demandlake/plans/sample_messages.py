@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandlake.contracts import CAPACITY_TOPIC, COMMENTS_TOPIC, DEMAND_TOPIC
+from demandlake.session import scratch_path
 
 # About how many lines of one source go into one message.
 LINES_PER_MESSAGE = 1000
@@ -22,6 +23,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def stored(spark: SparkSession, frame: DataFrame, label: str) -> DataFrame:
+    """Write a frame to the scratch folder and read it back.
+
+    Texts are stored before they are parsed, as real ones are; made and parsed in one plan, the
+    optimiser would merge both steps and measure neither.
+    """
+    location = scratch_path(spark, label)
+    frame.write.parquet(location)
+    return spark.read.schema(frame.schema).parquet(location)
+
+
 def partner(prefix: str, key: Column) -> Column:
     return F.concat(F.lit(prefix), F.lpad(key.cast("string"), 12, "0"))
 
