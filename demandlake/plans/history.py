@@ -95,8 +95,8 @@ def scd2_null_change(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scd2_dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All registered dimensions: loaded from demand, then merged with what capacity messages say."""
-    demand = layers.silver_demand(spark, sf_dir)
-    capacity = layers.silver_capacity(spark, sf_dir)
+    demand = layers.stored_silver(spark, layers.silver_demand(spark, sf_dir))
+    capacity = layers.stored_silver(spark, layers.silver_capacity(spark, sf_dir))
     derive = {
         "DimMaterial": (gold.dim_material, gold.capacity_dim_material),
         "DimCustomer": (gold.dim_customer, gold.dim_customer),

@@ -132,18 +132,18 @@ def dim_time_from_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.dim_time(lines.select(text.alias("day")), "day")
 
 
-def _stored_silver(spark: SparkSession, rows: DataFrame) -> DataFrame:
+def stored_silver(spark: SparkSession, rows: DataFrame) -> DataFrame:
     """Silver rows written once, so that each gold table scans only the columns it needs."""
     return tables.append_batch(rows, f"{scratch_path(spark, 'gold')}/silver", 0)
 
 
 def gold_fanout_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored = _stored_silver(spark, silver_demand(spark, sf_dir))
+    stored = stored_silver(spark, silver_demand(spark, sf_dir))
     return gold.row_counts(gold.gold_tables(stored, DEMAND_TOPIC))
 
 
 def gold_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored = _stored_silver(spark, silver_capacity(spark, sf_dir))
+    stored = stored_silver(spark, silver_capacity(spark, sf_dir))
     return gold.row_counts(gold.gold_tables(stored, CAPACITY_TOPIC))
 
 

@@ -23,6 +23,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(frame: DataFrame) -> DataFrame:
+    """Use all cores on a table that comes in few splits; a table with many is left as it is."""
+    wanted = frame.sparkSession.sparkContext.defaultParallelism
+    return frame.repartition(wanted) if frame.rdd.getNumPartitions() < wanted else frame
+
+
 def stored(spark: SparkSession, frame: DataFrame, label: str) -> DataFrame:
     """Write a frame to the scratch folder and read it back.
 
@@ -209,7 +215,7 @@ def _uuid(text: Column) -> Column:
 def comment_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One good comment per event, with the event's id beside the contract's columns."""
     event = F.col("event_id")
-    return table(spark, sf_dir, "events").select(
+    return spread(table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")).select(
         "event_id",
         F.concat(F.when(event % 2 == 1, "urn:uuid:").otherwise(""), _uuid(event.cast("string"))).alias("commentId"),
         _uuid(F.concat(F.lit("object-"), F.col("user_id").cast("string"))).alias("objectId"),

@@ -26,3 +26,9 @@ def child_folders(spark: SparkSession, location: str) -> list[str]:
 def delete_folder(spark: SparkSession, location: str) -> None:
     path, system = _path(spark, location)
     system.delete(path, True)
+
+
+def touch(spark: SparkSession, location: str) -> None:
+    """Create an empty file."""
+    path, system = _path(spark, location)
+    system.create(path, True).close()

@@ -15,13 +15,13 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from demandlake.contracts import topic_of
 from demandlake.operators.layout import check_columns, spread_for_write
 from demandlake.operators.scd import DimSpec, backfill, merge_open, stamp
-from demandlake.sources.files import child_folders, delete_folder, exists
+from demandlake.sources.files import child_folders, delete_folder, exists, touch
 
 logger = logging.getLogger(__name__)
 
@@ -30,22 +30,32 @@ _VERSION = "version"
 _STATE = "state"
 _OPEN = "open"
 _CLOSED = "closed"
+_SUCCESS = "_SUCCESS"
+_NO_MARKER = {"mapreduce.fileoutputcommitter.marksuccessfuljobs": "false"}
 
 
-def _write(frame: DataFrame, location: str, partitions: list[str]) -> None:
-    check_columns(frame, partitions)
-    spread_for_write(frame, partitions).write.mode("overwrite").partitionBy(*partitions).parquet(location)
+def _write(frame: DataFrame, location: str, partitions: list[str], **options: str) -> None:
+    frame.write.mode("overwrite").options(**options).partitionBy(*partitions).parquet(location)
 
 
 # --- Batch tables -------------------------------------------------------------------------------
 
 
 def append_batch(
-    frame: DataFrame, location: str, batch_id: int, partitions: list[str] | None = None
+    frame: DataFrame,
+    location: str,
+    batch_id: int,
+    partitions: list[str] | None = None,
+    gathered: bool = False,
 ) -> DataFrame:
-    """Write one micro-batch of a table and return it as stored; writing it again replaces it."""
+    """Write one micro-batch of a table and return it as stored; writing it again replaces it.
+
+    Rows are brought together by partition first, unless they are `gathered` already because they
+    come from a table partitioned in the same way.
+    """
     target = f"{location}/{_BATCH}={batch_id}"
-    _write(frame, target, partitions or [])
+    check_columns(frame, partitions or [])
+    _write(frame if gathered else spread_for_write(frame, partitions or []), target, partitions or [])
     # The schema is given, as a batch without rows may have left no file to take it from.
     return frame.sparkSession.read.schema(frame.schema).parquet(target)
 
@@ -65,7 +75,7 @@ def versions(spark: SparkSession, location: str) -> list[int]:
         for name in child_folders(spark, location)
         if name.startswith(f"{_VERSION}=")
     ]
-    return sorted(n for n in numbers if exists(spark, f"{location}/{_VERSION}={n}/_SUCCESS"))
+    return sorted(n for n in numbers if exists(spark, f"{location}/{_VERSION}={n}/{_SUCCESS}"))
 
 
 def latest_version(spark: SparkSession, location: str, before: int | None = None) -> int | None:
@@ -77,10 +87,19 @@ def latest_version(spark: SparkSession, location: str, before: int | None = None
 def replace_table(
     frame: DataFrame, location: str, version: int, partitions: list[str] | None = None
 ) -> None:
-    """Write a whole table as a new version; an empty frame is refused and the old version stays."""
-    if frame.isEmpty():
+    """Write a whole table as a new version; if there is no row it is refused and the old one stays.
+
+    The rows are counted while they are written, and the version is only completed if there are any.
+    """
+    target = f"{location}/{_VERSION}={version}"
+    check_columns(frame, partitions or [])
+    seen = Observation()
+    counted = frame.observe(seen, F.count(F.lit(1)).alias("rows"))
+    _write(spread_for_write(counted, partitions or []), target, partitions or [], **_NO_MARKER)
+    if not seen.get["rows"]:
+        delete_folder(frame.sparkSession, target)
         raise ValueError(f"nothing to write to {location}")
-    _write(frame, f"{location}/{_VERSION}={version}", partitions or [])
+    touch(frame.sparkSession, f"{target}/{_SUCCESS}")
 
 
 def read_version(spark: SparkSession, location: str, version: int) -> DataFrame:
