@@ -28,47 +28,11 @@ def starts_with(text: Column, bracket: str) -> Column:
     return F.ltrim(text, F.lit(" \t\r\n")).startswith(bracket)
 
 
-def member(value: Column, name: str) -> Column:
-    """A member of a JSON object as a variant: NULL if absent, a variant null if it is JSON null."""
-    return F.try_variant_get(value, f"$.{name}", "variant")
-
-
 def elements(value: Column) -> Column:
     """The elements of a JSON array, or NULL for any other value."""
     return F.try_variant_get(value, "$", "array<variant>")
 
 
-def is_object(value: Column) -> Column:
-    return F.try_variant_get(value, "$", "map<string,variant>").isNotNull()
-
-
-def is_string(value: Column) -> Column:
-    return F.schema_of_variant(value) == "STRING"
-
-
-def is_boolean(value: Column) -> Column:
-    return F.schema_of_variant(value) == "BOOLEAN"
-
-
-def is_number(value: Column) -> Column:
-    return F.schema_of_variant(value).rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)")
-
-
-def is_array(value: Column) -> Column:
-    return elements(value).isNotNull()
-
-
-def as_text(value: Column) -> Column:
-    """The text of a JSON string; NULL for every other type."""
-    return F.when(is_string(value), F.try_variant_get(value, "$", "string"))
-
-
-def identity_text(value: Column) -> Column:
-    """A text that is equal for equal JSON values: 1 and 1.0 agree, "1" and 1 do not."""
-    number = F.try_variant_get(value, "$", "double").cast("string")
-    return F.when(is_number(value), number).otherwise(F.to_json(value))
-
-
 def strict_record(text: Column, schema: str) -> Column:
     """Read one JSON object by schema into `struct<documents array, closed int, broken string>`.
 

@@ -61,78 +61,112 @@ def malformed_requests(requests: DataFrame) -> DataFrame:
     return normal.filter(F.col("shape").isin(MALFORMED, SCALAR)).select("request_id", "endpoint", "shape")
 
 
-def _error(field: str, item: Column | int, message: str) -> Column:
-    position = F.lit(item) if isinstance(item, int) else item
-    return F.struct(
-        F.lit(field).alias("field"), position.cast("int").alias("item"), F.lit(message).alias("message")
-    )
+# The checks are written as SQL text: a contract makes hundreds of small expressions, and handing
+# them to the engine one text at a time takes a fraction of the time of building them one by one.
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _error(field: str, message: str, item: str = str(_WHOLE_FIELD)) -> str:
+    return f"named_struct('field', {_quoted(field)}, 'item', {item}, 'message', {_quoted(message)})"
+
+
+_SCALAR_TYPES = {"string": "= 'STRING'", "boolean": "= 'BOOLEAN'", "number": "rlike '^(BIGINT|DECIMAL|DOUBLE|FLOAT)'"}
+_ELEMENTS = "try_variant_get({value}, '$', 'array<variant>')"
+_OBJECT = "try_variant_get({value}, '$', 'map<string,variant>')"
 
 
-_KIND_CHECKS = {
-    "string": jv.is_string,
-    "boolean": jv.is_boolean,
-    "number": jv.is_number,
-    "object": jv.is_object,
-    "array": jv.is_array,
-    "strings": jv.is_array,
-}
+def _read_field(rule: FieldRule) -> str:
+    """What the checks of a field need to know, taken from its JSON value `m.<name>` once."""
+    value = f"m.{rule.name}"
+    parts = [f"'present', {value} IS NOT NULL"]
+    if rule.kind in _SCALAR_TYPES:
+        parts.append(f"'type', schema_of_variant({value})")
+    if rule.pattern or rule.choices or rule.max_chars is not None:
+        text = f"CASE WHEN schema_of_variant({value}) = 'STRING' THEN try_variant_get({value}, '$', 'string') END"
+        parts.append(f"'text', {text}")
+    if rule.kind in ("array", "strings"):
+        parts.append(f"'elements', {_ELEMENTS.format(value=value)}")
+    if rule.kind == "object":
+        parts.append(f"'is_object', {_OBJECT.format(value=value)} IS NOT NULL")
+    return f"named_struct({', '.join(parts)})"
 
 
-def _field_checks(value: Column, rule: FieldRule) -> list[tuple[Column, str]]:
-    """(violated, message) pairs for a field that is present."""
-    text = jv.as_text(value)
-    checks = [(~_KIND_CHECKS[rule.kind](value), f"type: {rule.kind}")]
+def _violations(rule: FieldRule) -> list[tuple[str, str]]:
+    """(condition, message) pairs for a field `f.<name>` that is present."""
+    field = f"f.{rule.name}"
+    if rule.kind in _SCALAR_TYPES:
+        fits = f"{field}.type {_SCALAR_TYPES[rule.kind]}"
+    elif rule.kind == "object":
+        fits = f"{field}.is_object"
+    else:
+        fits = f"{field}.elements IS NOT NULL"
+    found = [(f"NOT ({fits})", f"type: {rule.kind}")]
     if rule.pattern:
-        checks.append((text.isNotNull() & ~text.rlike(_UNIX_LINES + rule.pattern), "pattern"))
+        found.append((f"NOT ({field}.text rlike {_quoted(_UNIX_LINES + rule.pattern)})", "pattern"))
     if rule.choices:
-        checks.append((~F.coalesce(text.isin(*rule.choices), F.lit(False)), "enum"))
+        choices = ", ".join(_quoted(choice) for choice in rule.choices)
+        found.append((f"NOT coalesce({field}.text IN ({choices}), false)", "enum"))
     if rule.max_chars is not None:
-        counted = F.char_length(text) - F.when(text.endswith("\n"), 1).otherwise(0)
-        checks.append((counted > rule.max_chars, "maxLength"))
+        # A line feed at the very end does not count, as `$` in a pattern matches before it.
+        length = f"char_length({field}.text) - CASE WHEN endswith({field}.text, '\\n') THEN 1 ELSE 0 END"
+        found.append((f"{length} > {rule.max_chars}", "maxLength"))
     if rule.unique_items:
-        names = F.transform(jv.elements(value), jv.identity_text)
-        checks.append((F.size(names) != F.size(F.array_distinct(names)), "uniqueItems"))
-    return checks
+        names = f"transform({field}.elements, e -> {_identity('e')})"
+        found.append((f"size({names}) <> size(array_distinct({names}))", "uniqueItems"))
+    return found
 
 
-def _item_type_errors(value: Column, rule: FieldRule) -> Column:
-    """One error per element that is no string."""
-    found = F.transform(
-        jv.elements(value),
-        lambda element, position: F.when(~jv.is_string(element), _error(rule.name, position, "type: string")),
+def _identity(value: str) -> str:
+    """A text that is equal for equal JSON values: 1 and 1.0 agree, "1" and 1 do not."""
+    return (
+        f"CASE WHEN schema_of_variant({value}) {_SCALAR_TYPES['number']} "
+        f"THEN string(try_variant_get({value}, '$', 'double')) ELSE to_json({value}) END"
     )
-    return F.filter(F.coalesce(found, F.array().cast(_NO_ERRORS)), lambda error: error.isNotNull())
 
 
-def item_errors(item: Column, rules: tuple[FieldRule, ...]) -> Column:
+def _element_errors(rule: FieldRule) -> str:
+    """One error per element that is no string."""
+    error = _error(rule.name, "type: string", item="i")
+    found = f"transform(f.{rule.name}.elements, (e, i) -> CASE WHEN schema_of_variant(e) <> 'STRING' THEN {error} END)"
+    return f"coalesce(filter({found}, x -> x IS NOT NULL), cast(array() AS {_NO_ERRORS}))"
+
+
+def _item_errors(rules: tuple[FieldRule, ...]) -> str:
     """All violations of one item, ordered by place: the item itself, its fields, their elements."""
     checks = []
     lists = []
     for rule in rules:
-        value = jv.member(item, rule.name)
         if rule.required:
-            checks.append(F.when(value.isNull(), _error(_ROOT, _WHOLE_FIELD, f"required: {rule.name}")))
-        for violated, message in _field_checks(value, rule):
-            checks.append(
-                F.when(value.isNotNull() & violated, _error(rule.name, _WHOLE_FIELD, message))
-            )
+            missing = _error(_ROOT, f"required: {rule.name}")
+            checks.append(f"CASE WHEN NOT f.{rule.name}.present THEN {missing} END")
+        for condition, message in _violations(rule):
+            error = _error(rule.name, message)
+            checks.append(f"CASE WHEN f.{rule.name}.present AND {condition} THEN {error} END")
         if rule.kind == "strings":
-            lists.append(_item_type_errors(value, rule))
-    of_fields = F.filter(F.array(*checks), lambda error: error.isNotNull())
-    return F.when(jv.is_object(item), F.array_sort(F.concat(of_fields, *lists))).otherwise(
-        F.array(_error(_ROOT, _WHOLE_FIELD, "type: object"))
-    )
+            lists.append(_element_errors(rule))
+    found = ", ".join([f"filter(array({', '.join(checks)}), x -> x IS NOT NULL)", *lists])
+    no_object = f"array({_error(_ROOT, 'type: object')})"
+    return f"CASE WHEN f.is_object THEN array_sort(concat({found})) ELSE {no_object} END"
 
 
-def _errors_per_item(rules: tuple[FieldRule, ...]) -> Column:
-    return F.transform(F.col("items"), lambda item: item_errors(item, rules))
+def errors_per_item(rules: tuple[FieldRule, ...]) -> Column:
+    """The violations of every element of `items`, in stages so that each JSON value is taken apart once."""
+    members = ", ".join(f"'{rule.name}', try_element_at(o, '{rule.name}')" for rule in rules)
+    fields = ", ".join(f"'{rule.name}', {_read_field(rule)}" for rule in rules)
+    objects = f"transform(items, v -> {_OBJECT.format(value='v')})"
+    opened = f"transform({objects}, o -> named_struct('is_object', o IS NOT NULL, {members}))"
+    read = f"transform({opened}, m -> named_struct('is_object', m.is_object, {fields}))"
+    return F.expr(f"transform({read}, f -> {_item_errors(rules)})")
 
 
 def check_requests(requests: DataFrame) -> DataFrame:
     """Normalised requests plus `errors`: per item, in order, the list of its violations."""
     errors = F.lit(None).cast(f"array<{_NO_ERRORS}>")
     for topic in CONTRACTS:
-        errors = F.when(F.col("topic") == topic, _errors_per_item(CONTRACTS[topic])).otherwise(errors)
+        errors = F.when(F.col("topic") == topic, errors_per_item(CONTRACTS[topic])).otherwise(errors)
     return normalise_requests(requests).withColumn("errors", errors)
 
 
