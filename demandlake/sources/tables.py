@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import logging
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +39,17 @@ def _write(frame: DataFrame, location: str, partitions: list[str], **options: st
     frame.write.mode("overwrite").options(**options).partitionBy(*partitions).parquet(location)
 
 
+def observed(seen: Observation, name: str) -> int | None:
+    """A count taken while a frame was written.
+
+    None means that no row got through and adaptive execution dropped the counting step.
+    """
+    try:
+        return seen.get[name]
+    except Py4JJavaError:
+        return None
+
+
 # --- Batch tables -------------------------------------------------------------------------------
 
 
@@ -96,7 +108,7 @@ def replace_table(
     seen = Observation()
     counted = frame.observe(seen, F.count(F.lit(1)).alias("rows"))
     _write(spread_for_write(counted, partitions or []), target, partitions or [], **_NO_MARKER)
-    if not seen.get["rows"]:
+    if not observed(seen, "rows"):
         delete_folder(frame.sparkSession, target)
         raise ValueError(f"nothing to write to {location}")
     touch(frame.sparkSession, f"{target}/{_SUCCESS}")
