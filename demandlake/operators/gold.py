@@ -24,12 +24,14 @@ _MATERIAL_ATTRIBUTES = [
 def _latest_per_material(rows: DataFrame) -> DataFrame:
     """One row per material: the latest change, ties settled by the attribute values.
 
-    A maximum over structs is combined on the map side, so a material that fills a third of the
-    table still sends one row per task.
+    The first grouping is combined by hash on the map side and leaves one row per distinct
+    description of a material, however many rows name it; only those few are compared as structs,
+    which takes a sort.
     """
+    described = rows.groupBy(*_MATERIAL_KEYS, *_MATERIAL_ATTRIBUTES).agg(F.max("changed").alias("changed"))
     newest = F.max(F.struct("changed", *_MATERIAL_ATTRIBUTES)).alias("newest")
     return (
-        rows.groupBy(*_MATERIAL_KEYS)
+        described.groupBy(*_MATERIAL_KEYS)
         .agg(newest)
         .select(*_MATERIAL_KEYS, *[F.col(f"newest.{name}").alias(name) for name in _MATERIAL_ATTRIBUTES])
     )

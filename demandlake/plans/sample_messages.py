@@ -52,6 +52,11 @@ def _moment(timestamp: Column) -> Column:
     return F.date_format(timestamp, "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
 
+def _parts(lines: Column) -> Column:
+    """How many messages a source with that many lines is split over."""
+    return F.greatest(F.ceil(lines / LINES_PER_MESSAGE), F.lit(1)).cast("int")
+
+
 def _split_into_messages(lines: DataFrame, owner: str) -> DataFrame:
     """Add `part`: which of its owner's messages a line goes to; 0 unless the owner is a big one.
 
@@ -62,13 +67,22 @@ def _split_into_messages(lines: DataFrame, owner: str) -> DataFrame:
         lines.groupBy(owner)
         .agg(F.count(F.lit(1)).alias("lines"))
         .filter(F.col("lines") > LINES_PER_MESSAGE)
-        .select(owner, F.ceil(F.col("lines") / LINES_PER_MESSAGE).alias("parts"))
+        .select(owner, _parts(F.col("lines")).alias("parts"))
     )
-    spread = F.xxhash64("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate")
-    part = F.coalesce(F.pmod(spread, F.col("parts")), F.lit(0))
+    spread_over = F.xxhash64("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate")
+    part = F.coalesce(F.pmod(spread_over, F.col("parts")), F.lit(0)).cast("int")
     return lines.join(big, owner, "left").withColumn("part", part).drop("parts")
 
 
+def _header_per_part(headers: DataFrame) -> DataFrame:
+    """Repeat each header for the messages its source is split over, by its number of `lines`.
+
+    Headers and bodies then meet on (source, part), a key both sides hold once.
+    """
+    last = _parts(F.coalesce(F.col("lines"), F.lit(0))) - 1
+    return headers.withColumn("part", F.explode(F.sequence(F.lit(0), last))).drop("lines")
+
+
 # --- Demand -------------------------------------------------------------------------------------
 
 
@@ -77,7 +91,9 @@ def demand_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus", "l_shipdate"
     )
-    first = lines.groupBy("l_orderkey").agg(F.min(F.struct("l_partkey", "l_suppkey")).alias("first"))
+    first = lines.groupBy("l_orderkey").agg(
+        F.min(F.struct("l_partkey", "l_suppkey")).alias("first"), F.count(F.lit(1)).alias("lines")
+    )
     entry = F.struct(F.col("l_quantity").alias("demand"), _day(F.col("l_shipdate")).alias("pointInTime"))
     series = F.struct(
         F.concat(F.lit("BPNS-"), "l_linestatus").alias("customerLocation"),
@@ -114,13 +130,15 @@ def demand_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
             unit.alias("unitOfMeasure"),
             unit.isNull().alias("unitOfMeasureIsOmitted"),
             (F.col("o_orderstatus") == "F").alias("materialDemandIsInactive"),
+            "lines",
         )
     )
     no_series = F.array().cast(grouped.schema["demandSeries"].dataType)
     return (
-        headers.join(grouped, headers.o_orderkey == grouped.l_orderkey, "left")
+        _header_per_part(headers.withColumnRenamed("o_orderkey", "l_orderkey"))
+        .join(grouped, ["l_orderkey", "part"], "left")
         .withColumn("demandSeries", F.coalesce("demandSeries", no_series))
-        .drop("o_orderkey", "l_orderkey", "part")
+        .drop("l_orderkey", "part")
     )
 
 
@@ -134,7 +152,10 @@ def capacity_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     linked = F.struct("l_partkey", "l_orderkey")
     ends = lines.groupBy("l_suppkey").agg(
-        F.min(linked).alias("lowest"), F.max(linked).alias("highest"), F.max("l_shipdate").alias("last")
+        F.min(linked).alias("lowest"),
+        F.max(linked).alias("highest"),
+        F.max("l_shipdate").alias("last"),
+        F.count(F.lit(1)).alias("lines"),
     )
     capacity = F.struct(
         _day(F.col("l_shipdate")).alias("pointInTime"),
@@ -196,9 +217,12 @@ def capacity_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
             ),
         ).alias("demandVolatilityParameters"),
         F.when(F.col("lowest").isNotNull(), F.array(series("lowest"), series("highest"))).alias("linkedDemandSeries"),
+        "lines",
     )
-    return headers.join(grouped, headers.s_suppkey == grouped.l_suppkey, "left").drop(
-        "s_suppkey", "l_suppkey", "part"
+    return (
+        _header_per_part(headers.withColumnRenamed("s_suppkey", "l_suppkey"))
+        .join(grouped, ["l_suppkey", "part"], "left")
+        .drop("l_suppkey", "part")
     )
 
 

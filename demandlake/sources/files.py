@@ -15,6 +15,12 @@ def exists(spark: SparkSession, location: str) -> bool:
     return system.exists(path)
 
 
+def any_match(spark: SparkSession, pattern: str) -> bool:
+    """Whether anything lies at a location given with wildcards."""
+    path, system = _path(spark, pattern)
+    return bool(system.globStatus(path))
+
+
 def child_folders(spark: SparkSession, location: str) -> list[str]:
     """Names of the folders directly below a location, sorted; empty if it does not exist."""
     path, system = _path(spark, location)

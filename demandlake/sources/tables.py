@@ -18,11 +18,12 @@ import logging
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from demandlake.contracts import topic_of
 from demandlake.operators.layout import check_columns, spread_for_write
 from demandlake.operators.scd import DimSpec, backfill, merge_open, stamp
-from demandlake.sources.files import child_folders, delete_folder, exists, touch
+from demandlake.sources.files import any_match, child_folders, delete_folder, exists, touch
 
 logger = logging.getLogger(__name__)
 
@@ -80,20 +81,33 @@ def read_batch(spark: SparkSession, location: str, batch_id: int) -> DataFrame:
 # --- Versioned tables ---------------------------------------------------------------------------
 
 
-def versions(spark: SparkSession, location: str) -> list[int]:
-    """Complete versions of a table, oldest first."""
-    numbers = [
-        int(name.split("=", 1)[1])
-        for name in child_folders(spark, location)
-        if name.startswith(f"{_VERSION}=")
-    ]
-    return sorted(n for n in numbers if exists(spark, f"{location}/{_VERSION}={n}/{_SUCCESS}"))
+def _version_numbers(spark: SparkSession, location: str) -> list[int]:
+    """Numbers of all version folders, complete or not, oldest first."""
+    names = child_folders(spark, location)
+    return sorted(int(name.split("=", 1)[1]) for name in names if name.startswith(f"{_VERSION}="))
 
 
 def latest_version(spark: SparkSession, location: str, before: int | None = None) -> int | None:
     """The newest complete version, or the newest one older than `before`."""
-    known = [n for n in versions(spark, location) if before is None or n < before]
-    return known[-1] if known else None
+    for number in reversed(_version_numbers(spark, location)):
+        if (before is None or number < before) and exists(spark, f"{location}/{_VERSION}={number}/{_SUCCESS}"):
+            return number
+    return None
+
+
+def _drop_expired(spark: SparkSession, location: str, keep: int | None, part: str = "") -> None:
+    """Delete versions, or one part of them, beyond the newest `keep`.
+
+    The last two always stay, as a retry starts from the one before. Versions are visited from new
+    to old up to the first that is gone already, so the work does not grow with their number.
+    """
+    if keep is None:
+        return
+    for number in reversed(_version_numbers(spark, location)[: -max(keep, 2)]):
+        folder = f"{location}/{_VERSION}={number}{part}"
+        if not exists(spark, folder):
+            return
+        delete_folder(spark, folder)
 
 
 def replace_table(
@@ -125,13 +139,7 @@ def extend_distinct(frame: DataFrame, location: str, version: int, keep: int | N
     if base is not None:
         frame = read_version(spark, location, base).unionByName(frame).distinct()
     _write(frame, f"{location}/{_VERSION}={version}", [])
-    for old in _expired(spark, location, keep):
-        delete_folder(spark, f"{location}/{_VERSION}={old}")
-
-
-def _expired(spark: SparkSession, location: str, keep: int | None) -> list[int]:
-    """Versions beyond the newest `keep`; the last two stay, as a retry starts from the one before."""
-    return [] if keep is None else versions(spark, location)[: -max(keep, 2)]
+    _drop_expired(spark, location, keep)
 
 
 # --- Dimensions ---------------------------------------------------------------------------------
@@ -159,8 +167,7 @@ def merge_dimension(
     merged.withColumn(_STATE, state).write.mode("overwrite").partitionBy(_STATE).parquet(
         f"{location}/{_VERSION}={version}"
     )
-    for old in _expired(spark, location, keep):
-        delete_folder(spark, f"{location}/{_VERSION}={old}/{_STATE}={_OPEN}")
+    _drop_expired(spark, location, keep, f"/{_STATE}={_OPEN}")
 
 
 def adopt_dimension(legacy: DataFrame, location: str, spec: DimSpec, version: int = 0) -> None:
@@ -176,17 +183,24 @@ def read_dimension(spark: SparkSession, location: str) -> DataFrame:
     newest = latest_version(spark, location)
     if newest is None:
         raise FileNotFoundError(f"no complete version in {location}")
-    stored = spark.read.option("mergeSchema", True).parquet(location)
-    is_open = (F.col(_VERSION) == newest) & (F.col(_STATE) == _OPEN)
-    is_closed = (F.col(_VERSION) <= newest) & (F.col(_STATE) == _CLOSED)
-    return stored.filter(is_open | is_closed).drop(_VERSION, _STATE)
+    folders = [f"{location}/{_VERSION}={newest}/{_STATE}={_OPEN}"]
+    closed = f"{location}/{_VERSION}=*/{_STATE}={_CLOSED}"
+    if any_match(spark, closed):
+        folders.append(closed)
+    stored = spark.read.option("basePath", location).option("mergeSchema", True).parquet(*folders)
+    # A version still being written may have closed rows already.
+    return stored.filter(F.col(_VERSION) <= newest).drop(_VERSION, _STATE)
 
 
 # --- Any table ----------------------------------------------------------------------------------
 
 
-def read_table(spark: SparkSession, location: str) -> DataFrame:
-    """The current content of a table of either layout, without its bookkeeping columns."""
+def read_table(spark: SparkSession, location: str, schema: StructType | None = None) -> DataFrame:
+    """The current content of a table of any layout, without its bookkeeping columns.
+
+    The columns of a batch table are the union over its batches, found by reading every file's
+    footer; on tables of very many batches give the `schema` instead.
+    """
     newest = latest_version(spark, location)
     if newest is not None:
         states = child_folders(spark, f"{location}/{_VERSION}={newest}")
@@ -195,6 +209,8 @@ def read_table(spark: SparkSession, location: str) -> DataFrame:
         return read_version(spark, location, newest)
     if not any(name.startswith(f"{_BATCH}=") for name in child_folders(spark, location)):
         raise FileNotFoundError(f"no table in {location}")
+    if schema is not None:
+        return spark.read.schema(schema).parquet(location).select(*schema.names)
     return spark.read.option("mergeSchema", True).parquet(location).drop(_BATCH)
 
 

@@ -24,6 +24,8 @@ def test_a_batch_written_again_replaces_itself(spark, folder):
     tables.append_batch(rows(spark, 4), f"{folder}/t", 1)
     assert content(tables.read_table(spark, f"{folder}/t")) == [1, 2, 4]
     assert content(tables.read_batch(spark, f"{folder}/t", 1)) == [4]
+    schema = rows(spark, 1).schema
+    assert tables.read_table(spark, f"{folder}/t", schema).columns == ["v", "third"]
 
 
 def test_an_empty_batch_can_be_read_back(spark, folder):
@@ -69,7 +71,7 @@ def test_distinct_rows_accumulate(spark, folder):
     for version, values in enumerate(((1, 2), (2, 3), (3, 4))):
         tables.extend_distinct(rows(spark, *values), f"{folder}/t", version, keep=2)
     assert content(tables.read_table(spark, f"{folder}/t")) == [1, 2, 3, 4]
-    assert tables.versions(spark, f"{folder}/t") == [1, 2]
+    assert child_folders(spark, f"{folder}/t") == ["version=1", "version=2"]
 
 
 def test_columns_may_come_and_go(spark, folder):
