@@ -101,7 +101,8 @@ def demand_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.col("l_returnflag").alias("demandCategoryCode")).alias("demandCategory"),
         F.col("demands"),
     )
-    # Placed by order and part once; both groupings below reuse that placement.
+    # Placed by order and part once; both groupings and the join below reuse that placement. The
+    # hint keeps whole message bodies, whose size is easily underestimated, from being broadcast.
     grouped = (
         _split_into_messages(lines, "l_orderkey")
         .repartition("l_orderkey", "part")
@@ -136,7 +137,7 @@ def demand_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     no_series = F.array().cast(grouped.schema["demandSeries"].dataType)
     return (
         _header_per_part(headers.withColumnRenamed("o_orderkey", "l_orderkey"))
-        .join(grouped, ["l_orderkey", "part"], "left")
+        .join(grouped.hint("merge"), ["l_orderkey", "part"], "left")
         .withColumn("demandSeries", F.coalesce("demandSeries", no_series))
         .drop("l_orderkey", "part")
     )
@@ -221,7 +222,7 @@ def capacity_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return (
         _header_per_part(headers.withColumnRenamed("s_suppkey", "l_suppkey"))
-        .join(grouped, ["l_suppkey", "part"], "left")
+        .join(grouped.hint("merge"), ["l_suppkey", "part"], "left")
         .drop("l_suppkey", "part")
     )
 
