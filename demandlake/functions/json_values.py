@@ -33,33 +33,24 @@ def elements(value: Column) -> Column:
     return F.try_variant_get(value, "$", "array<variant>")
 
 
-def strict_record(text: Column, schema: str) -> Column:
-    """Read one JSON object by schema into `struct<documents array, closed int, broken string>`.
+def strict_documents(text: Column, schema: str) -> Column:
+    """The text's one JSON object, typed, in an array; NULL if it is not one object fitting the schema.
 
-    The text becomes the only element of an array inside an object, so one pass both types the
-    fields and proves that the text held one complete value. Use `record_ok` and `record_value`.
+    The text becomes the only element of an array inside an object with a closing member, so one
+    pass both types the fields and proves that the text held one complete value. The parsed value is
+    referenced once only, for Spark would repeat the parse for every further reference.
     """
     frame = F.concat(F.lit('{"documents":['), text, F.lit('],"closed":1}'))
-    layout = f"documents ARRAY<STRUCT<{_colons(schema)}>>, closed INT, broken STRING"
+    layout = f"documents ARRAY<STRUCT<{' '.join(schema.split())}>>, closed INT, broken STRING"
     options = {"columnNameOfCorruptRecord": "broken", "allowSingleQuotes": "false"}
-    return F.from_json(frame, layout, options)
+    parsed = F.array(F.from_json(frame, layout, options))
 
+    def complete(record: Column) -> Column:
+        return (
+            record["broken"].isNull()
+            & (record["closed"] == 1)
+            & (F.size(record["documents"]) == 1)
+            & F.get(record["documents"], F.lit(0)).isNotNull()
+        )
 
-def record_ok(record: Column) -> Column:
-    """True if the text was one JSON object whose fields fit the schema."""
-    fits = (
-        record["broken"].isNull()
-        & (record["closed"] == 1)
-        & (F.size(record["documents"]) == 1)
-        & F.get(record["documents"], F.lit(0)).isNotNull()
-    )
-    return F.coalesce(fits, F.lit(False))
-
-
-def record_value(record: Column) -> Column:
-    return F.get(record["documents"], F.lit(0))
-
-
-def _colons(schema: str) -> str:
-    """Column list to struct body: both spellings are accepted inside STRUCT<...>."""
-    return " ".join(schema.split())
+    return F.get(F.filter(parsed, complete), F.lit(0))["documents"]

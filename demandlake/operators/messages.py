@@ -25,19 +25,18 @@ def of_topic(messages: DataFrame, topic: str) -> DataFrame:
     return messages.filter(F.col("topic") == topic)
 
 
+def _documents(topic: str) -> Column:
+    return jv.strict_documents(F.col("value"), topic_of(topic).message_schema)
+
+
 def parse_with_flag(messages: DataFrame, topic: str, keep: list[str] | None = None) -> DataFrame:
-    """The messages of one topic, parsed: `document`, whether it is `readable`, and the columns in `keep`."""
-    record = jv.strict_record(F.col("value"), topic_of(topic).message_schema)
-    kept = keep or []
-    return (
-        of_topic(messages, topic)
-        .select(*kept, record.alias("record"))
-        .select(
-            *kept,
-            jv.record_value(F.col("record")).alias("document"),
-            jv.record_ok(F.col("record")).alias("readable"),
-        )
-    )
+    """The messages of one topic, parsed: `document`, whether it is `readable`, and the columns in `keep`.
+
+    Taking the document out of its array by an outer explode gives one row per message, and a
+    column no filter can be pushed through, which would make Spark parse the text again for it.
+    """
+    parsed = of_topic(messages, topic).select(*(keep or []), F.explode_outer(_documents(topic)).alias("document"))
+    return parsed.withColumn("readable", F.col("document").isNotNull())
 
 
 def parse_messages(messages: DataFrame, topic: str) -> DataFrame:
@@ -60,27 +59,26 @@ def unreadable_reason(text: Column) -> Column:
 
 def quarantine_messages(messages: DataFrame, topic: str) -> DataFrame:
     """The messages of one topic that cannot be read: `(topic, value, reason)`, text unchanged."""
-    return (
-        parse_with_flag(messages, topic, keep=["topic", "value"])
-        .filter("NOT readable")
-        .select("topic", "value", unreadable_reason(F.col("value")).alias("reason"))
-    )
+    unreadable = of_topic(messages, topic).filter(_documents(topic).isNull())
+    return unreadable.select("topic", "value", unreadable_reason(F.col("value")).alias("reason"))
+
+
+def _is_known() -> Column:
+    return F.coalesce(F.col("topic").isin(*TOPICS), F.lit(False))
 
 
 def quarantine_unknown_topics(messages: DataFrame) -> DataFrame:
     """Messages on topics nobody registered, in the quarantine layout."""
-    known = F.col("topic").isin(*TOPICS)
-    return messages.filter(~F.coalesce(known, F.lit(False))).select(
-        "topic", "value", F.lit(UNKNOWN_TOPIC).alias("reason")
-    )
+    return messages.filter(~_is_known()).select("topic", "value", F.lit(UNKNOWN_TOPIC).alias("reason"))
 
 
 def quarantine_all(messages: DataFrame) -> DataFrame:
-    """Everything that cannot be processed, over all topics."""
-    result = quarantine_unknown_topics(messages)
+    """Everything that cannot be processed, over all topics, in one pass."""
+    readable = F.lit(False)
     for topic in TOPICS:
-        result = result.unionByName(quarantine_messages(messages, topic))
-    return result
+        readable = F.when(F.col("topic") == topic, _documents(topic).isNotNull()).otherwise(readable)
+    reason = F.when(_is_known(), unreadable_reason(F.col("value"))).otherwise(UNKNOWN_TOPIC)
+    return messages.filter(~readable).select("topic", "value", reason.alias("reason"))
 
 
 def route_messages(messages: DataFrame) -> DataFrame:

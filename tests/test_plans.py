@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
-from demandlake.contracts import COMMENTS_TOPIC
+from demandlake.contracts import COMMENTS_TOPIC, DEMAND_TOPIC
 from demandlake.operators import bronze, gold
 from demandlake.operators import messages as msg
 from demandlake.operators import validation as val
@@ -58,11 +58,16 @@ def test_texts_are_parsed_once(spark, folder):
         assert "Exchange" not in plan(frame)
 
 
-def test_parsing_needs_no_shuffle(spark, folder):
+def test_messages_are_parsed_once_and_without_a_shuffle(spark, folder):
     spark.createDataFrame([(COMMENTS_TOPIC, "{}")], "topic string, value string").write.parquet(f"{folder}/m")
     stored = spark.read.parquet(f"{folder}/m")
-    assert "Exchange" not in plan(msg.parse_messages(stored, COMMENTS_TOPIC))
-    assert "Exchange" not in plan(msg.quarantine_all(stored))
+    flat = bronze.bronze_demand(msg.parse_messages(stored, DEMAND_TOPIC))
+    for frame in (msg.parse_messages(stored, COMMENTS_TOPIC), flat, msg.quarantine_messages(stored, COMMENTS_TOPIC)):
+        # A scan repeats its filters in its description.
+        steps = [line for line in plan(frame).splitlines() if "FileScan" not in line]
+        assert sum(line.count("from_json(") for line in steps) == 1
+        assert "Exchange" not in plan(frame)
+    assert plan(msg.quarantine_all(stored)).count("FileScan") == 1
 
 
 @pytest.fixture
