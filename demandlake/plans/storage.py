@@ -54,6 +54,14 @@ def schema_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_table(spark, location).select("name", "segment", F.col("nation").cast("bigint").alias("nation"))
 
 
+def latest_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches of one table, read as if the later had replaced the earlier."""
+    location = f"{scratch_path(spark, 'latest')}/names"
+    tables.append_batch(sample.table(spark, sf_dir, "customer").select(F.col("c_name").alias("name")), location, 0)
+    tables.append_batch(sample.table(spark, sf_dir, "supplier").select(F.col("s_name").alias("name")), location, 1)
+    return tables.read_latest_batch(spark, location)
+
+
 def schema_merge_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same union without storage in between."""
     customers = sample.table(spark, sf_dir, "customer").select(F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"))
@@ -139,6 +147,7 @@ QUERIES = {
     "detect_partitions": detect_partitions,
     "schema_merge": schema_merge,
     "schema_merge_frames": schema_merge_frames,
+    "latest_batch": latest_batch,
     "preview_counts": preview_counts,
     "stream_medallion": stream_medallion,
     "stream_micro_batches": stream_micro_batches,
@@ -161,6 +170,7 @@ ORACLES = {
         FROM demand GROUP BY 1, 2, 3""",
     "schema_merge": _PARTNERS,
     "schema_merge_frames": _PARTNERS,
+    "latest_batch": "SELECT s_name AS name FROM supplier",
     "preview_counts": layers.ORACLES["gold_fanout_counts"],
     "stream_medallion": layers.ORACLES["fact_material_demand"],
     "stream_micro_batches": f"""WITH {sql.DEMAND}

@@ -12,6 +12,9 @@ SQL_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # The size of a missing array is unknown, not -1.
+    "spark.sql.ansi.enabled": "true",
+    "spark.sql.legacy.sizeOfNull": "false",
     # A repeated key in a JSON object keeps its last value, as in the common JSON libraries.
     "spark.sql.variant.allowDuplicateKeys": "true",
 }
@@ -34,12 +37,11 @@ def configure(spark: SparkSession) -> SparkSession:
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach: `spark.checkpoint.dir`, or a temporary one where unset (tests)."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    fallback = tempfile.mkdtemp(prefix="demandlake-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not configured:
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="demandlake-"))
+        configured = spark.sparkContext.getCheckpointDir()
+    return configured.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

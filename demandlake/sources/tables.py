@@ -51,6 +51,20 @@ def observed(seen: Observation, name: str) -> int | None:
         return None
 
 
+def _numbers(spark: SparkSession, location: str, kind: str) -> list[int]:
+    """Numbers of all batch or version folders, complete or not, oldest first."""
+    names = child_folders(spark, location)
+    return sorted(int(name.split("=", 1)[1]) for name in names if name.startswith(f"{kind}="))
+
+
+def _newest(spark: SparkSession, location: str, kind: str, before: int | None = None) -> int | None:
+    """The newest batch or version that is complete, and older than `before` if that is given."""
+    for number in reversed(_numbers(spark, location, kind)):
+        if (before is None or number < before) and exists(spark, f"{location}/{kind}={number}/{_SUCCESS}"):
+            return number
+    return None
+
+
 # --- Batch tables -------------------------------------------------------------------------------
 
 
@@ -78,21 +92,20 @@ def read_batch(spark: SparkSession, location: str, batch_id: int) -> DataFrame:
     return spark.read.parquet(f"{location}/{_BATCH}={batch_id}")
 
 
-# --- Versioned tables ---------------------------------------------------------------------------
+def read_latest_batch(spark: SparkSession, location: str) -> DataFrame:
+    """Only the newest complete micro-batch, as if each one had replaced the table."""
+    newest = _newest(spark, location, _BATCH)
+    if newest is None:
+        raise FileNotFoundError(f"no complete batch in {location}")
+    return read_batch(spark, location, newest)
 
 
-def _version_numbers(spark: SparkSession, location: str) -> list[int]:
-    """Numbers of all version folders, complete or not, oldest first."""
-    names = child_folders(spark, location)
-    return sorted(int(name.split("=", 1)[1]) for name in names if name.startswith(f"{_VERSION}="))
+# --- Versioned tables ---------------------------------------------------------------------------
 
 
 def latest_version(spark: SparkSession, location: str, before: int | None = None) -> int | None:
     """The newest complete version, or the newest one older than `before`."""
-    for number in reversed(_version_numbers(spark, location)):
-        if (before is None or number < before) and exists(spark, f"{location}/{_VERSION}={number}/{_SUCCESS}"):
-            return number
-    return None
+    return _newest(spark, location, _VERSION, before)
 
 
 def _drop_expired(spark: SparkSession, location: str, keep: int | None, part: str = "") -> None:
@@ -103,7 +116,7 @@ def _drop_expired(spark: SparkSession, location: str, keep: int | None, part: st
     """
     if keep is None:
         return
-    for number in reversed(_version_numbers(spark, location)[: -max(keep, 2)]):
+    for number in reversed(_numbers(spark, location, _VERSION)[: -max(keep, 2)]):
         folder = f"{location}/{_VERSION}={number}{part}"
         if not exists(spark, folder):
             return

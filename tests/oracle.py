@@ -1,4 +1,4 @@
-"""Compare a registered query with its SQL on the given tables."""
+"""Compare the result of a registered query with its SQL on the given tables."""
 
 from __future__ import annotations
 
@@ -27,9 +27,8 @@ def _rows(names, rows):
     return Counter(tuple(_plain(row[i]) for i in order) for row in rows)
 
 
-def differences(spark, sf_dir: str, query, sql: str) -> list[str]:
-    """What sets the two results apart, in words; empty if nothing does."""
-    frame = query(spark, sf_dir)
+def differences(frame, sf_dir: str, sql: str) -> list[str]:
+    """What sets a result apart from that of its SQL, in words; empty if nothing does."""
     found = [tuple(row) for row in frame.collect()]
     cursor = connect(sf_dir).execute(sql)
     names = [column[0] for column in cursor.description]

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -57,6 +59,32 @@ def test_merge_closes_opens_and_keeps(spark):
     check_invariants(merged)
 
 
+def expected_history(snapshots):
+    """The same merge row by row: (k, a, b, start month, end month, current)."""
+    opened, closed = {}, []
+    for month, rows in enumerate(snapshots, start=1):
+        for k, *attributes in rows:
+            if k in opened and opened[k][0] != attributes:
+                old, start = opened.pop(k)
+                closed.append((k, *old, start, month, False))
+            opened.setdefault(k, (attributes, month))
+    return closed + [(k, *attributes, start, None, True) for k, (attributes, start) in opened.items()]
+
+
+def test_random_snapshots_against_a_merge_by_hand(spark):
+    draw = random.Random(7)
+    keys = [None, *(f"k{i}" for i in range(40))]
+    snapshots = [
+        [(k, draw.choice([None, "x", "y"]), draw.choice([None, 1, 2])) for k in keys if draw.random() < 0.7] for _ in range(4)
+    ]
+    frame = None
+    for month, rows in enumerate(snapshots, start=1):
+        frame = merge(spark, frame, rows, f"2024-0{month}-01 00:00:00")
+    found = [(k, *version) for k, all_versions in versions(frame).items() for version in all_versions]
+    assert sorted(map(str, found)) == sorted(map(str, expected_history(snapshots)))
+    check_invariants(frame)
+
+
 def test_repeating_a_merge_changes_nothing(spark):
     once = merge(spark, merge(spark, None, FIRST, T1), SECOND, T2)
     for moment in (T2, T3):

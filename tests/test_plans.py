@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import re
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as driver
 from demandlake.contracts import COMMENTS_TOPIC, DEMAND_TOPIC
 from demandlake.operators import bronze, gold
 from demandlake.operators import messages as msg
@@ -18,23 +16,11 @@ from demandlake.plans import sample_messages as sample
 SF_DIR = "/root/testdata/sf0.001"
 
 needs_tables = pytest.mark.skipif(not Path(SF_DIR).is_dir(), reason="test tables not present")
-STREAMS = [name for name in driver.queries() if name.startswith(("stream_", "archive_"))]
-
 
 def plan(frame) -> str:
     return frame._jdf.queryExecution().executedPlan().toString()
 
 
-@needs_tables
-@pytest.mark.parametrize("name", [name for name in driver.queries() if name not in STREAMS])
-def test_no_python_and_no_pairing_of_everything(spark, name):
-    text = plan(driver.queries()[name](spark, SF_DIR))
-    for word in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
-        assert word not in text
-    assert not re.search(r"Window \[.*\], \[[^\]]*\]$(?<!\])", text)
-    assert "Exchange SinglePartition" not in text or name in ("gold_fanout_counts", "gold_row_counts", "preview_counts", "stream_available_now")
-
-
 @needs_tables
 def test_facts_scan_only_their_columns(spark):
     text = plan(gold.dim_time(bronze.bronze_demand(sample.demand_documents(spark, SF_DIR))))

@@ -24,6 +24,7 @@ def test_a_batch_written_again_replaces_itself(spark, folder):
     tables.append_batch(rows(spark, 4), f"{folder}/t", 1)
     assert content(tables.read_table(spark, f"{folder}/t")) == [1, 2, 4]
     assert content(tables.read_batch(spark, f"{folder}/t", 1)) == [4]
+    assert content(tables.read_latest_batch(spark, f"{folder}/t")) == [4]
     schema = rows(spark, 1).schema
     assert tables.read_table(spark, f"{folder}/t", schema).columns == ["v", "third"]
 
