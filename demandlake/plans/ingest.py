@@ -112,6 +112,15 @@ def request_disposition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return val.request_disposition(_requests(spark, sf_dir))
 
 
+def partner_disposition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Demand and capacity requests against their own contracts: status and messages per request."""
+    requests = sample.stored(spark, sample.partner_requests(spark, sf_dir), "partner-requests")
+    messages = F.transform(F.flatten("errors"), lambda error: F.concat_ws(" ", error["field"], error["message"]))
+    return val.dispose_requests(requests).select(
+        "request_id", "endpoint", "topic", "status", F.array_join(messages, ", ").alias("problems")
+    )
+
+
 def publish_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Publish the items of valid requests to a landing folder and parse what arrived there."""
     location = f"{scratch_path(spark, 'published')}/landing"
@@ -152,6 +161,7 @@ QUERIES = {
     "validate_uuid": _errors_where("message = 'pattern' AND field[0] IN ('commentId', 'objectId')"),
     **{name: _errors_where(condition) for name, condition in _RULES.items()},
     "request_disposition": request_disposition,
+    "partner_disposition": partner_disposition,
     "publish_accepted": publish_accepted,
 }
 
@@ -194,6 +204,29 @@ ORACLES = {
     "request_disposition": f"""WITH {sql.REQUESTS}
         SELECT request_id, endpoint, status, CASE WHEN status IN (200, 201) THEN total ELSE 0 END AS accepted
         FROM disposition""",
+    "partner_disposition": """WITH sent AS (
+            SELECT CAST(o_orderkey AS VARCHAR) AS request_id, '/demand' AS endpoint, 'demand-topic' AS topic,
+                   o_orderkey % 10 AS digit, 'demandSeries' AS list_field, 'materialDemandIsInactive' AS flag,
+                   l_orderkey IS NULL AS bare
+            FROM orders LEFT JOIN (SELECT DISTINCT l_orderkey FROM lineitem) ON l_orderkey = o_orderkey
+            UNION ALL
+            SELECT 'CG-' || s_suppkey, '/capacity', 'capacity-topic', s_suppkey % 10, 'capacities', 'capacityGroupIsInactive',
+                   l_suppkey IS NULL
+            FROM supplier LEFT JOIN (SELECT DISTINCT l_suppkey FROM lineitem) ON l_suppkey = s_suppkey),
+        judged AS (
+            SELECT *, list_filter([
+                CASE WHEN bare AND topic = 'demand-topic' THEN 'required: materialNumberCustomer' END,
+                CASE WHEN bare AND topic = 'demand-topic' THEN 'required: materialDescriptionCustomer' END,
+                CASE WHEN digit = 0 THEN 'required: customer' END,
+                CASE WHEN bare AND topic = 'demand-topic' THEN 'required: supplier' END,
+                CASE WHEN bare AND topic = 'capacity-topic' THEN 'required: changedAt' END,
+                CASE WHEN bare AND topic = 'capacity-topic' AND digit <> 1 THEN 'required: capacities' END,
+                CASE WHEN digit = 1 THEN list_field || ' type: array' END,
+                CASE WHEN digit = 2 THEN flag || ' type: boolean' END], lambda x: x IS NOT NULL) AS found
+            FROM sent)
+        SELECT request_id, endpoint, topic, CASE WHEN len(found) > 0 THEN 422 ELSE 201 END AS status,
+               array_to_string(list_sort(list_transform(found, lambda x: CASE WHEN x LIKE 'required%' THEN ' ' || x ELSE x END)), ', ') AS problems
+        FROM judged""",
     "publish_accepted": f"""WITH {sql.COMMENTS}, {sql.REQUESTS}
         SELECT {_COMMENT_COLUMNS} FROM comments JOIN items USING (event_id) JOIN disposition USING (request_id)
         WHERE status IN (200, 201)""",

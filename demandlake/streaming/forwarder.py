@@ -33,7 +33,7 @@ def outbox_batch(
         payloads = comments.select("arrival", "document.*").select(
             F.lit(COMMENTS_TOPIC).alias("topic"), "arrival", payload.alias("payload")
         )
-        block = F.floor(F.col("arrival") / _BLOCK_ROWS)
+        block = F.expr(f"arrival div {_BLOCK_ROWS}")
         chunks = outbox.chunk_payloads(payloads, ["arrival"], block)
         tables.append_batch(outbox.with_target(chunks, targets), location, batch_id)
     finally:
