@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandlake.llm import exact_dedup, mixing, packing, quality_rules, simhash, token_files
+from demandlake.llm import exact_dedup, mixing, packing, quality_rules, simhash, substring_dedup, suffix_dedup, token_files
 from demandlake.llm.frames import read
 from demandlake.session import configure
 
@@ -25,6 +25,11 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.remove_repeats(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = token_files.token_files(read(spark, sf_dir, "documents"))
     return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
@@ -50,13 +55,22 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeated_bytes(read(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 _QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_mixing": op2_mixing,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_token_files": op4_token_files,
     "op7_packing": op7_packing,
     "op8_simhash": op8_simhash,
     "op9_quality_rules": op9_quality_rules,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 
