@@ -9,7 +9,18 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandlake.llm import exact_dedup, mixing, packing, quality_rules, simhash, substring_dedup, suffix_dedup, token_files
+from demandlake.llm import (
+    exact_dedup,
+    lm_scores,
+    mixing,
+    packing,
+    quality_model,
+    quality_rules,
+    simhash,
+    substring_dedup,
+    suffix_dedup,
+    token_files,
+)
 from demandlake.llm.frames import read
 from demandlake.session import configure
 
@@ -35,6 +46,14 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op5_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op6_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores.lm_scores(read(spark, sf_dir, "documents"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(read(spark, sf_dir, "documents"))
     return pieces.select(
@@ -67,6 +86,8 @@ _QUERIES: dict[str, Query] = {
     "op2_mixing": op2_mixing,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_token_files": op4_token_files,
+    "op5_quality_model": op5_quality_model,
+    "op6_lm_scores": op6_lm_scores,
     "op7_packing": op7_packing,
     "op8_simhash": op8_simhash,
     "op9_quality_rules": op9_quality_rules,
