@@ -15,6 +15,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,13 +23,13 @@ from demandlake.llm.frames import whole_text
 
 CHUNK_ITEMS = 3_000_000
 
-#: A row is a blob of entries for partition `part`, or (spans, places) an answer for the row (k1, k2).
+#: A row is a blob of entries for partition `part`, or a blob of answers for the rows that `part` has.
 ENTRY_SCHEMA = (
-    "part int, k1 long, k2 int, spans binary, places binary,"
-    " hashes binary, keys binary, deltas binary, again binary, again_counts binary"
+    "part int, keys binary, begins binary, lengths binary,"
+    " hashes binary, places binary, again binary, again_counts binary"
 )
 #: Answers; `hot` and `n` name a hash with many occurrences.
-ANSWER_SCHEMA = "k1 long, k2 int, spans binary, places binary, hot long, n long"
+ANSWER_SCHEMA = "part int, keys binary, begins binary, lengths binary, hot long, n long"
 
 _KEY = np.dtype([("k1", "<i8"), ("k2", "<i4"), ("n", "<u4")])
 
@@ -76,20 +77,36 @@ def span_pairs(doc: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return doc[first], place[first], place[last] + 1
 
 
-def span_rows(k1, k2, doc, begin, end, parts: int) -> dict[str, list]:
-    """One answer row per doc, with its spans as pairs of 32-bit numbers."""
-    out: dict[str, list] = {"part": [], "k1": [], "k2": [], "spans": []}
-    pairs = np.stack([begin, end], axis=1).astype("<i4")
+def key_blob(k1: np.ndarray, k2: np.ndarray, doc: np.ndarray) -> bytes:
+    """Keys of the runs of equal docs, with their lengths."""
     bounds = _groups(doc)
+    keys = np.zeros(len(bounds) - 1, dtype=_KEY)
+    keys["k1"], keys["k2"], keys["n"] = k1[doc[bounds[:-1]]], k2[doc[bounds[:-1]]], np.diff(bounds)
+    return keys.tobytes()
+
+
+def answer_rows(k1, k2, doc, begin, end, parts: int) -> dict[str, list]:
+    """One row for each part: the ranges found in its rows, as plain arrays. Ranges come in ascending order."""
+    out: dict[str, list] = {"part": [], "keys": [], "begins": [], "lengths": []}
+    part = np.mod(k1, parts)[doc]
+    order = np.argsort(part, kind="stable")
+    bounds = _groups(part[order])
     for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-        at = int(doc[a])
-        out["part"].append(int(k1[at]) % parts)
-        out["k1"].append(int(k1[at]))
-        out["k2"].append(int(k2[at]))
-        out["spans"].append(pairs[a:b].tobytes())
+        mine = order[a:b]
+        out["part"].append(int(part[mine[0]]))
+        out["keys"].append(key_blob(k1, k2, doc[mine]))
+        out["begins"].append(planes(_ascending_deltas(doc[mine], begin[mine])))
+        out["lengths"].append(planes((end - begin)[mine]))
     return out
 
 
+def placed(keys: np.ndarray, deltas: np.ndarray) -> np.ndarray:
+    """Places from deltas that start anew with every key."""
+    sums = np.cumsum(deltas)
+    starts = np.cumsum(keys["n"].astype(np.int64)) - keys["n"]
+    return sums - np.repeat(sums[starts] - deltas[starts], keys["n"])
+
+
 def batch_of(columns: dict[str, list], schema: pa.Schema) -> pa.RecordBatch:
     size = len(next(iter(columns.values())))
     arrays = [pa.array(columns.get(f.name, [None] * size), f.type) for f in schema]
@@ -142,26 +159,23 @@ class Chunk:
         repeated[order[np.repeat(counts > 1, counts)]] = True
         chosen, chosen_counts = order[bounds[:-1]], counts
         del order
-        yield batch_of(span_rows(k1, k2, *span_pairs(docs[repeated], places[repeated]), self.parts), self.schema)
+        yield batch_of(answer_rows(k1, k2, *span_pairs(docs[repeated], places[repeated]), self.parts), self.schema)
         # One entry per different hash: those of one place with it, the others with their number.
         single = np.sort(chosen[chosen_counts == 1])
         again = chosen[chosen_counts > 1]
         again_counts = chosen_counts[chosen_counts > 1]
         by_part = [_by_part(hashes[x], self.parts) for x in (single, again)]
-        out: dict[str, list] = {x: [] for x in ("part", "hashes", "keys", "deltas", "again", "again_counts")}
+        out: dict[str, list] = {x: [] for x in ("part", "hashes", "keys", "places", "again", "again_counts")}
         for part in range(self.parts):
             mine = single[by_part[0][0][by_part[0][1][part] : by_part[0][1][part + 1]]]
             pick = by_part[1][0][by_part[1][1][part] : by_part[1][1][part + 1]]
             if not len(mine) and not len(pick):
                 continue
             doc, place = docs[mine], places[mine]
-            runs = _groups(doc)
-            keys = np.zeros(len(runs) - 1, dtype=_KEY)
-            keys["k1"], keys["k2"], keys["n"] = k1[doc[runs[:-1]]], k2[doc[runs[:-1]]], np.diff(runs)
             out["part"].append(part)
             out["hashes"].append(hashes[mine].tobytes())
-            out["keys"].append(keys.tobytes())
-            out["deltas"].append(planes(_ascending_deltas(doc, place)))
+            out["keys"].append(key_blob(k1, k2, doc))
+            out["places"].append(planes(_ascending_deltas(doc, place)))
             out["again"].append(hashes[again[pick]].tobytes())
             out["again_counts"].append(again_counts[pick].astype("<u4").tobytes())
         yield batch_of(out, self.schema)
@@ -187,7 +201,7 @@ class Entries:
         self.again.append(np.frombuffer(again, np.uint64))
         self.counts.append(np.frombuffer(counts, "<u4"))
 
-    def answers(self, hot_from: int | None) -> Iterator[dict[str, list]]:
+    def answers(self, parts: int, hot_from: int | None = None) -> Iterator[dict[str, list]]:
         if not self.hashes:
             return
         if hot_from is not None:  # the number of all items, for the caller to judge what is hot
@@ -195,35 +209,27 @@ class Entries:
             yield {"hot": [None], "n": [items]}
         again, counts = np.concatenate(self.again), np.concatenate(self.counts)
         everything = np.sort(np.concatenate([*self.hashes, again]))
-        twice = everything[1:] == everything[:-1]
-        known = np.union1d(everything[1:][twice], again)
+        known = np.union1d(everything[1:][everything[1:] == everything[:-1]], again)
         del everything
         if not len(known):
             return
         total = np.zeros(len(known), dtype=np.int64)
         np.add.at(total, np.searchsorted(known, again), counts)
+        found = []
         for hashes, keys, deltas in zip(self.hashes, self.keys, self.deltas, strict=True):
             at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
             hit = known[at] == hashes
-            if not hit.any():
-                continue
-            np.add.at(total, at[hit], 1)
-            doc = np.repeat(np.arange(len(keys)), keys["n"])
-            steps = from_planes(deltas)
-            # Deltas start anew with every document.
-            sums = np.cumsum(steps)
-            begins = np.cumsum(keys["n"].astype(np.int64)) - keys["n"]
-            places = sums - np.repeat(sums[begins] - steps[begins], keys["n"])
-            doc, places = doc[hit], places[hit]
-            bounds = _groups(doc)
-            coded = _ascending_deltas(doc, places)
-            out: dict[str, list] = {"k1": [], "k2": [], "places": []}
-            for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-                key = keys[int(doc[a])]
-                out["k1"].append(int(key["k1"]))
-                out["k2"].append(int(key["k2"]))
-                out["places"].append(planes(coded[a:b]))
-            yield out
+            if hit.any():
+                np.add.at(total, at[hit], 1)
+                doc = np.repeat(np.arange(len(keys)), keys["n"])[hit]
+                used, doc = np.unique(doc, return_inverse=True)
+                found.append((keys[used], doc, placed(keys, from_planes(deltas))[hit]))
+        if found:
+            keys, docs, places = zip(*found, strict=True)
+            before = np.cumsum([0, *map(len, keys)])[:-1]
+            doc = np.concatenate([d + n for d, n in zip(docs, before, strict=True)])
+            place, keys = np.concatenate(places), np.concatenate(keys)
+            yield answer_rows(keys["k1"].astype(np.int64), keys["k2"].astype(np.int64), doc, place, place + 1, parts)
         if hot_from is not None and (total >= hot_from).any():
             many = total >= hot_from
             yield {"hot": known[many].view(np.int64).tolist(), "n": total[many].tolist()}
@@ -240,74 +246,90 @@ def answers(entries: DataFrame, parts: int, hot_from: int | None = None) -> Data
         schema = arrow_schema(ANSWER_SCHEMA)
         gathered = Entries()
         for batch in batches:
-            columns = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
-            blob = columns["hashes"].is_valid().to_numpy(zero_copy_only=False)
-            plain = batch.filter(pa.array(~blob)).select(["k1", "k2", "spans", "places"])
+            blob = batch.column("hashes").is_valid()
+            plain = batch.filter(pc.invert(blob)).select(["part", "keys", "begins", "lengths"])
             if plain.num_rows:
-                yield batch_of({name: plain.column(name).to_pylist() for name in plain.schema.names}, schema)
-            for row in batch.filter(pa.array(blob)).to_pylist():
-                gathered.add(row["hashes"], row["keys"], row["deltas"], row["again"], row["again_counts"])
-        for out in gathered.answers(hot_from):
+                yield batch_of(plain.to_pydict(), schema)
+            for row in batch.filter(blob).to_pylist():
+                gathered.add(row["hashes"], row["keys"], row["places"], row["again"], row["again_counts"])
+        for out in gathered.answers(parts, hot_from):
             yield batch_of(out, schema)
 
     return moved.mapInArrow(answer, ANSWER_SCHEMA)
 
 
-def joined_places(spans: list[bytes], places: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Begins and ends of all places in a row's answers."""
-    pairs = np.frombuffer(b"".join(spans), "<i4").reshape(-1, 2).astype(np.int64)
-    single = np.concatenate([np.cumsum(from_planes(x)) for x in places]) if places else np.zeros(0, np.int64)
-    return np.concatenate([pairs[:, 0], single]), np.concatenate([pairs[:, 1], single + 1])
+class Answers:
+    """The answers for one partition's rows, looked up by key."""
+
+    def __init__(self):
+        self.blobs: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.k1: np.ndarray | None = None
+
+    def add(self, keys: bytes, begins: bytes, lengths: bytes) -> None:
+        table = np.frombuffer(keys, _KEY)
+        begin = placed(table, from_planes(begins))
+        self.blobs.append((table, begin.astype(np.int32), (begin + from_planes(lengths)).astype(np.int32)))
+
+    def _close(self) -> None:
+        tables, begins, ends = zip(*self.blobs, strict=True) if self.blobs else ((), (), ())
+        keys = np.concatenate([np.zeros(0, _KEY), *tables])
+        k1, k2 = np.repeat(keys["k1"], keys["n"]), np.repeat(keys["k2"], keys["n"])
+        order = np.argsort(k1, kind="stable")
+        self.k1, self.k2 = k1[order], k2[order]
+        self.begins = np.concatenate([np.zeros(0, np.int32), *begins])[order]
+        self.ends = np.concatenate([np.zeros(0, np.int32), *ends])[order]
+        self.blobs = []
+
+    def of(self, k1: int, k2: int) -> tuple[np.ndarray, np.ndarray]:
+        """Begins and ends of the ranges found in a row."""
+        if self.k1 is None:
+            self._close()
+        low, high = np.searchsorted(self.k1, k1, side="left"), np.searchsorted(self.k1, k1, side="right")
+        if low == high:
+            return self.begins[:0], self.ends[:0]
+        own = self.k2[low:high] == k2
+        return self.begins[low:high][own].astype(np.int64), self.ends[low:high][own].astype(np.int64)
 
 
 def with_answers(
-    rows: DataFrame, found: DataFrame, parts: int, finish: Callable, schema: str, make: Callable[[list], Iterator[pa.RecordBatch]],
+    rows: DataFrame,
+    found: DataFrame,
+    parts: int,
+    finish: Callable,
+    schema: str,
+    make: Callable[[list], Iterator[pa.RecordBatch]],
     bytes_together: int = 4_000_000,
 ) -> DataFrame:
-    """Each row of `keyed` with all its answers: finish(doc_id, text, key, begins, ends) -> results.
+    """Each row of `keyed` with its answers: finish(doc_id, text, key, begins, ends) -> list of results.
 
-    Texts and answers are sorted together by key, and a task reads them as a stream, one key after the
-    other; `make` turns lists of results into batches. Results are passed on every `bytes_together` bytes of text.
+    A partition reads its answers first and then its texts as a stream. `make` turns lists of results into
+    batches; results are passed on every `bytes_together` bytes of text.
     """
-    none = F.lit(None)
-    texts = rows.select("k1", "k2", "doc_id", "text", none.cast("binary").alias("spans"), none.cast("binary").alias("places"))
-    given = found.filter("k1 is not null").select(
-        "k1", "k2", none.cast(rows.schema["doc_id"].dataType).alias("doc_id"), none.cast("string").alias("text"), "spans", "places"
+    none = F.lit(None).cast("binary")
+    texts = rows.withColumn("part", F.pmod(F.col("k1"), F.lit(parts)).cast("int")).withColumns(
+        {"keys": none, "begins": none, "lengths": none}
     )
-    together = texts.unionByName(given).repartition(parts, "k1").sortWithinPartitions("k1", "k2", F.col("text").isNull())
+    given = found.filter("keys is not null").select("part", "keys", "begins", "lengths")
+    together = texts.unionByName(given, allowMissingColumns=True)
+    together = together.repartitionById(parts, F.col("part")).sortWithinPartitions(F.col("text").isNotNull())
+    together = together.select("k1", "k2", "doc_id", "text", "keys", "begins", "lengths")
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, mine, spans, places = None, [], [], []
-        done: list = []
-        size = 0
-
-        def closed():
-            if not mine:
-                return
-            begins, ends = joined_places(spans, places)
-            for doc_id, text in mine:
-                done.extend(finish(doc_id, text, key, begins, ends))
-
+        known, done, size = Answers(), [], 0
         for batch in batches:
-            k1, k2 = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for i, now in enumerate(zip(k1, k2, strict=True)):
-                if now != key:
-                    closed()
-                    key, mine, spans, places = now, [], [], []
-                text = batch.column(3)[i].as_py()
-                if text is not None:
-                    mine.append((batch.column(2)[i].as_py(), text.encode()))
-                    size += len(text)
-                    if size > bytes_together and done:
+            blobs = batch.column("text").is_null()
+            for row in batch.filter(blobs).select(["keys", "begins", "lengths"]).to_pylist():
+                known.add(row["keys"], row["begins"], row["lengths"])
+            batch = batch.filter(pc.invert(blobs))
+            keys = zip(batch.column("k1").to_pylist(), batch.column("k2").to_pylist(), strict=True)
+            for i, key in enumerate(keys):
+                text = batch.column("text")[i].as_py().encode()
+                done.extend(finish(batch.column("doc_id")[i].as_py(), text, key, *known.of(*key)))
+                size += len(text)
+                if size > bytes_together:
+                    if done:
                         yield from make(done)
-                        done, size = [], 0
-                    continue
-                span, place = batch.column(4)[i].as_py(), batch.column(5)[i].as_py()
-                if span is not None:
-                    spans.append(span)
-                if place is not None:
-                    places.append(place)
-        closed()
+                    done, size = [], 0
         if done:
             yield from make(done)
 

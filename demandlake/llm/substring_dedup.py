@@ -47,7 +47,7 @@ def remove_repeats(
         yield from chunk.flush()
 
     entries = rows.select("k1", "k2", "text").mapInArrow(collect, ENTRY_SCHEMA)
-    found = answers(entries, parts).select("k1", "k2", "spans", "places")
+    found = answers(entries, parts).drop("hot", "n")
     id_type = rows.schema["doc_id"].dataType.simpleString()
     id_arrow = to_arrow_type(rows.schema["doc_id"].dataType)
 

@@ -20,6 +20,7 @@ their own, so that no task gets more than one entry per string and chunk.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,12 +34,12 @@ from demandlake.llm.repeats import (
     ENTRY_SCHEMA,
     Chunk,
     Entries,
+    answer_rows,
     answers,
     arrow_schema,
     batch_of,
     keyed,
     span_pairs,
-    span_rows,
     with_answers,
 )
 from demandlake.llm.words import SLICE_BYTES, mixed, prefix_sums, range_hashes, row_slices, runs, text_bytes
@@ -47,12 +48,12 @@ MATCH_BYTES = 400
 ANCHOR_BYTES = 64
 HOT_SHARE = 100_000
 HOT_LEAST = 2_000
-BATCH_SEGMENTS = 1 << 15
+BATCH_SEGMENTS = 1 << 12
 
 _BASE = 0x9E3779B97F4A7C15
 _PLACE_BITS = np.uint64(21)  # a slice has fewer bytes than this many bits can count
-_SEGMENT_SCHEMA = ENTRY_SCHEMA + ", anchor long, low int, high int, middle int, bytes binary"
-_ANSWER = "k1 long, k2 int, spans binary, places binary"
+_SEGMENT_SCHEMA = ENTRY_SCHEMA + ", k1 long, k2 int, anchor long, low int, high int, middle int, bytes binary"
+_ANSWER = "part int, keys binary, begins binary, lengths binary"
 
 
 def _pieces(data: np.ndarray, offsets: np.ndarray, size: int) -> Iterator[tuple[int, int, int, np.ndarray, np.ndarray]]:
@@ -185,7 +186,7 @@ class Segments:
     def __init__(self):
         self.rows: list[tuple] = []
 
-    def answers(self, size: int, keep_first: bool) -> Iterator[dict[str, list]]:
+    def answers(self, size: int, keep_first: bool, parts: int) -> Iterator[dict[str, list]]:
         if not self.rows:
             return
         anchor = np.array([r[0] for r in self.rows], dtype=np.int64)
@@ -196,11 +197,11 @@ class Segments:
             high = int(bounds[np.searchsorted(bounds, low + BATCH_SEGMENTS, side="right") - 1])
             if high <= low:
                 high = int(bounds[np.searchsorted(bounds, low, side="right")])
-            yield from self._matched([self.rows[i] for i in order[low:high].tolist()], size, keep_first)
+            yield from self._matched([self.rows[i] for i in order[low:high].tolist()], size, keep_first, parts)
             low = high
 
     @staticmethod
-    def _matched(rows: list[tuple], size: int, keep_first: bool) -> Iterator[dict[str, list]]:
+    def _matched(rows: list[tuple], size: int, keep_first: bool, parts: int) -> Iterator[dict[str, list]]:
         _, k1, k2, low, high, middle, content = zip(*rows, strict=True)
         k1, k2 = np.array(k1, dtype=np.int64), np.array(k2, dtype=np.int64)
         low, high, middle = (np.array(x, dtype=np.int64) for x in (low, high, middle))
@@ -216,9 +217,7 @@ class Segments:
         _, first, doc = np.unique(np.stack([k1, k2]), axis=1, return_index=True, return_inverse=True)
         doc = doc.reshape(-1)[segment]
         turn = np.lexsort((start, doc))
-        out = span_rows(k1[first], k2[first], *span_pairs(doc[turn], start[turn]), 1)
-        del out["part"]
-        yield out
+        yield answer_rows(k1[first], k2[first], *span_pairs(doc[turn], start[turn]), parts)
 
 
 def _segment_batches(done: list, hot: frozenset, parts: int, size: int, keep_first: bool) -> Iterator[pa.RecordBatch]:
@@ -237,22 +236,21 @@ def _segment_batches(done: list, hot: frozenset, parts: int, size: int, keep_fir
             groups.setdefault((anchor, high - low, middle - low, content), []).append((k1, k2, low, high, middle))
     yield from chunk.flush()
     sent: dict[str, list] = {x: [] for x in ("part", "k1", "k2", "anchor", "low", "high", "middle", "bytes")}
-    known: dict[str, list] = {x: [] for x in ("part", "k1", "k2", "spans")}
+    copies: list[tuple[int, int, int, int]] = []
     for (anchor, _, _, content), members in groups.items():
         members.sort()
         k1, k2, low, high, middle = members[0]
         values = (int(np.uint64(anchor & (2**64 - 1)) >> np.uint64(32)) * parts >> 32, k1, k2, anchor, low, high, middle, content)
         for column, value in zip(sent.values(), values, strict=True):
             column.append(value)
-        for k1, k2, low, high, _ in members[int(keep_first) :] if len(members) > 1 else ():
-            known["part"].append(k1 % parts)
-            known["k1"].append(k1)
-            known["k2"].append(k2)
-            known["spans"].append(np.array([low, high + 1], dtype="<i4").tobytes())
+        copies.extend(x[:4] for x in (members[int(keep_first) :] if len(members) > 1 else ()))
     if sent["part"]:
         yield batch_of(sent, schema)
-    if known["part"]:
-        yield batch_of(known, schema)
+    if copies:
+        k1, k2, low, high = (np.array(x, dtype=np.int64) for x in zip(*sorted(copies), strict=True))
+        doc = np.concatenate([[0], np.cumsum((k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1]))])
+        first = np.concatenate([[0], np.flatnonzero(doc[1:] != doc[:-1]) + 1])
+        yield batch_of(answer_rows(k1[first], k2[first], doc, low, high + 1, parts), schema)
 
 
 def remove_repeated_bytes(
@@ -290,7 +288,7 @@ def remove_repeated_bytes(
 
     entries = rows.select("k1", "k2", "text").mapInArrow(collect, ENTRY_SCHEMA)
     anchors = stored(answers(entries, parts, hot_least), "anchors")
-    items = anchors.filter("k1 is null and hot is null").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    items = anchors.filter("keys is null and hot is null").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     # At most HOT_SHARE rows, as each stands for more than that share of all items.
     frequent = anchors.filter((F.col("hot").isNotNull()) & (F.col("n") >= max(hot_least, items // HOT_SHARE)))
     hot = frozenset(r.hot for r in frequent.select("hot").collect())
@@ -314,7 +312,7 @@ def remove_repeated_bytes(
     def send(done: list) -> Iterator[pa.RecordBatch]:
         yield from _segment_batches(done, hot, parts, size, keep_first)
 
-    sent = with_answers(rows, anchors, parts, segments, _SEGMENT_SCHEMA, send, 16_000_000)
+    sent = with_answers(rows, anchors, parts, segments, _SEGMENT_SCHEMA, send, 8_000_000)
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = arrow_schema(_ANSWER)
@@ -324,10 +322,10 @@ def remove_repeated_bytes(
                 if r["bytes"] is not None:
                     mine.rows.append((r["anchor"], r["k1"], r["k2"], r["low"], r["high"], r["middle"], r["bytes"]))
                 elif r["hashes"] is not None:
-                    gathered.add(r["hashes"], r["keys"], r["deltas"], r["again"], r["again_counts"])
+                    gathered.add(r["hashes"], r["keys"], r["places"], r["again"], r["again_counts"])
                 else:
                     yield batch_of({name: [r[name]] for name in schema.names}, schema)
-        for out in [*gathered.answers(None), *mine.answers(size, keep_first)]:
+        for out in chain(gathered.answers(parts), mine.answers(size, keep_first, parts)):
             yield batch_of(out, schema)
 
     found = stored(sent.repartitionById(parts, F.col("part")).mapInArrow(match, _ANSWER), "repeated-bytes")
