@@ -103,7 +103,9 @@ def anchor_runs(piece: np.ndarray, bounds: np.ndarray, size: int, anchor: int):
     good = valid[first]
     first, last = first[good], last[good]
     middle = least[first]
-    return row[first], first - bounds[row[first]], last - bounds[row[first]], middle - bounds[row[first]], hashes[middle]
+    # Least hashes are small; mixed once more, they spread over all partitions.
+    start = bounds[row[first]]
+    return row[first], first - start, last - start, middle - start, mixed(hashes[middle])
 
 
 def _range_minima(values: np.ndarray):
