@@ -17,7 +17,7 @@ _SPACE_RUN = r"[\x20\x09-\x0D]+"
 _WORD_AND_SPACE = r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"
 
 BLOCK_WORDS = 16
-SHARD_DOCUMENTS = 20_000
+SHARD_DOCUMENTS = 1_000
 MOST_REPEATS = 3
 
 
