@@ -110,4 +110,22 @@ def prepared(query: Query) -> Query:
 
 QUERIES: dict[str, Query] = {name: prepared(query) for name, query in _QUERIES.items()}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_exact_dedup": """
+        WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+        g AS (SELECT text, max(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY text)
+        SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(text) AS text_sha256
+        FROM t JOIN g USING (text)""",
+    "op3_substring_dedup": r"""
+        WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+        p AS (SELECT doc_id, words, unnest(generate_series(1, len(words) - 34)) AS place FROM w WHERE len(words) >= 35),
+        s AS (SELECT doc_id, place, array_to_string(words[place:place + 34], ' ') AS content FROM p),
+        r AS (SELECT doc_id, place FROM s QUALIFY count(*) OVER (PARTITION BY content) > 1),
+        gone AS (SELECT DISTINCT doc_id, place + step AS n FROM r, range(0, 35) AS steps(step)),
+        one AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS n FROM w),
+        kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY n) AS text FROM one ANTI JOIN gone USING (doc_id, n) GROUP BY doc_id),
+        removed AS (SELECT doc_id, count(*) AS n_removed FROM gone GROUP BY doc_id)
+        SELECT doc_id, len(words) AS n_words, coalesce(n_removed, 0) AS n_removed,
+            sha256(coalesce(kept.text, '')) AS kept_sha256
+        FROM w LEFT JOIN kept USING (doc_id) LEFT JOIN removed USING (doc_id)""",
+}
