@@ -143,7 +143,8 @@ def fit(
     )
     drawn = known.select("draw").orderBy("draw").limit(fit_rows).agg(F.max("draw")).first()[0]
     rows = picked(documents, doc_id=id_column, text=text_column)
-    joined = rows.join(known, F.col("doc_id") == F.col("label_id")).select(
+    # Always a shuffled join: labels grow with the documents, and so it costs alike at every size.
+    joined = rows.join(known.hint("merge"), F.col("doc_id") == F.col("label_id")).select(
         "text", "label", (F.col("draw") <= F.lit(drawn)).alias("chosen")
     )
 
