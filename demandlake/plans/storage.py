@@ -14,7 +14,7 @@ from demandlake.plans import sample_messages as sample
 from demandlake.plans import sql_parts as sql
 from demandlake.session import scratch_path
 from demandlake.sources import tables, topics
-from demandlake.streaming.forwarder import start_forwarder
+from demandlake.streaming.forwarder import quarantine_path, start_forwarder
 from demandlake.streaming.medallion import start_medallion
 
 _LOADED_AT = "2024-01-01 00:00:00"
@@ -118,19 +118,53 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, aside).select("topic", "value", "reason")
 
 
-def stream_outbox(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Comments through the outbox stream; returns the number of payloads and chunks per target."""
+def stream_second_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two streams with a checkpoint each fill one lake; rows per table and customer of what both left there."""
+    base = scratch_path(spark, "second-checkpoint")
+    messages = sample.stored(spark, sample.demand_messages(spark, sf_dir), "two-halves")
+    inactive = F.get_json_object("value", "$.materialDemandIsInactive") == "true"
+    for name, part in (("first", messages.filter(inactive)), ("second", messages.filter(~inactive))):
+        topics.land_messages(part, f"{base}/{name}")
+        source = topics.topic_stream(spark, f"{base}/{name}")
+        start_medallion(source, f"{base}/lake", f"{base}/checkpoint-{name}", as_of=lambda batch: _LOADED_AT).awaitTermination()
+    lake = f"{base}/lake"
+    left = {
+        "bronze": (tables.read_table(spark, tables.layer_path(lake, "bronze", DEMAND_TOPIC)), "customer"),
+        "DimCustomer": (tables.read_table(spark, tables.layer_path(lake, "gold", DEMAND_TOPIC, "DimCustomer")), "CustomerBPNL"),
+        "FactMaterialDemand": (
+            tables.read_table(spark, tables.layer_path(lake, "gold", DEMAND_TOPIC, "FactMaterialDemand")),
+            "CustomerBPNL",
+        ),
+    }
+    counts = [
+        frame.groupBy(F.lit(name).alias("table_name"), F.col(key).alias("customer")).agg(F.count(F.lit(1)).alias("row_count"))
+        for name, (frame, key) in left.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def _run_forwarder(spark: SparkSession, sf_dir: str) -> str:
     base = scratch_path(spark, "outbox")
     topics.land_messages(sample.comment_messages(spark, sf_dir), f"{base}/landing")
     source = topics.topic_stream(spark, f"{base}/landing")
     target = {COMMENTS_TOPIC: "target/comments"}
     start_forwarder(source, f"{base}/outbox", f"{base}/checkpoint", ["folder-1"], "tenant-1", target).awaitTermination()
-    chunks = tables.read_table(spark, f"{base}/outbox")
+    return f"{base}/outbox"
+
+
+def stream_outbox(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Comments through the outbox stream; returns the number of payloads and chunks per target."""
+    chunks = tables.read_table(spark, _run_forwarder(spark, sf_dir))
     return chunks.groupBy("topic", "target").agg(
         F.sum("payload_count").alias("payloads"), F.count(F.lit(1)).alias("chunks")
     )
 
 
+def stream_outbox_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the outbox stream put aside, with the reasons."""
+    return tables.read_table(spark, quarantine_path(_run_forwarder(spark, sf_dir)))
+
+
 def preview_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Store the gold tables of demand, list them as the preview does, and count their rows."""
     lake = scratch_path(spark, "preview")
@@ -154,6 +188,8 @@ QUERIES = {
     "stream_available_now": stream_available_now,
     "stream_quarantine": stream_quarantine,
     "stream_outbox": stream_outbox,
+    "stream_outbox_quarantine": stream_outbox_quarantine,
+    "stream_second_checkpoint": stream_second_checkpoint,
 }
 
 _PARTNERS = """SELECT c_name AS name, c_mktsegment AS segment, NULL AS nation FROM customer
@@ -180,6 +216,12 @@ ORACLES = {
         WHERE reason IS NULL GROUP BY table_name""",
     "stream_quarantine": f"""WITH {sql.COMMENT_MESSAGES}
         SELECT topic, value, reason FROM comment_messages WHERE reason IS NOT NULL""",
+    "stream_outbox_quarantine": f"""WITH {sql.COMMENT_MESSAGES}
+        SELECT topic, value, reason FROM comment_messages WHERE reason IS NOT NULL""",
+    "stream_second_checkpoint": f"""WITH {sql.DEMAND}
+        SELECT table_name, customer, count(*) AS row_count FROM demand, (VALUES ('bronze'), ('FactMaterialDemand')) AS t(table_name)
+        GROUP BY table_name, customer
+        UNION ALL SELECT DISTINCT 'DimCustomer', customer, 1 FROM demand""",
     "stream_outbox": f"""WITH {sql.COMMENT_MESSAGES}
         SELECT topic, 'target/comments' AS target, count(*) AS payloads, (count(*) + 99) // 100 AS chunks
         FROM comment_messages WHERE reason IS NULL GROUP BY topic""",

@@ -2,9 +2,15 @@
 
 Two layouts, both written so that repeating a micro-batch replaces what it wrote before:
 
-* a batch table (`batch_id=<n>/`) grows by one folder per micro-batch: bronze, silver, facts;
-* a versioned table (`version=<n>/`) is replaced as a whole. A version counts from the moment Spark
-  has put its `_SUCCESS` file, so readers never see half of one.
+* a batch table (`batch_id=<label>/`) grows by one folder per micro-batch: bronze, silver, facts. A
+  label names the stream and its batch, so several streams, or a stream with a new checkpoint, add to
+  a table without touching each other's batches;
+* a versioned table (`version=<n>/`) is replaced as a whole. A stream builds on the newest version,
+  whoever wrote it, and leaves its label there (`_by.<stream>.<n>`), so a batch tried again finds what
+  it has merged. Two merges of one table at the same moment are refused: the later one fails, and its
+  batch is tried again on top of the other's version.
+
+Batches and versions count from the moment their `_SUCCESS` file is there, so readers never see half of one.
 
 A history-keeping dimension is a versioned table split by `state`: each version holds all rows
 open after its merge, and only those rows which that merge closed. Closed rows never change, so
@@ -14,8 +20,10 @@ they are not written again.
 from __future__ import annotations
 
 import logging
+from dataclasses import dataclass
 
 from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -23,7 +31,7 @@ from pyspark.sql.types import StructType
 from demandlake.contracts import topic_of
 from demandlake.operators.layout import check_columns, spread_for_write
 from demandlake.operators.scd import DimSpec, backfill, merge_open, stamp
-from demandlake.sources.files import any_match, child_folders, delete_folder, exists, touch
+from demandlake.sources.files import any_match, child_folders, delete_folder, exists, matches, modified, rename, touch
 
 logger = logging.getLogger(__name__)
 
@@ -33,9 +41,21 @@ _STATE = "state"
 _OPEN = "open"
 _CLOSED = "closed"
 _SUCCESS = "_SUCCESS"
+_BY = "_by"
 _NO_MARKER = {"mapreduce.fileoutputcommitter.marksuccessfuljobs": "false"}
 
 
+@dataclass(frozen=True)
+class Origin:
+    """The stream, by the id its checkpoint keeps, and the micro-batch that a write belongs to."""
+
+    stream: str
+    batch: int
+
+    def __str__(self) -> str:
+        return f"{self.stream}-{self.batch}"
+
+
 def _write(frame: DataFrame, location: str, partitions: list[str], **options: str) -> None:
     frame.write.mode("overwrite").options(**options).partitionBy(*partitions).parquet(location)
 
@@ -51,18 +71,10 @@ def observed(seen: Observation, name: str) -> int | None:
         return None
 
 
-def _numbers(spark: SparkSession, location: str, kind: str) -> list[int]:
-    """Numbers of all batch or version folders, complete or not, oldest first."""
+def _versions(spark: SparkSession, location: str) -> list[int]:
+    """Numbers of all version folders, complete or not, oldest first."""
     names = child_folders(spark, location)
-    return sorted(int(name.split("=", 1)[1]) for name in names if name.startswith(f"{kind}="))
-
-
-def _newest(spark: SparkSession, location: str, kind: str, before: int | None = None) -> int | None:
-    """The newest batch or version that is complete, and older than `before` if that is given."""
-    for number in reversed(_numbers(spark, location, kind)):
-        if (before is None or number < before) and exists(spark, f"{location}/{kind}={number}/{_SUCCESS}"):
-            return number
-    return None
+    return sorted(int(name.split("=", 1)[1]) for name in names if name.startswith(f"{_VERSION}="))
 
 
 # --- Batch tables -------------------------------------------------------------------------------
@@ -71,7 +83,7 @@ def _newest(spark: SparkSession, location: str, kind: str, before: int | None =
 def append_batch(
     frame: DataFrame,
     location: str,
-    batch_id: int,
+    batch_id: int | Origin,
     partitions: list[str] | None = None,
     gathered: bool = False,
 ) -> DataFrame:
@@ -87,17 +99,29 @@ def append_batch(
     return frame.sparkSession.read.schema(frame.schema).parquet(target)
 
 
-def read_batch(spark: SparkSession, location: str, batch_id: int) -> DataFrame:
+def read_batch(spark: SparkSession, location: str, batch_id: int | Origin) -> DataFrame:
     """One micro-batch of a table."""
     return spark.read.parquet(f"{location}/{_BATCH}={batch_id}")
 
 
 def read_latest_batch(spark: SparkSession, location: str) -> DataFrame:
-    """Only the newest complete micro-batch, as if each one had replaced the table."""
-    newest = _newest(spark, location, _BATCH)
-    if newest is None:
+    """Only the micro-batch completed last, by any stream, as if each one had replaced the table."""
+    complete = _complete_batches(spark, location)
+    if not complete:
         raise FileNotFoundError(f"no complete batch in {location}")
-    return read_batch(spark, location, newest)
+    return spark.read.parquet(complete[-1])
+
+
+def _complete_batches(spark: SparkSession, location: str) -> list[str]:
+    """The folders of all complete micro-batches, in the order of their completion."""
+    found = []
+    for name in child_folders(spark, location):
+        if name.startswith(f"{_BATCH}="):
+            moment = modified(spark, f"{location}/{name}/{_SUCCESS}")
+            if moment is not None:
+                number = int(name.rsplit("-", 1)[-1].rsplit("=", 1)[-1])
+                found.append((moment, number, f"{location}/{name}"))
+    return [folder for _, _, folder in sorted(found)]
 
 
 # --- Versioned tables ---------------------------------------------------------------------------
@@ -105,7 +129,51 @@ def read_latest_batch(spark: SparkSession, location: str) -> DataFrame:
 
 def latest_version(spark: SparkSession, location: str, before: int | None = None) -> int | None:
     """The newest complete version, or the newest one older than `before`."""
-    return _newest(spark, location, _VERSION, before)
+    for number in reversed(_versions(spark, location)):
+        if (before is None or number < before) and exists(spark, f"{location}/{_VERSION}={number}/{_SUCCESS}"):
+            return number
+    return None
+
+
+def _has_merged(spark: SparkSession, location: str, origin: Origin) -> bool:
+    """Whether a complete version holds this batch already.
+
+    The batches of a stream come in order, so the newest version of the same stream decides.
+    """
+    for number in reversed(_versions(spark, location)):
+        folder = f"{location}/{_VERSION}={number}"
+        names = matches(spark, f"{folder}/{_BY}.{origin.stream}.*")
+        if names and exists(spark, f"{folder}/{_SUCCESS}"):
+            return max(int(name.rsplit(".", 1)[1]) for name in names) >= origin.batch
+    return False
+
+
+def _next_version(spark: SparkSession, location: str, at: int | Origin) -> tuple[int | None, int]:
+    """(the version to build on, the version to write)."""
+    if isinstance(at, int):
+        return latest_version(spark, location, before=at), at
+    base = latest_version(spark, location)
+    return base, 0 if base is None else base + 1
+
+
+def _write_version(frame: DataFrame, location: str, version: int, partitions: list[str], at: int | Origin) -> None:
+    """Write a version that builds on the one before, and complete it."""
+    target = f"{location}/{_VERSION}={version}"
+    if isinstance(at, int):
+        _write(frame, target, partitions)
+        return
+    spark = frame.sparkSession
+    # Written under a name readers skip, as another stream may be writing the same version.
+    draft = f"{location}/_draft.{at}"
+    _write(frame, draft, partitions, **_NO_MARKER)
+    if exists(spark, f"{target}/{_SUCCESS}"):
+        delete_folder(spark, draft)
+        raise RuntimeError(f"another stream has merged into {location} meanwhile; try again")
+    delete_folder(spark, target)
+    if not rename(spark, draft, target):
+        raise RuntimeError(f"could not put {target} in place; try again")
+    touch(spark, f"{target}/{_BY}.{at.stream}.{at.batch}")
+    touch(spark, f"{target}/{_SUCCESS}")
 
 
 def _drop_expired(spark: SparkSession, location: str, keep: int | None, part: str = "") -> None:
@@ -116,7 +184,7 @@ def _drop_expired(spark: SparkSession, location: str, keep: int | None, part: st
     """
     if keep is None:
         return
-    for number in reversed(_numbers(spark, location, _VERSION)[: -max(keep, 2)]):
+    for number in reversed(_versions(spark, location)[: -max(keep, 2)]):
         folder = f"{location}/{_VERSION}={number}{part}"
         if not exists(spark, folder):
             return
@@ -145,13 +213,15 @@ def read_version(spark: SparkSession, location: str, version: int) -> DataFrame:
     return spark.read.parquet(f"{location}/{_VERSION}={version}")
 
 
-def extend_distinct(frame: DataFrame, location: str, version: int, keep: int | None = None) -> None:
+def extend_distinct(frame: DataFrame, location: str, version: int | Origin, keep: int | None = None) -> None:
     """Write the distinct rows of the table so far and of `frame` as a new version."""
     spark = frame.sparkSession
-    base = latest_version(spark, location, before=version)
+    if isinstance(version, Origin) and _has_merged(spark, location, version):
+        return
+    base, number = _next_version(spark, location, version)
     if base is not None:
         frame = read_version(spark, location, base).unionByName(frame).distinct()
-    _write(frame, f"{location}/{_VERSION}={version}", [])
+    _write_version(frame, location, number, [], version)
     _drop_expired(spark, location, keep)
 
 
@@ -163,23 +233,24 @@ def _open_rows(spark: SparkSession, location: str, version: int) -> DataFrame:
 
 
 def merge_dimension(
-    incoming: DataFrame, location: str, spec: DimSpec, as_of: str, version: int, keep: int | None = None
+    incoming: DataFrame, location: str, spec: DimSpec, as_of: str, version: int | Origin, keep: int | None = None
 ) -> None:
-    """Merge a snapshot into a stored dimension and write the outcome as `version`.
+    """Merge a snapshot into a stored dimension and write the outcome as a new version.
 
-    The merge starts from the newest version before `version`, so a repeated micro-batch starts
-    from the same rows as its first try. `keep` drops the open rows of all but that many versions.
+    With a number, the merge starts from the newest version before it, so a repeated one starts from
+    the same rows as its first try. With an origin, it starts from the newest version of all, and does
+    nothing if that batch was merged before. `keep` drops the open rows of all but that many versions.
     """
     spark = incoming.sparkSession
-    base = latest_version(spark, location, before=version)
+    if isinstance(version, Origin) and _has_merged(spark, location, version):
+        return
+    base, number = _next_version(spark, location, version)
     if base is None:
         merged = stamp(incoming, spec.keys, as_of)
     else:
         merged = merge_open(_open_rows(spark, location, base), incoming, spec, as_of)
     state = F.when(F.col("IsCurrent"), _OPEN).otherwise(_CLOSED)
-    merged.withColumn(_STATE, state).write.mode("overwrite").partitionBy(_STATE).parquet(
-        f"{location}/{_VERSION}={version}"
-    )
+    _write_version(merged.withColumn(_STATE, state), location, number, [_STATE], version)
     _drop_expired(spark, location, keep, f"/{_STATE}={_OPEN}")
 
 
@@ -209,7 +280,7 @@ def read_dimension(spark: SparkSession, location: str) -> DataFrame:
 
 
 def read_table(spark: SparkSession, location: str, schema: StructType | None = None) -> DataFrame:
-    """The current content of a table of any layout, without its bookkeeping columns.
+    """The current content of a table of any layout, without its bookkeeping columns; complete batches only.
 
     The columns of a batch table are the union over its batches, found by reading every file's
     footer; on tables of very many batches give the `schema` instead.
@@ -220,11 +291,13 @@ def read_table(spark: SparkSession, location: str, schema: StructType | None = N
         if any(name.startswith(f"{_STATE}=") for name in states):
             return read_dimension(spark, location)
         return read_version(spark, location, newest)
-    if not any(name.startswith(f"{_BATCH}=") for name in child_folders(spark, location)):
+    complete = _complete_batches(spark, location)
+    if not complete:
         raise FileNotFoundError(f"no table in {location}")
+    reader = spark.read.option("basePath", location)
     if schema is not None:
-        return spark.read.schema(schema).parquet(location).select(*schema.names)
-    return spark.read.option("mergeSchema", True).parquet(location).drop(_BATCH)
+        return reader.schema(schema).parquet(*complete).select(*schema.names)
+    return reader.option("mergeSchema", True).parquet(*complete).drop(_BATCH)
 
 
 def layer_path(lake: str, layer: str, topic: str, table: str | None = None) -> str:
@@ -242,7 +315,7 @@ def preview_gold(spark: SparkSession, lake: str, topic: str) -> dict[str, DataFr
     for name in child_folders(spark, base):
         try:
             tables[name] = read_table(spark, f"{base}/{name}")
-        except Exception as problem:
+        except (FileNotFoundError, AnalysisException) as problem:
             logger.warning("skipped %s/%s: %s", base, name, problem)
     return tables
 

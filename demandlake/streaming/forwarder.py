@@ -1,4 +1,7 @@
-"""Outbox stream: comments reshaped and chunked for delivery by another service."""
+"""Outbox stream: comments reshaped and chunked for delivery by another service.
+
+What cannot be delivered is put aside: unreadable comments, and messages of other topics.
+"""
 
 from __future__ import annotations
 
@@ -9,26 +12,44 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from demandlake.contracts import COMMENTS_TOPIC
+from demandlake.contracts import COMMENTS_TOPIC, TOPICS
+from demandlake.operators import messages as msg
 from demandlake.operators import outbox
-from demandlake.operators.messages import decode_messages, parse_with_flag
 from demandlake.sources import tables
+from demandlake.sources.tables import Origin
+from demandlake.streaming.medallion import QUARANTINE, origin_of
 
 # Rows numbered by one task; positions are unique, so a block can hold no more.
 _BLOCK_ROWS = 10_000
+NOT_FORWARDED = "not_forwarded"
+
+
+def _undeliverable(messages: DataFrame) -> DataFrame:
+    """Unreadable comments, messages of unknown topics, and of topics that have no outbound form."""
+    others = messages.filter(F.col("topic").isin(*[name for name in TOPICS if name != COMMENTS_TOPIC]))
+    return (
+        msg.quarantine_messages(messages, COMMENTS_TOPIC)
+        .unionByName(msg.quarantine_unknown_topics(messages))
+        .unionByName(others.select("topic", "value", F.lit(NOT_FORWARDED).alias("reason")))
+    )
+
+
+def quarantine_path(location: str) -> str:
+    """Where the stream puts aside what it cannot deliver, beside the outbox."""
+    return f"{location}-{QUARANTINE}"
 
 
 def outbox_batch(
-    batch: DataFrame, batch_id: int, location: str, folder_ids: list[str], tenant_id: str, targets: Mapping[str, str]
+    batch: DataFrame, batch_id: int | Origin, location: str, folder_ids: list[str], tenant_id: str, targets: Mapping[str, str]
 ) -> None:
-    """Write the chunks of one micro-batch to the outbox table, in order of arrival."""
+    """Write the chunks of one micro-batch to the outbox table, in order of arrival, and the rest to the quarantine."""
     arrived = (
-        decode_messages(batch)
+        msg.decode_messages(batch)
         .withColumn("arrival", F.monotonically_increasing_id())
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
     try:
-        comments = parse_with_flag(arrived, COMMENTS_TOPIC, keep=["arrival"]).filter("readable")
+        comments = msg.parse_with_flag(arrived, COMMENTS_TOPIC, keep=["arrival"]).filter("readable")
         payload = outbox.payload_json(outbox.comment_payload(folder_ids, tenant_id))
         payloads = comments.select("arrival", "document.*").select(
             F.lit(COMMENTS_TOPIC).alias("topic"), "arrival", payload.alias("payload")
@@ -36,6 +57,7 @@ def outbox_batch(
         block = F.expr(f"arrival div {_BLOCK_ROWS}")
         chunks = outbox.chunk_payloads(payloads, ["arrival"], block)
         tables.append_batch(outbox.with_target(chunks, targets), location, batch_id)
+        tables.append_batch(_undeliverable(arrived), quarantine_path(location), batch_id)
     finally:
         arrived.unpersist()
 
@@ -54,7 +76,7 @@ def start_forwarder(
         raise ValueError(f"no delivery target configured for {COMMENTS_TOPIC}")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        outbox_batch(batch, batch_id, location, folder_ids, tenant_id, targets)
+        outbox_batch(batch, origin_of(batch, batch_id), location, folder_ids, tenant_id, targets)
 
     writer = source.writeStream.outputMode("append").foreachBatch(handle).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()

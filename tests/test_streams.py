@@ -155,3 +155,53 @@ def test_forwarder_writes_chunks(spark, folder):
 def test_forwarder_needs_a_target(spark, folder):
     with pytest.raises(ValueError, match="target"):
         start_forwarder(None, f"{folder}/outbox", f"{folder}/checkpoint", ["f"], "t", {})
+
+
+def run_second(spark, folder):
+    source = topics.topic_stream(spark, f"{folder}/landing-2")
+    start_medallion(source, f"{folder}/lake", f"{folder}/checkpoint-2", as_of=lambda batch: "2024-02-01 00:00:00").awaitTermination()
+
+
+def test_a_second_checkpoint_adds_to_the_lake(spark, folder):
+    land(spark, folder, DEMAND_TOPIC, FIRST, "{broken")
+    run(spark, folder)
+    topics.land_messages(messages(spark, DEMAND_TOPIC, SECOND, "[broken").coalesce(1), f"{folder}/landing-2")
+    run_second(spark, folder)
+    assert tables.read_table(spark, tables.layer_path(f"{folder}/lake", "bronze", DEMAND_TOPIC)).count() == 6
+    assert tables.read_table(spark, f"{folder}/lake/quarantine/{DEMAND_TOPIC}").count() == 2
+    assert gold_table(spark, folder, DEMAND_TOPIC, "FactMaterialDemand").count() == 6
+    assert gold_table(spark, folder, DEMAND_TOPIC, "DimCustomer").count() == 2
+    materials = gold_table(spark, folder, DEMAND_TOPIC, "DimMaterial").orderBy("ValidFrom").collect()
+    assert [(m.MaterialDescription, m.IsCurrent) for m in materials] == [("first", False), ("second", True)]
+
+
+def test_a_replay_after_another_stream_changes_nothing(spark, folder):
+    import os
+
+    land(spark, folder, DEMAND_TOPIC, FIRST)
+    run(spark, folder)
+    topics.land_messages(messages(spark, DEMAND_TOPIC, SECOND).coalesce(1), f"{folder}/landing-2")
+    run_second(spark, folder)
+    names = ("FactMaterialDemand", "DimMaterial", "DimCustomer", "DimTime")
+    before = {name: as_text(gold_table(spark, folder, DEMAND_TOPIC, name)) for name in names}
+    # The first stream did all its work but did not get to commit the batch.
+    for name in ("0", ".0.crc"):
+        os.remove(f"{folder}/checkpoint/commits/{name}")
+    run(spark, folder)
+    assert {name: as_text(gold_table(spark, folder, DEMAND_TOPIC, name)) for name in names} == before
+
+
+def test_forwarder_puts_aside_what_it_cannot_deliver(spark, folder):
+    from demandlake.streaming.forwarder import quarantine_path
+
+    land(spark, folder, COMMENTS_TOPIC, comment(), "{broken")
+    land(spark, folder, DEMAND_TOPIC, FIRST)
+    land(spark, folder, "else", "{}")
+    source = topics.topic_stream(spark, f"{folder}/landing")
+    start_forwarder(source, f"{folder}/outbox", f"{folder}/checkpoint", ["f"], "t", {COMMENTS_TOPIC: "x"}).awaitTermination()
+    aside = tables.read_table(spark, quarantine_path(f"{folder}/outbox")).collect()
+    assert sorted((row.topic, row.reason) for row in aside) == [
+        (COMMENTS_TOPIC, "malformed_json"),
+        (DEMAND_TOPIC, "not_forwarded"),
+        ("else", "unknown_topic"),
+    ]

@@ -116,3 +116,11 @@ def test_landing_folder(spark, folder):
 def test_broker_without_connector(spark):
     with pytest.raises(RuntimeError, match="connector"):
         topics.broker_stream(spark, "localhost:1")
+
+
+def test_an_incomplete_batch_is_not_read(spark, folder):
+    tables.append_batch(rows(spark, 1), f"{folder}/t", 0)
+    tables.append_batch(rows(spark, 2), f"{folder}/t", tables.Origin("other", 0))
+    assert content(tables.read_table(spark, f"{folder}/t")) == [1, 2]
+    os.remove(f"{folder}/t/batch_id=other-0/_SUCCESS")
+    assert content(tables.read_table(spark, f"{folder}/t")) == [1]
