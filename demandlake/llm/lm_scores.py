@@ -50,48 +50,66 @@ class Network:
                     for name, shape in self.shapes.items()
                 ]
             )
-        self.values = values.astype(np.float32).copy()
+        self.values = np.array(values, np.float32)
         at = 0
         for name, shape in self.shapes.items():
             size = int(np.prod(shape))
             setattr(self, name, self.values[at : at + size].reshape(shape))
             at += size
 
-    def hidden(self, context: np.ndarray) -> np.ndarray:
-        return np.tanh((self.embed[context] * self.scale).sum(axis=1))
+    # One column per word, so that sums over the short axis run along memory; columns are sorted by class.
+
+    def hidden(self, looked: np.ndarray) -> np.ndarray:
+        """The hidden layer (HIDDEN, words) of embeddings looked up (words, sides, HIDDEN)."""
+        return np.ascontiguousarray(np.tanh(np.einsum("nsd,sd->nd", looked, self.scale)).T)
+
+    def class_logits(self, hidden: np.ndarray) -> np.ndarray:
+        return self.class_out @ hidden + self.class_bias[:, None]
+
+    def place_logits(self, hidden: np.ndarray, columns: list[tuple[int, slice]]) -> np.ndarray:
+        """Of the places in each column's class."""
+        logits = np.empty((CLASSES, hidden.shape[1]), np.float32)
+        for c, own in columns:
+            logits[:, own] = self.place_out[c] @ hidden[:, own] + self.place_bias[c][:, None]
+        return logits
 
     def log_probabilities(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Of each target id given the ids beside it."""
-        hidden = self.hidden(context)
-        of_class, place = target // CLASSES, target % CLASSES
-        out = _log_softmax(hidden @ self.class_out.T + self.class_bias)[np.arange(len(target)), of_class]
-        for c, rows in _by_class(of_class):
-            logits = _log_softmax(hidden[rows] @ self.place_out[c].T + self.place_bias[c])
-            out[rows] += logits[np.arange(len(rows)), place[rows]]
+        order, of_class, place, columns = _by_class(target)
+        hidden = self.hidden(self.embed[context[order]])
+        each = np.arange(len(target))
+        out = np.empty(len(target), np.float32)
+        out[order] = (
+            _log_softmax(self.class_logits(hidden))[of_class, each]
+            + _log_softmax(self.place_logits(hidden, columns))[place, each]
+        )
         return out
 
     def gradient(self, context: np.ndarray, target: np.ndarray) -> Network:
         """Of the summed negative log-probability, in the shape of a network."""
         slope = Network(np.zeros_like(self.values))
-        hidden = self.hidden(context)
-        of_class, place = target // CLASSES, target % CLASSES
-        error = np.exp(_log_softmax(hidden @ self.class_out.T + self.class_bias))
-        error[np.arange(len(target)), of_class] -= 1
-        slope.class_out += error.T @ hidden
-        slope.class_bias += error.sum(axis=0)
-        back = error @ self.class_out
-        for c, rows in _by_class(of_class):
-            error = np.exp(_log_softmax(hidden[rows] @ self.place_out[c].T + self.place_bias[c]))
-            error[np.arange(len(rows)), place[rows]] -= 1
-            slope.place_out[c] += error.T @ hidden[rows]
-            slope.place_bias[c] += error.sum(axis=0)
-            back[rows] += error @ self.place_out[c]
-        back *= 1 - hidden**2
-        for side in range(context.shape[1]):
-            slope.scale[side] += (back * self.embed[context[:, side]]).sum(axis=0)
-            moved = back * self.scale[side]
-            for d in range(HIDDEN):
-                slope.embed[:, d] += np.bincount(context[:, side], weights=moved[:, d], minlength=len(self.embed))
+        order, of_class, place, columns = _by_class(target)
+        context = context[order]
+        looked = self.embed[context]
+        hidden = self.hidden(looked)
+        each = np.arange(len(target))
+        error = _softmax(self.class_logits(hidden))
+        error[of_class, each] -= 1
+        slope.class_out += error @ hidden.T
+        slope.class_bias += error.sum(axis=1)
+        back = self.class_out.T @ error
+        error = _softmax(self.place_logits(hidden, columns))
+        error[place, each] -= 1
+        for c, own in columns:
+            slope.place_out[c] += error[:, own] @ hidden[:, own].T
+            slope.place_bias[c] += error[:, own].sum(axis=1)
+            back[:, own] += self.place_out[c].T @ error[:, own]
+        back *= 1 - hidden * hidden
+        slope.scale += np.einsum("nd,nsd->sd", np.ascontiguousarray(back.T), looked)
+        sides = context.T.ravel()
+        for d in range(HIDDEN):
+            moved = np.multiply.outer(self.scale[:, d], back[d]).ravel()
+            slope.embed[:, d] += np.bincount(sides, moved, len(self.embed))
         return slope
 
     def start_from(self, counts: np.ndarray) -> None:
@@ -115,16 +133,23 @@ class Descent:
 
 
 def _log_softmax(logits: np.ndarray) -> np.ndarray:
-    logits = logits - logits.max(axis=1, keepdims=True)
-    return logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
+    """Of each column."""
+    logits = logits - logits.max(axis=0, initial=-np.inf)
+    return logits - np.log(np.exp(logits).sum(axis=0))
+
+
+def _softmax(logits: np.ndarray) -> np.ndarray:
+    """Of each column."""
+    shares = np.exp(logits - logits.max(axis=0, initial=-np.inf))
+    return shares / shares.sum(axis=0)
 
 
-def _by_class(of_class: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    order = np.argsort(of_class.astype(np.uint8), kind="stable")
-    bounds = np.searchsorted(of_class[order], np.arange(CLASSES + 1))
-    for c in range(CLASSES):
-        if bounds[c + 1] > bounds[c]:
-            yield c, order[bounds[c] : bounds[c + 1]]
+def _by_class(target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[int, slice]]]:
+    """(order by class, class and place of the targets in that order, the classes met with their ranges)."""
+    order = np.argsort((target // CLASSES).astype(np.uint8), kind="stable")
+    of_class, place = np.divmod(target[order], CLASSES)
+    bounds = np.searchsorted(of_class, np.arange(CLASSES + 1))
+    return order, of_class, place, [(c, slice(bounds[c], bounds[c + 1])) for c in np.unique(of_class)]
 
 
 def examples(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
