@@ -48,11 +48,11 @@ def test_missing_category_and_bad_date_keep_the_row(spark):
 
 def test_capacity_takes_the_first_threshold_and_series(spark):
     rows = flat_capacity(spark, capacity()).orderBy("pointInTime").collect()
-    assert [r.actualCapacity for r in rows] == [1001.0, 1002.0, 1003.0]
+    assert [r.actualCapacity for r in rows] == [271.0, 272.0, 273.0]
     assert len(rows[0]) == 28
     first = rows[0]
-    assert (first.sequenceNumber, first.absoluteNegativeDeviation) == (1, 101.0)
-    assert (first.materialNumberCustomer, first.demandCategoryCode) == ("MC-1", "0001")
+    assert (first.sequenceNumber, first.absoluteNegativeDeviation) == (1, 17.0)
+    assert (first.materialNumberCustomer, first.demandCategoryCode) == ("MC-1", "A1")
     assert first.linkedCapacityGroups == ["cg-2", "cg-3"]
 
 
@@ -119,7 +119,7 @@ def test_iso_dates(spark, text, day):
 
 def test_capacity_facts_use_the_flat_names(spark):
     row = gold.fact_capacity_group(flat_capacity(spark, capacity())).orderBy("PointInTime").first()
-    assert (row.CapacityGroupID, row.MaxCapacity, row.MeasurementIntervalWeeks) == ("cg-1", 2000.5, 4)
+    assert (row.CapacityGroupID, row.MaxCapacity, row.MeasurementIntervalWeeks) == ("cg-1", 355.5, 4)
     assert row.ParentCapacityGroupID is None
 
 

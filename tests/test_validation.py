@@ -32,8 +32,8 @@ CASES = [
     (comment(objectType=None), [(["objectType"], "type: string")]),
     (comment(author=None), [(["author"], "type: string")]),
     (comment(commentId=7), [(["commentId"], "type: string")]),
-    (comment(commentId="f5c151e4"), [(["commentId"], "pattern")]),
-    (comment(commentId="uuid:f5c151e4-30b5-4456-94fd-2a7b559b6121"), [(["commentId"], "pattern")]),
+    (comment(commentId="11111111"), [(["commentId"], "pattern")]),
+    (comment(commentId="uuid:11111111-2222-4333-8444-555555555555"), [(["commentId"], "pattern")]),
     (comment(customer="BPNL1234567AAAAA"), [(["customer"], "pattern")]),
     (comment(supplier="XBPNL12345678AAAA"), [(["supplier"], "pattern")]),
     (comment(supplier="BPNL12345678AAAA\n"), []),
