@@ -33,16 +33,19 @@ def elements(value: Column) -> Column:
     return F.try_variant_get(value, "$", "array<variant>")
 
 
-def strict_documents(text: Column, schema: str) -> Column:
+def strict_documents(text: Column, schema: str, key: str) -> Column:
     """The text's one JSON object, typed, in an array; NULL if it is not one object fitting the schema.
 
+    An object without its `key` does not fit, nor does a number written as text, NaN or infinity. A
+    STRING field takes any JSON value, a number or an object as its text.
+
     The text becomes the only element of an array inside an object with a closing member, so one
     pass both types the fields and proves that the text held one complete value. The parsed value is
     referenced once only, for Spark would repeat the parse for every further reference.
     """
     frame = F.concat(F.lit('{"documents":['), text, F.lit('],"closed":1}'))
     layout = f"documents ARRAY<STRUCT<{' '.join(schema.split())}>>, closed INT, broken STRING"
-    options = {"columnNameOfCorruptRecord": "broken", "allowSingleQuotes": "false"}
+    options = {"columnNameOfCorruptRecord": "broken", "allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
     parsed = F.array(F.from_json(frame, layout, options))
 
     def complete(record: Column) -> Column:
@@ -50,7 +53,7 @@ def strict_documents(text: Column, schema: str) -> Column:
             record["broken"].isNull()
             & (record["closed"] == 1)
             & (F.size(record["documents"]) == 1)
-            & F.get(record["documents"], F.lit(0)).isNotNull()
+            & F.get(record["documents"], F.lit(0))[key].isNotNull()
         )
 
     return F.get(F.filter(parsed, complete), F.lit(0))["documents"]

@@ -36,9 +36,9 @@ def check_columns(frame: DataFrame, names: list[str]) -> None:
         raise ValueError(f"partition columns missing from the data: {', '.join(missing)}")
 
 
-def month_partition(frame: DataFrame) -> DataFrame:
+def month_partition(frame: DataFrame, moment: str = "pointInTime") -> DataFrame:
     """Add the month of the point in time, a partition column with few values."""
-    return frame.withColumn(MONTH, F.date_format("pointInTime", "yyyy-MM"))
+    return frame.withColumn(MONTH, F.date_format(moment, "yyyy-MM"))
 
 
 def spread_for_write(frame: DataFrame, partitions: list[str]) -> DataFrame:

@@ -26,7 +26,8 @@ def of_topic(messages: DataFrame, topic: str) -> DataFrame:
 
 
 def _documents(topic: str) -> Column:
-    return jv.strict_documents(F.col("value"), topic_of(topic).message_schema)
+    entry = topic_of(topic)
+    return jv.strict_documents(F.col("value"), entry.message_schema, entry.id_column)
 
 
 def parse_with_flag(messages: DataFrame, topic: str, keep: list[str] | None = None) -> DataFrame:

@@ -13,6 +13,8 @@ from demandlake.contracts import CHUNK_SIZE
 # The members a comment is tagged with, in order.
 _TAGGED = ["supplier", "author", "commentId", "customer"]
 
+NO_TARGET = "no_target"
+
 
 def comment_payload(folder_ids: list[str], tenant_id: str) -> Column:
     """The outbound form of a comment row, for one target folder list and tenant."""
@@ -61,21 +63,34 @@ def sanitise(frame: DataFrame) -> DataFrame:
     )
 
 
+# Blocks whose starts one task sums up.
+_BLOCKS_PER_GROUP = 10_000
+
+
+def _starts(sizes: DataFrame, within: list[str], order: str, name: str) -> DataFrame:
+    """Add `name`: the sum of the sizes before a row, in the given order inside its group."""
+    before = Window.partitionBy(*within).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow - 1)
+    return sizes.withColumn(name, F.coalesce(F.sum("size").over(before), F.lit(0)))
+
+
 def number_in_topic(payloads: DataFrame, order: list[str], block: Column) -> DataFrame:
     """Number the payloads of each topic from 0 in the given order, without sorting a topic in one task.
 
-    `block` must never decrease along the order and must keep blocks small (say, an offset divided
-    by 10,000). Rows are numbered inside their block; the block's start is the sum of the block
-    sizes before it, which is a small table.
+    `block` must be a whole number that never decreases along the order, and must keep blocks small
+    (say, an offset divided by 10,000). Rows are numbered inside their block; a block's start is summed
+    inside its group of neighbouring blocks, and the group's start over the few groups of a topic.
     """
     blocked = payloads.withColumn("block", block)
-    before = Window.partitionBy("topic").orderBy("block").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow - 1
-    )
-    starts = (
+    sizes = (
         blocked.groupBy("topic", "block")
         .agg(F.count(F.lit(1)).alias("size"))
-        .select("topic", "block", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("start"))
+        .withColumn("group", F.floor(F.col("block") / _BLOCKS_PER_GROUP))
+    )
+    groups = _starts(sizes.groupBy("topic", "group").agg(F.sum("size").alias("size")), ["topic"], "group", "group_start")
+    starts = (
+        _starts(sizes, ["topic", "group"], "block", "block_start")
+        .join(groups.select("topic", "group", "group_start"), ["topic", "group"])
+        .select("topic", "block", (F.col("group_start") + F.col("block_start")).alias("start"))
     )
     inside = Window.partitionBy("topic", "block").orderBy(*order)
     return (
@@ -118,6 +133,17 @@ def with_target(chunks: DataFrame, targets: Mapping[str, str]) -> DataFrame:
     return chunks.withColumn("target", target)
 
 
+def deliverable(chunks: DataFrame, targets: Mapping[str, str]) -> DataFrame:
+    """Chunks whose topic has a delivery address, with that address."""
+    return with_target(chunks, targets).filter(F.col("target").isNotNull())
+
+
+def without_target(chunks: DataFrame, targets: Mapping[str, str]) -> DataFrame:
+    """Chunks whose topic has no delivery address, in the quarantine layout."""
+    found = with_target(chunks, targets).filter(F.col("target").isNull())
+    return found.select("topic", F.col("payload").alias("value"), F.lit(NO_TARGET).alias("reason"))
+
+
 def payload_counts(payloads: DataFrame) -> DataFrame:
     """Payloads per topic."""
     return payloads.groupBy("topic").agg(F.count(F.lit(1)).alias("payload_count"))

@@ -1,8 +1,8 @@
 """History-keeping dimensions (slowly changing, type 2).
 
 A dimension holds one open row per business key and the closed rows before it. A merge compares the
-open rows with an incoming snapshot, where every key occurs once, and is a pure function: it reads
-two frames and returns the new one. NULL counts as a value, in keys and in attributes.
+open rows with an incoming snapshot, where every key occurs once (`unique_keys` proves it), and is a
+pure function: it reads two frames and returns the new one. NULL counts as a value, in keys and in attributes.
 """
 
 from __future__ import annotations
@@ -139,6 +139,30 @@ def merge_open(open_rows: DataFrame, incoming: DataFrame, spec: DimSpec, as_of:
     return match_open(open_all, incoming_all, tracked).select(F.inline_outer(rows))
 
 
+def unique_keys(incoming: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """The snapshot, which fails when it is run if a key occurs more than once.
+
+    Rows are counted per key with the first one kept, so equal keys meet in one aggregate and no key
+    is hot, however often it occurs.
+    """
+    rows = F.struct(*incoming.columns)
+    counted = incoming.groupBy(*[F.col(key).alias(f"_key_{key}") for key in keys]).agg(
+        F.count(F.lit(1)).alias("_rows"), F.first(rows).alias("_row")
+    )
+    proof = F.assert_true(F.col("_rows") == 1, F.lit(f"a snapshot holds a key of {', '.join(keys)} more than once"))
+    # The proof is NULL where it holds; as part of a filter it is not pruned away.
+    return counted.filter(proof.isNull()).select("_row.*")
+
+
+def has_news(open_rows: DataFrame, incoming: DataFrame, spec: DimSpec) -> bool:
+    """Whether merging a snapshot would open or close any row, or add a column."""
+    if set(incoming.columns) - set(open_rows.columns):
+        return True
+    tracked = DimSpec(spec.keys, tuple(spec.tracked(incoming.columns)))
+    matched = match_open(open_rows, _columns_like(incoming, open_rows), tracked)
+    return not matched.filter(F.col("outcome").isin("new", "changed")).isEmpty()
+
+
 def scd2_merge(
     existing: DataFrame | None, incoming: DataFrame, spec: DimSpec, as_of: str
 ) -> DataFrame:

@@ -15,9 +15,14 @@ from demandlake.functions import json_values as jv
 # Shapes of a request body.
 MALFORMED = "malformed"
 SCALAR = "scalar"
+OVERSIZE = "oversize"
 OBJECT = "object"
 LIST = "list"
 
+# Larger bodies are refused as such, by size alone and before they are parsed. The JSON values of smaller
+# ones always fit the engine's limit; nesting of more than 1,000 levels does not and counts as malformed.
+MAX_BODY_BYTES = 16 * 2**20
+
 _ROOT = ""
 _WHOLE_FIELD = -1
 _NO_ERRORS = "array<struct<field: string, item: int, message: string>>"
@@ -36,13 +41,15 @@ def dispatch_requests(requests: DataFrame) -> DataFrame:
 def normalise_requests(requests: DataFrame) -> DataFrame:
     """Add `shape` and `items`: a single object becomes a list of one, a list stays as it is."""
     document = F.col("document")
+    fits = F.octet_length("body") <= MAX_BODY_BYTES
     # One select per step, as each parsed value is referenced several times by the next one.
     return (
         dispatch_requests(requests)
-        .withColumn("document", jv.strict_variant(F.col("body")))
+        .withColumn("document", F.when(fits, jv.strict_variant(F.col("body"))))
         .withColumn(
             "shape",
-            F.when(document.isNull(), MALFORMED)
+            F.when(~fits, OVERSIZE)
+            .when(document.isNull(), MALFORMED)
             .when(jv.starts_with(F.col("body"), "["), LIST)
             .when(jv.starts_with(F.col("body"), "{"), OBJECT)
             .otherwise(SCALAR),
@@ -56,9 +63,9 @@ def normalise_requests(requests: DataFrame) -> DataFrame:
 
 
 def malformed_requests(requests: DataFrame) -> DataFrame:
-    """Requests whose body is not valid JSON, or neither an object nor a list."""
+    """Requests whose body is too large, not valid JSON, or neither an object nor a list."""
     normal = normalise_requests(requests)
-    return normal.filter(F.col("shape").isin(MALFORMED, SCALAR)).select("request_id", "endpoint", "shape")
+    return normal.filter(F.col("shape").isin(OVERSIZE, MALFORMED, SCALAR)).select("request_id", "endpoint", "shape")
 
 
 # The checks are written as SQL text: a contract makes hundreds of small expressions, and handing
@@ -200,12 +207,13 @@ def dispose_requests(requests: DataFrame) -> DataFrame:
     """Decide each request as a whole: `status` and the number of items it may publish.
 
     200 all items good (also for the empty list), 201 exactly one good item, 400 unreadable or
-    only partly good, 404 unknown endpoint, 422 no good item.
+    only partly good, 404 unknown endpoint, 413 body too large, 422 no good item.
     """
     total = F.size("items")
     failed = F.size(F.filter("errors", lambda errors: F.size(errors) > 0))
     status = (
         F.when(F.col("topic").isNull(), 404)
+        .when(F.col("shape") == OVERSIZE, 413)
         .when(F.col("shape").isin(MALFORMED, SCALAR), 400)
         .when((F.col("failed") > 0) & (F.col("failed") < F.col("total")), 400)
         .when(F.col("failed") > 0, 422)

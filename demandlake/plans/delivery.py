@@ -59,10 +59,12 @@ def outbox_unwrap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def outbox_target(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Chunks with the target of their topic; one topic has none."""
+    """Chunks with the target of their topic; those of a topic that has none are put aside with a reason."""
     topic = F.when(F.col("event_id") % 41 == 0, "returns-topic").otherwise(COMMENTS_TOPIC)
     chunks = outbox.chunk_payloads(_payloads(spark, sf_dir, topic), ["event_id"], _blocks())
-    return outbox.with_target(chunks, TARGETS).select("topic", "chunk_no", "payload_count", "target")
+    sent = outbox.deliverable(chunks, TARGETS).select("topic", "payload", "target")
+    aside = outbox.without_target(chunks, TARGETS).withColumnRenamed("value", "payload")
+    return sent.unionByName(aside, allowMissingColumns=True)
 
 
 def outbox_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,7 +121,7 @@ ORACLES = {
     "outbox_chunks": _chunks("event_type", 100) + "SELECT * FROM chunks",
     "outbox_unwrap": _chunks("'for ' || author", 2) + "SELECT * FROM chunks",
     "outbox_target": _chunks("CASE WHEN event_id % 41 = 0 THEN 'returns-topic' ELSE 'comments-topic' END", 100)
-    + """SELECT topic, chunk_no, payload_count, CASE topic WHEN 'comments-topic' THEN 'target/comments' END AS target
-         FROM chunks""",
+    + """SELECT topic, payload, CASE topic WHEN 'comments-topic' THEN 'target/comments' END AS target,
+                CASE topic WHEN 'returns-topic' THEN 'no_target' END AS reason FROM chunks""",
     "outbox_counts": "SELECT event_type AS topic, count(*) AS payload_count FROM events GROUP BY 1",
 }

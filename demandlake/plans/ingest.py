@@ -14,6 +14,7 @@ from demandlake.plans import sql_parts as sql
 from demandlake.session import scratch_path
 from demandlake.sources import archive, tables, topics
 from demandlake.streaming.archiver import start_archiver
+from demandlake.streaming.ingest import ERRORS, start_ingest
 
 
 def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,13 +59,27 @@ def stream_topic_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema("value STRING, topic STRING").parquet(f"{base}/received")
 
 
+def _awkward_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The comment messages, some with line breaks between tokens, inside strings or at the end, some NULL."""
+    event = F.col("event_id")
+    value = (
+        F.when(event % 43 == 0, F.lit(None).cast("string"))
+        .when(event % 5 == 0, F.replace("value", F.lit(',"customer"'), F.lit(',\r\n"customer"')))
+        .when(event % 7 == 0, F.replace("value", F.lit("Comment "), F.lit("Comment\n")))
+        .when(event % 9 == 0, F.concat("value", F.lit("\n\n")))
+        .otherwise(F.col("value"))
+    )
+    return sample.comment_messages(spark, sf_dir).select("topic", value.alias("value"))
+
+
 def archive_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Archive a stream of messages and read the archive back."""
+    """Archive a stream of messages, awkward ones among them, and read the archive back."""
     base = scratch_path(spark, "archive")
-    topics.land_messages(sample.comment_messages(spark, sf_dir), f"{base}/landing")
+    topics.land_messages(_awkward_messages(spark, sf_dir), f"{base}/landing")
     source = topics.topic_stream(spark, f"{base}/landing")
     start_archiver(source, f"{base}/archive", f"{base}/checkpoint").awaitTermination()
-    return topics.landed_messages(spark, f"{base}/archive").select("topic", "value")
+    kept = archive.read_archive(spark, f"{base}/archive")
+    return kept.select("topic", "value", F.col("archived_at").isNotNull().alias("dated"))
 
 
 def archive_read(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,6 +143,26 @@ def publish_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return msg.parse_messages(topics.landed_messages(spark, location), COMMENTS_TOPIC)
 
 
+def _run_ingest(spark: SparkSession, sf_dir: str) -> str:
+    """Stream all requests through validation; returns the folder of what came of them."""
+    base = scratch_path(spark, "ingest")
+    sample.ingest_requests(spark, sf_dir).write.parquet(f"{base}/requests")
+    source = topics.request_stream(spark, f"{base}/requests")
+    start_ingest(source, f"{base}/landing", f"{base}/reports", f"{base}/checkpoint").awaitTermination()
+    return base
+
+
+def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the ingest stream landed, parsed as the main stream would."""
+    landing = f"{_run_ingest(spark, sf_dir)}/landing"
+    return msg.parse_messages(topics.landed_messages(spark, landing), COMMENTS_TOPIC)
+
+
+def stream_ingest_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The violations the ingest stream reported."""
+    return tables.read_table(spark, f"{_run_ingest(spark, sf_dir)}/reports/{ERRORS}")
+
+
 def _errors_where(condition: str):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         return validation_errors(spark, sf_dir).filter(condition).select("request_id", "index", "field", "message")
@@ -163,6 +198,8 @@ QUERIES = {
     "request_disposition": request_disposition,
     "partner_disposition": partner_disposition,
     "publish_accepted": publish_accepted,
+    "stream_ingest": stream_ingest,
+    "stream_ingest_errors": stream_ingest_errors,
 }
 
 _COMMENT_COLUMNS = """"commentId", "objectId", "objectType", customer, supplier, author, "postedAt",
@@ -177,10 +214,20 @@ ORACLES = {
     "route_topics": f"""WITH {sql.COMMENT_MESSAGES}
         SELECT topic, CASE topic WHEN 'comments-topic' THEN 'comments' END AS folder, count(*) AS messages
         FROM comment_messages GROUP BY topic
-        UNION ALL SELECT 'demand-topic', 'demand', count(*) FROM orders
-        UNION ALL SELECT 'capacity-topic', 'capacity', count(*) FROM supplier""",
+        UNION ALL SELECT 'demand-topic', 'demand', count(*)
+        FROM (SELECT DISTINCT o_orderkey, l_linenumber // 1000 FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey)
+        UNION ALL SELECT 'capacity-topic', 'capacity', count(*)
+        FROM (SELECT DISTINCT s_suppkey, l_orderkey // 10000 FROM supplier LEFT JOIN lineitem ON l_suppkey = s_suppkey)""",
     "stream_topic_source": f"WITH {sql.COMMENT_MESSAGES} SELECT topic, value FROM comment_messages",
-    "archive_roundtrip": f"WITH {sql.COMMENT_MESSAGES} SELECT topic, value FROM comment_messages",
+    "archive_roundtrip": f"""WITH {sql.COMMENT_MESSAGES}
+        SELECT topic,
+               CASE WHEN event_id % 43 = 0 THEN NULL
+                    WHEN event_id % 5 = 0 THEN replace(value, ',"customer"', ',' || chr(13) || chr(10) || '"customer"')
+                    WHEN event_id % 7 = 0 THEN replace(value, 'Comment ', 'Comment' || chr(10))
+                    WHEN event_id % 9 = 0 THEN value || chr(10) || chr(10)
+                    ELSE value END AS value,
+               true AS dated
+        FROM comment_messages""",
     "archive_read": f"""WITH {sql.CAPACITY}
         SELECT "capacityGroupId", name, count(*) AS capacities, max("pointInTime") AS last_day
         FROM capacity GROUP BY 1, 2""",
@@ -208,11 +255,11 @@ ORACLES = {
             SELECT CAST(o_orderkey AS VARCHAR) AS request_id, '/demand' AS endpoint, 'demand-topic' AS topic,
                    o_orderkey % 10 AS digit, 'demandSeries' AS list_field, 'materialDemandIsInactive' AS flag,
                    l_orderkey IS NULL AS bare
-            FROM orders LEFT JOIN (SELECT DISTINCT l_orderkey FROM lineitem) ON l_orderkey = o_orderkey
+            FROM orders LEFT JOIN (SELECT DISTINCT l_orderkey, l_linenumber // 1000 FROM lineitem) ON l_orderkey = o_orderkey
             UNION ALL
             SELECT 'CG-' || s_suppkey, '/capacity', 'capacity-topic', s_suppkey % 10, 'capacities', 'capacityGroupIsInactive',
                    l_suppkey IS NULL
-            FROM supplier LEFT JOIN (SELECT DISTINCT l_suppkey FROM lineitem) ON l_suppkey = s_suppkey),
+            FROM supplier LEFT JOIN (SELECT DISTINCT l_suppkey, l_orderkey // 10000 FROM lineitem) ON l_suppkey = s_suppkey),
         judged AS (
             SELECT *, list_filter([
                 CASE WHEN bare AND topic = 'demand-topic' THEN 'required: materialNumberCustomer' END,
@@ -231,3 +278,4 @@ ORACLES = {
         SELECT {_COMMENT_COLUMNS} FROM comments JOIN items USING (event_id) JOIN disposition USING (request_id)
         WHERE status IN (200, 201)""",
 }
+ORACLES |= {"stream_ingest": ORACLES["publish_accepted"], "stream_ingest_errors": ORACLES["validation_errors"]}

@@ -3,8 +3,10 @@
 Orders become demand messages, suppliers become capacity messages, events become comments and
 ingest requests. The rules are plain enough to be repeated in SQL.
 
-A message is one JSON document and so has to fit one row. Sources with very many lines are split
-over several messages with the same header, which the flat layers cannot tell from one big message.
+A message is one JSON document and so has to fit one row. An order sends one message per
+`LINE_NUMBERS_PER_MESSAGE` line numbers and a supplier one per `ORDER_NUMBERS_PER_MESSAGE` order
+numbers, all with the same header. The rule looks at no size, so every source follows it alike; a
+message stays small as long as an order uses its line numbers for a few lines each.
 """
 
 from __future__ import annotations
@@ -15,20 +17,14 @@ from pyspark.sql import functions as F
 from demandlake.contracts import CAPACITY_TOPIC, COMMENTS_TOPIC, DEMAND_TOPIC
 from demandlake.session import scratch_path
 
-# About how many lines of one source go into one message.
-LINES_PER_MESSAGE = 1000
+LINE_NUMBERS_PER_MESSAGE = 1000
+ORDER_NUMBERS_PER_MESSAGE = 10_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(frame: DataFrame) -> DataFrame:
-    """Use all cores on a table that comes in few splits; a table with many is left as it is."""
-    wanted = frame.sparkSession.sparkContext.defaultParallelism
-    return frame.repartition(wanted) if frame.rdd.getNumPartitions() < wanted else frame
-
-
 def stored(spark: SparkSession, frame: DataFrame, label: str) -> DataFrame:
     """Write a frame to the scratch folder and read it back.
 
@@ -52,35 +48,15 @@ def _moment(timestamp: Column) -> Column:
     return F.date_format(timestamp, "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
 
-def _parts(lines: Column) -> Column:
-    """How many messages a source with that many lines is split over."""
-    return F.greatest(F.ceil(lines / LINES_PER_MESSAGE), F.lit(1)).cast("int")
-
-
-def _split_into_messages(lines: DataFrame, owner: str) -> DataFrame:
-    """Add `part`: which of its owner's messages a line goes to; 0 unless the owner is a big one.
-
-    Owners with many lines are few (at most one per LINES_PER_MESSAGE lines), so this join sees a
-    small right side; the left side's hot keys are left to adaptive execution.
-    """
-    big = (
-        lines.groupBy(owner)
-        .agg(F.count(F.lit(1)).alias("lines"))
-        .filter(F.col("lines") > LINES_PER_MESSAGE)
-        .select(owner, _parts(F.col("lines")).alias("parts"))
-    )
-    spread_over = F.xxhash64("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate")
-    part = F.coalesce(F.pmod(spread_over, F.col("parts")), F.lit(0)).cast("int")
-    return lines.join(big, owner, "left").withColumn("part", part).drop("parts")
-
-
-def _header_per_part(headers: DataFrame) -> DataFrame:
-    """Repeat each header for the messages its source is split over, by its number of `lines`.
+def _with_bodies(headers: DataFrame, bodies: DataFrame, owner: str) -> DataFrame:
+    """One message per body, and one without a body for each header whose source has no lines.
 
-    Headers and bodies then meet on (source, part), a key both sides hold once.
+    A source with very many lines has many bodies but one header, so only the bodies can be skewed,
+    and an inner join lets adaptive execution split them. The hint keeps whole message bodies, whose
+    size is easily underestimated, from being broadcast.
     """
-    last = _parts(F.coalesce(F.col("lines"), F.lit(0))) - 1
-    return headers.withColumn("part", F.explode(F.sequence(F.lit(0), last))).drop("lines")
+    filled = headers.filter("has_lines").join(bodies.hint("merge"), owner)
+    return filled.unionByName(headers.filter("NOT has_lines"), allowMissingColumns=True).drop("has_lines", owner, "block")
 
 
 # --- Demand -------------------------------------------------------------------------------------
@@ -91,9 +67,7 @@ def demand_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus", "l_shipdate"
     )
-    first = lines.groupBy("l_orderkey").agg(
-        F.min(F.struct("l_partkey", "l_suppkey")).alias("first"), F.count(F.lit(1)).alias("lines")
-    )
+    first = lines.groupBy("l_orderkey").agg(F.min(F.struct("l_partkey", "l_suppkey")).alias("first"))
     entry = F.struct(F.col("l_quantity").alias("demand"), _day(F.col("l_shipdate")).alias("pointInTime"))
     series = F.struct(
         F.concat(F.lit("BPNS-"), "l_linestatus").alias("customerLocation"),
@@ -101,14 +75,13 @@ def demand_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.col("l_returnflag").alias("demandCategoryCode")).alias("demandCategory"),
         F.col("demands"),
     )
-    # Placed by order and part once; both groupings and the join below reuse that placement. The
-    # hint keeps whole message bodies, whose size is easily underestimated, from being broadcast.
+    # Placed by order and block once; both groupings reuse that placement.
     grouped = (
-        _split_into_messages(lines, "l_orderkey")
-        .repartition("l_orderkey", "part")
-        .groupBy("l_orderkey", "part", "l_returnflag", "l_linestatus")
+        lines.withColumn("block", F.expr(f"l_linenumber div {LINE_NUMBERS_PER_MESSAGE}"))
+        .repartition("l_orderkey", "block")
+        .groupBy("l_orderkey", "block", "l_returnflag", "l_linestatus")
         .agg(F.collect_list(entry).alias("demands"))
-        .groupBy("l_orderkey", "part")
+        .groupBy("l_orderkey", "block")
         .agg(F.collect_list(series).alias("demandSeries"))
     )
     orders = table(spark, sf_dir, "orders").select(
@@ -119,7 +92,8 @@ def demand_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     headers = (
         orders.join(first, orders.o_orderkey == first.l_orderkey, "left")
         .select(
-            "o_orderkey",
+            F.col("o_orderkey").alias("l_orderkey"),
+            F.col("first").isNotNull().alias("has_lines"),
             F.col("o_orderkey").cast("string").alias("materialDemandId"),
             F.concat(F.lit("MAT-"), part_key).alias("materialNumberCustomer"),
             F.when(part_key % 8 != 0, F.concat(F.lit("SUP-"), part_key)).alias("materialNumberSupplier"),
@@ -131,15 +105,11 @@ def demand_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
             unit.alias("unitOfMeasure"),
             unit.isNull().alias("unitOfMeasureIsOmitted"),
             (F.col("o_orderstatus") == "F").alias("materialDemandIsInactive"),
-            "lines",
         )
     )
     no_series = F.array().cast(grouped.schema["demandSeries"].dataType)
-    return (
-        _header_per_part(headers.withColumnRenamed("o_orderkey", "l_orderkey"))
-        .join(grouped.hint("merge"), ["l_orderkey", "part"], "left")
-        .withColumn("demandSeries", F.coalesce("demandSeries", no_series))
-        .drop("l_orderkey", "part")
+    return _with_bodies(headers, grouped, "l_orderkey").withColumn(
+        "demandSeries", F.coalesce("demandSeries", no_series)
     )
 
 
@@ -155,8 +125,8 @@ def capacity_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     ends = lines.groupBy("l_suppkey").agg(
         F.min(linked).alias("lowest"),
         F.max(linked).alias("highest"),
+        F.min("l_shipdate").alias("since"),
         F.max("l_shipdate").alias("last"),
-        F.count(F.lit(1)).alias("lines"),
     )
     capacity = F.struct(
         _day(F.col("l_shipdate")).alias("pointInTime"),
@@ -166,37 +136,38 @@ def capacity_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_discount").alias("deltaProductionResult"),
     )
     grouped = (
-        _split_into_messages(lines, "l_suppkey")
-        .repartition("l_suppkey", "part")
-        .groupBy("l_suppkey", "part")
+        lines.withColumn("block", F.expr(f"l_orderkey div {ORDER_NUMBERS_PER_MESSAGE}"))
+        .groupBy("l_suppkey", "block")
         .agg(F.collect_list(capacity).alias("capacities"))
     )
 
+    key = F.col("s_suppkey")
+
     def series(end: str) -> Column:
-        key = F.col(f"{end}.l_partkey")
+        part = F.col(f"{end}.l_partkey")
         return F.struct(
-            F.lit(3.5).alias("loadFactor"),
-            F.concat(F.lit("MAT-"), key).alias("materialNumberCustomer"),
-            F.when(key % 8 != 0, F.concat(F.lit("SUP-"), key)).alias("materialNumberSupplier"),
+            ((part % 5 + 1) / 2).alias("loadFactor"),
+            F.concat(F.lit("MAT-"), part).alias("materialNumberCustomer"),
+            F.when(part % 8 != 0, F.concat(F.lit("SUP-"), part)).alias("materialNumberSupplier"),
             F.concat(F.lit("BPNS-"), F.col("s_nationkey").cast("string")).alias("customerLocation"),
-            F.struct(F.concat(F.lit("C"), (key % 4).cast("string")).alias("demandCategoryCode")).alias("demandCategory"),
+            F.struct(F.concat(F.lit("C"), (part % 4).cast("string")).alias("demandCategoryCode")).alias("demandCategory"),
         )
 
     def threshold(number: int) -> Column:
         return F.struct(
             F.lit(number).cast("bigint").alias("sequenceNumber"),
-            F.lit(4).cast("bigint").alias("subhorizonLength"),
+            (F.col("s_nationkey") % 9 + number).cast("bigint").alias("subhorizonLength"),
             (F.col("s_nationkey") + number).cast("double").alias("absoluteNegativeDeviation"),
-            F.lit(0.1).alias("relativeNegativeDeviation"),
+            ((key % 7 + 1) / 8).alias("relativeNegativeDeviation"),
             F.col("s_acctbal").alias("absolutePositiveDeviation"),
-            F.lit(0.3).alias("relativePositiveDeviation"),
+            ((key % 3 + 1) / 4).alias("relativePositiveDeviation"),
         )
 
     thresholds = F.array(threshold(1), threshold(2))
-    key = F.col("s_suppkey")
     suppliers = table(spark, sf_dir, "supplier")
     headers = suppliers.join(ends, key == ends.l_suppkey, "left").select(
-        "s_suppkey",
+        F.col("s_suppkey").alias("l_suppkey"),
+        F.col("lowest").isNotNull().alias("has_lines"),
         F.concat(F.lit("CG-"), key).alias("capacityGroupId"),
         F.col("s_name").alias("name"),
         partner("BPNL", key).alias("supplier"),
@@ -210,21 +181,16 @@ def capacity_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(
             key % 7 != 0,
             F.struct(
-                F.lit(4).cast("bigint").alias("measurementInterval"),
-                F.lit("2024-01-10T12:00:00.320Z").alias("startReferenceDateTime"),
+                (key % 6 + 1).cast("bigint").alias("measurementInterval"),
+                _moment(F.col("since")).alias("startReferenceDateTime"),
                 F.when(F.col("s_nationkey") % 5 != 0, thresholds)
                 .otherwise(F.filter(thresholds, lambda _: F.lit(False)))
                 .alias("rollingHorizonAlertThresholds"),
             ),
         ).alias("demandVolatilityParameters"),
         F.when(F.col("lowest").isNotNull(), F.array(series("lowest"), series("highest"))).alias("linkedDemandSeries"),
-        "lines",
-    )
-    return (
-        _header_per_part(headers.withColumnRenamed("s_suppkey", "l_suppkey"))
-        .join(grouped.hint("merge"), ["l_suppkey", "part"], "left")
-        .drop("l_suppkey", "part")
     )
+    return _with_bodies(headers, grouped, "l_suppkey")
 
 
 # --- Comments and requests ----------------------------------------------------------------------
@@ -240,7 +206,7 @@ def _uuid(text: Column) -> Column:
 def comment_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One good comment per event, with the event's id beside the contract's columns."""
     event = F.col("event_id")
-    return spread(table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")).select(
+    return table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type").select(
         "event_id",
         F.concat(F.when(event % 2 == 1, "urn:uuid:").otherwise(""), _uuid(event.cast("string"))).alias("commentId"),
         _uuid(F.concat(F.lit("object-"), F.col("user_id").cast("string"))).alias("objectId"),
@@ -338,7 +304,7 @@ def ingest_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def partner_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One request per demand and capacity message, to their endpoints, some faulty by the last digit
+    """One request per demand and capacity message (a source may send several), to their endpoints, some faulty by the last digit
     of the message's id: 0 without customer, 1 with a list replaced by an object, 2 with a flag as text."""
     sources = (
         ("/demand", demand_documents(spark, sf_dir), "materialDemandId", "demandSeries", "materialDemandIsInactive"),

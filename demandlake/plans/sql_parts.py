@@ -37,6 +37,7 @@ CAPACITY = """
 supplier_lines AS (
     SELECT l_suppkey AS sl_suppkey,
            min(l_partkey) AS first_part,
+           strftime(min(l_shipdate), '%Y-%m-%dT%H:%M:%SZ') AS first_moment,
            strftime(max(l_shipdate), '%Y-%m-%dT%H:%M:%SZ') AS last_moment
     FROM lineitem GROUP BY l_suppkey
 ),
@@ -51,19 +52,19 @@ capacity AS (
            last_moment AS "changedAt",
            CASE WHEN s_suppkey % 3 <> 0 THEN '["CG-' || (s_suppkey + 1) || '"]' ELSE '[]' END AS "linkedCapacityGroups",
            CASE WHEN s_suppkey % 4 <> 0 THEN '["BPNS-' || s_suppkey || '"]' ELSE '[]' END AS "supplierLocations",
-           CASE WHEN s_suppkey % 7 <> 0 THEN 4 END AS "measurementInterval",
-           CASE WHEN s_suppkey % 7 <> 0 THEN '2024-01-10T12:00:00.320Z' END AS "startReferenceDateTime",
+           CASE WHEN s_suppkey % 7 <> 0 THEN s_suppkey % 6 + 1 END AS "measurementInterval",
+           CASE WHEN s_suppkey % 7 <> 0 THEN first_moment END AS "startReferenceDateTime",
            CASE WHEN has_threshold THEN 1 END AS "sequenceNumber",
-           CASE WHEN has_threshold THEN 4 END AS "subhorizonLength",
+           CASE WHEN has_threshold THEN s_nationkey % 9 + 1 END AS "subhorizonLength",
            CASE WHEN has_threshold THEN CAST(s_nationkey + 1 AS DOUBLE) END AS "absoluteNegativeDeviation",
-           CASE WHEN has_threshold THEN CAST(0.1 AS DOUBLE) END AS "relativeNegativeDeviation",
+           CASE WHEN has_threshold THEN CAST(s_suppkey % 7 + 1 AS DOUBLE) / 8 END AS "relativeNegativeDeviation",
            CASE WHEN has_threshold THEN s_acctbal END AS "absolutePositiveDeviation",
-           CASE WHEN has_threshold THEN CAST(0.3 AS DOUBLE) END AS "relativePositiveDeviation",
+           CASE WHEN has_threshold THEN CAST(s_suppkey % 3 + 1 AS DOUBLE) / 4 END AS "relativePositiveDeviation",
            'MAT-' || first_part AS "materialNumberCustomer",
            CASE WHEN first_part % 8 <> 0 THEN 'SUP-' || first_part END AS "materialNumberSupplier",
            'BPNS-' || s_nationkey AS "customerLocation",
            'C' || (first_part % 4) AS "demandCategoryCode",
-           CAST(3.5 AS DOUBLE) AS "loadFactor",
+           CAST(first_part % 5 + 1 AS DOUBLE) / 2 AS "loadFactor",
            strftime(l_shipdate, '%Y-%m-%d') AS "pointInTime",
            l_quantity AS "agreedCapacity",
            CAST(l_linenumber AS DOUBLE) AS "actualCapacity",

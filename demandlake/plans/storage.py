@@ -86,7 +86,8 @@ def _stream_again(spark: SparkSession, base: str, files_per_batch: int | None =
 def stream_medallion(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages of all topics through all layers; returns the demand facts."""
     base = _run_medallion(spark, sample.all_messages(spark, sf_dir), "medallion")
-    return tables.read_table(spark, tables.layer_path(f"{base}/lake", "gold", DEMAND_TOPIC, "FactMaterialDemand"))
+    facts = tables.read_table(spark, tables.layer_path(f"{base}/lake", "gold", DEMAND_TOPIC, "FactMaterialDemand"))
+    return facts.drop(layout.MONTH)
 
 
 def stream_micro_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -143,6 +144,29 @@ def stream_second_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+def stream_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Materials described by finished orders, then in a second batch by the others: their whole history."""
+    base = scratch_path(spark, "history")
+    messages = sample.stored(spark, sample.demand_messages(spark, sf_dir), "history-halves")
+    inactive = F.get_json_object("value", "$.materialDemandIsInactive") == "true"
+    for part in (messages.filter(inactive), messages.filter(~inactive)):
+        topics.land_messages(part, f"{base}/landing")
+        source = topics.topic_stream(spark, f"{base}/landing")
+        moment = lambda batch: f"2024-01-{batch + 1:02d} 00:00:00"
+        start_medallion(source, f"{base}/lake", f"{base}/checkpoint", as_of=moment).awaitTermination()
+    materials = tables.read_table(spark, tables.layer_path(f"{base}/lake", "gold", DEMAND_TOPIC, "DimMaterial"))
+    text = "yyyy-MM-dd HH:mm:ss"
+    return materials.select(
+        "MaterialNumberCustomer",
+        "MaterialNumberSupplier",
+        "MaterialDescription",
+        "UnitOfMeasure",
+        F.date_format("ValidFrom", text).alias("ValidFrom"),
+        F.date_format("ValidTo", text).alias("ValidTo"),
+        "IsCurrent",
+    )
+
+
 def _run_forwarder(spark: SparkSession, sf_dir: str) -> str:
     base = scratch_path(spark, "outbox")
     topics.land_messages(sample.comment_messages(spark, sf_dir), f"{base}/landing")
@@ -190,6 +214,7 @@ QUERIES = {
     "stream_outbox": stream_outbox,
     "stream_outbox_quarantine": stream_outbox_quarantine,
     "stream_second_checkpoint": stream_second_checkpoint,
+    "stream_history": stream_history,
 }
 
 _PARTNERS = """SELECT c_name AS name, c_mktsegment AS segment, NULL AS nation FROM customer
@@ -222,6 +247,25 @@ ORACLES = {
         SELECT table_name, customer, count(*) AS row_count FROM demand, (VALUES ('bronze'), ('FactMaterialDemand')) AS t(table_name)
         GROUP BY table_name, customer
         UNION ALL SELECT DISTINCT 'DimCustomer', customer, 1 FROM demand""",
+    "stream_history": f"""WITH {sql.DEMAND},
+        latest AS (
+            SELECT "materialDemandIsInactive" AS finished, "materialNumberCustomer" AS "MaterialNumberCustomer",
+                   "materialNumberSupplier" AS "MaterialNumberSupplier",
+                   "materialDescriptionCustomer" AS "MaterialDescription", "unitOfMeasure" AS "UnitOfMeasure"
+            FROM demand
+            QUALIFY row_number() OVER (PARTITION BY "materialDemandIsInactive", "materialNumberCustomer" ORDER BY "changedAt" DESC, "materialDescriptionCustomer" DESC) = 1
+        ),
+        earlier AS (SELECT * EXCLUDE (finished) FROM latest WHERE finished),
+        later AS (SELECT * EXCLUDE (finished) FROM latest WHERE NOT finished)
+        SELECT earlier.*, '2024-01-01 00:00:00' AS "ValidFrom",
+               CASE WHEN later."MaterialDescription" <> earlier."MaterialDescription" THEN '2024-01-02 00:00:00'
+                    ELSE '9999-12-31 23:59:59' END AS "ValidTo",
+               coalesce(later."MaterialDescription" = earlier."MaterialDescription", true) AS "IsCurrent"
+        FROM earlier LEFT JOIN later USING ("MaterialNumberCustomer")
+        UNION ALL
+        SELECT later.*, '2024-01-02 00:00:00', '9999-12-31 23:59:59', true
+        FROM later LEFT JOIN earlier USING ("MaterialNumberCustomer")
+        WHERE earlier."MaterialDescription" IS DISTINCT FROM later."MaterialDescription"""",
     "stream_outbox": f"""WITH {sql.COMMENT_MESSAGES}
         SELECT topic, 'target/comments' AS target, count(*) AS payloads, (count(*) + 99) // 100 AS chunks
         FROM comment_messages WHERE reason IS NULL GROUP BY topic""",

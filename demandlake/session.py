@@ -36,9 +36,16 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors can reach: `spark.checkpoint.dir`, or a temporary one where unset (tests)."""
+    """The folder all executors can reach: `spark.checkpoint.dir`.
+
+    Where it is unset, a temporary folder takes its place if driver and executors are one process; on a
+    cluster that is an error, as executors would each write to a disk of their own.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not configured:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors of {master} can reach")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="demandlake-"))
         configured = spark.sparkContext.getCheckpointDir()
     return configured.rstrip("/")

@@ -56,3 +56,21 @@ def touch(spark: SparkSession, location: str) -> None:
     """Create an empty file."""
     path, system = _path(spark, location)
     system.create(path, True).close()
+
+
+def write_text(spark: SparkSession, location: str, text: str) -> None:
+    """Create a small text file."""
+    path, system = _path(spark, location)
+    stream = system.create(path, True)
+    stream.write(bytearray(text.encode("utf-8")))
+    stream.close()
+
+
+def read_text(spark: SparkSession, location: str) -> str:
+    """A small text file."""
+    path, system = _path(spark, location)
+    stream = system.open(path)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8")
+    finally:
+        stream.close()

@@ -19,6 +19,8 @@ they are not written again.
 
 from __future__ import annotations
 
+import hashlib
+import json
 import logging
 from dataclasses import dataclass
 
@@ -26,12 +28,12 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 from demandlake.contracts import topic_of
 from demandlake.operators.layout import check_columns, spread_for_write
-from demandlake.operators.scd import DimSpec, backfill, merge_open, stamp
-from demandlake.sources.files import any_match, child_folders, delete_folder, exists, matches, modified, rename, touch
+from demandlake.operators.scd import DimSpec, backfill, has_news, merge_open, scd2_merge, unique_keys
+from demandlake.sources.files import any_match, child_folders, delete_folder, exists, matches, modified, read_text, rename, touch, write_text
 
 logger = logging.getLogger(__name__)
 
@@ -42,6 +44,7 @@ _OPEN = "open"
 _CLOSED = "closed"
 _SUCCESS = "_SUCCESS"
 _BY = "_by"
+_SCHEMAS = "_schemas"
 _NO_MARKER = {"mapreduce.fileoutputcommitter.marksuccessfuljobs": "false"}
 
 
@@ -94,11 +97,32 @@ def append_batch(
     """
     target = f"{location}/{_BATCH}={batch_id}"
     check_columns(frame, partitions or [])
+    _note_schema(frame, location)
     _write(frame if gathered else spread_for_write(frame, partitions or []), target, partitions or [])
     # The schema is given, as a batch without rows may have left no file to take it from.
     return frame.sparkSession.read.schema(frame.schema).parquet(target)
 
 
+def _note_schema(frame: DataFrame, location: str) -> None:
+    """Keep the schema of a batch beside the table, once for all batches that have the same."""
+    text = frame.schema.json()
+    noted = f"{location}/{_SCHEMAS}/{hashlib.md5(text.encode()).hexdigest()}.json"
+    if not exists(frame.sparkSession, noted):
+        write_text(frame.sparkSession, noted, text)
+
+
+def _noted_schema(spark: SparkSession, location: str) -> StructType | None:
+    """The union of the schemas a table's batches were written with, oldest first; None if none was kept."""
+    noted = [f"{location}/{_SCHEMAS}/{name}" for name in matches(spark, f"{location}/{_SCHEMAS}/*.json")]
+    fields = {}
+    for path in sorted(noted, key=lambda path: (modified(spark, path), path)):
+        for field in StructType.fromJson(json.loads(read_text(spark, path))):
+            known = fields.setdefault(field.name, StructField(field.name, field.dataType))
+            if known.dataType != field.dataType:
+                raise ValueError(f"{location}: {field.name} is {known.dataType} in one batch and {field.dataType} in another")
+    return StructType(list(fields.values())) if fields else None
+
+
 def read_batch(spark: SparkSession, location: str, batch_id: int | Origin) -> DataFrame:
     """One micro-batch of a table."""
     return spark.read.parquet(f"{location}/{_BATCH}={batch_id}")
@@ -148,6 +172,15 @@ def _has_merged(spark: SparkSession, location: str, origin: Origin) -> bool:
     return False
 
 
+def _mark(spark: SparkSession, folder: str, origin: Origin) -> None:
+    """Leave a batch's mark in a complete version, in place of the same stream's earlier ones."""
+    name = f"{_BY}.{origin.stream}.{origin.batch}"
+    earlier = [found for found in matches(spark, f"{folder}/{_BY}.{origin.stream}.*") if found != name]
+    touch(spark, f"{folder}/{name}")
+    for found in earlier:
+        delete_folder(spark, f"{folder}/{found}")
+
+
 def _next_version(spark: SparkSession, location: str, at: int | Origin) -> tuple[int | None, int]:
     """(the version to build on, the version to write)."""
     if isinstance(at, int):
@@ -214,13 +247,20 @@ def read_version(spark: SparkSession, location: str, version: int) -> DataFrame:
 
 
 def extend_distinct(frame: DataFrame, location: str, version: int | Origin, keep: int | None = None) -> None:
-    """Write the distinct rows of the table so far and of `frame` as a new version."""
+    """Write the distinct rows of the table so far and of `frame` as a new version.
+
+    A stream's batch without a new row only leaves its mark. Rows with a NULL count as new then.
+    """
     spark = frame.sparkSession
     if isinstance(version, Origin) and _has_merged(spark, location, version):
         return
     base, number = _next_version(spark, location, version)
     if base is not None:
-        frame = read_version(spark, location, base).unionByName(frame).distinct()
+        present = read_version(spark, location, base)
+        if isinstance(version, Origin) and frame.join(present, frame.columns, "left_anti").isEmpty():
+            _mark(spark, f"{location}/{_VERSION}={base}", version)
+            return
+        frame = present.unionByName(frame).distinct()
     _write_version(frame, location, number, [], version)
     _drop_expired(spark, location, keep)
 
@@ -232,6 +272,14 @@ def _open_rows(spark: SparkSession, location: str, version: int) -> DataFrame:
     return spark.read.parquet(f"{location}/{_VERSION}={version}/{_STATE}={_OPEN}")
 
 
+def _legacy_rows(spark: SparkSession, location: str, spec: DimSpec) -> DataFrame | None:
+    """A table that lies in plain files where the dimension is to be, as from before it was versioned."""
+    if any_match(spark, f"{location}/*.parquet"):
+        # Only the files of the table itself; a version beside them is no part of it.
+        return backfill(spark.read.parquet(f"{location}/*.parquet"), spec.keys)
+    return None
+
+
 def merge_dimension(
     incoming: DataFrame, location: str, spec: DimSpec, as_of: str, version: int | Origin, keep: int | None = None
 ) -> None:
@@ -239,16 +287,23 @@ def merge_dimension(
 
     With a number, the merge starts from the newest version before it, so a repeated one starts from
     the same rows as its first try. With an origin, it starts from the newest version of all, and does
-    nothing if that batch was merged before. `keep` drops the open rows of all but that many versions.
+    nothing if that batch was merged before. A snapshot without a new or changed row writes nothing: the
+    newest version keeps the batch's mark. A table found in plain files is taken up as the first version.
+    `keep` drops the open rows of all but that many versions.
     """
     spark = incoming.sparkSession
     if isinstance(version, Origin) and _has_merged(spark, location, version):
         return
     base, number = _next_version(spark, location, version)
-    if base is None:
-        merged = stamp(incoming, spec.keys, as_of)
+    snapshot = unique_keys(incoming, spec.keys)
+    if base is not None:
+        open_rows = _open_rows(spark, location, base)
+        if isinstance(version, Origin) and not has_news(open_rows, snapshot, spec):
+            _mark(spark, f"{location}/{_VERSION}={base}", version)
+            return
+        merged = merge_open(open_rows, snapshot, spec, as_of)
     else:
-        merged = merge_open(_open_rows(spark, location, base), incoming, spec, as_of)
+        merged = scd2_merge(_legacy_rows(spark, location, spec), snapshot, spec, as_of)
     state = F.when(F.col("IsCurrent"), _OPEN).otherwise(_CLOSED)
     _write_version(merged.withColumn(_STATE, state), location, number, [_STATE], version)
     _drop_expired(spark, location, keep, f"/{_STATE}={_OPEN}")
@@ -282,8 +337,8 @@ def read_dimension(spark: SparkSession, location: str) -> DataFrame:
 def read_table(spark: SparkSession, location: str, schema: StructType | None = None) -> DataFrame:
     """The current content of a table of any layout, without its bookkeeping columns; complete batches only.
 
-    The columns of a batch table are the union over its batches, found by reading every file's
-    footer; on tables of very many batches give the `schema` instead.
+    The columns of a batch table are the union over its batches, kept beside the table when they were
+    written, so no file is opened to find them; a `schema` given takes their place.
     """
     newest = latest_version(spark, location)
     if newest is not None:
@@ -295,6 +350,7 @@ def read_table(spark: SparkSession, location: str, schema: StructType | None = N
     if not complete:
         raise FileNotFoundError(f"no table in {location}")
     reader = spark.read.option("basePath", location)
+    schema = schema or _noted_schema(spark, location)
     if schema is not None:
         return reader.schema(schema).parquet(*complete).select(*schema.names)
     return reader.option("mergeSchema", True).parquet(*complete).drop(_BATCH)

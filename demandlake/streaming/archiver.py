@@ -1,4 +1,4 @@
-"""Archive stream: every message, by topic, unchanged but for line breaks between JSON tokens."""
+"""Archive stream: every message by topic, unaltered, with the time it was archived."""
 
 from __future__ import annotations
 
@@ -6,15 +6,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from demandlake.operators.messages import decode_messages
-from demandlake.sources.topics import single_line
+from demandlake.sources.topics import stamped
 
 
 def start_archiver(source: DataFrame, archive: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
-    """Append the messages of a `(value, topic)` stream to `archive/topic=<name>/`, one per line."""
+    """Add the messages of a `(value, topic)` stream to `archive/topic=<name>/`.
+
+    `sources.archive.read_archive` reads them back, and `topic_stream` may replay them.
+    """
     writer = (
-        single_line(decode_messages(source))
+        stamped(decode_messages(source))
         .writeStream.outputMode("append")
-        .format("text")
+        .format("parquet")
         .partitionBy("topic")
         .option("checkpointLocation", checkpoint)
         .option("path", archive)

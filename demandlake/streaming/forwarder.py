@@ -56,7 +56,7 @@ def outbox_batch(
         )
         block = F.expr(f"arrival div {_BLOCK_ROWS}")
         chunks = outbox.chunk_payloads(payloads, ["arrival"], block)
-        tables.append_batch(outbox.with_target(chunks, targets), location, batch_id)
+        tables.append_batch(outbox.deliverable(chunks, targets), location, batch_id)
         tables.append_batch(_undeliverable(arrived), quarantine_path(location), batch_id)
     finally:
         arrived.unpersist()

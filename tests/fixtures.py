@@ -111,5 +111,5 @@ def comment(**changes) -> dict:
 
 def messages(spark, topic: str, *documents):
     """A `(topic, value)` frame; documents are dicts, or texts taken as they are."""
-    texts = [doc if isinstance(doc, str) else json.dumps(doc) for doc in documents]
+    texts = [doc if doc is None or isinstance(doc, str) else json.dumps(doc) for doc in documents]
     return spark.createDataFrame([(topic, text) for text in texts], "topic string, value string")

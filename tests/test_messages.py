@@ -28,6 +28,7 @@ UNREADABLE = {
     "[]": "not_an_object",
     json.dumps(comment(requestDelete="yes")): "contract_mismatch",
     json.dumps(comment(listOfReferenceDates="2023-11-05")): "contract_mismatch",
+    "{}": "contract_mismatch",
 }
 
 
@@ -55,6 +56,16 @@ def test_integers_and_fractions_in_one_field(spark):
     assert [entry.demand for entry in entries] == [742.0, 1200.5]
 
 
+def test_numbers_must_be_finite_and_texts_take_any_value(spark):
+    good = json.dumps(demand())
+    bad = [good.replace("742", value) for value in ('"7"', '"NaN"', "NaN")]
+    frame = messages(spark, DEMAND_TOPIC, good, *bad)
+    assert msg.parse_messages(frame, DEMAND_TOPIC).count() == 1
+    assert msg.quarantine_messages(frame, DEMAND_TOPIC).count() == 3
+    texts = messages(spark, COMMENTS_TOPIC, comment(author=5, commentText={"x": 1}))
+    assert msg.parse_messages(texts, COMMENTS_TOPIC).select("author", "commentText").first() == ("5", '{"x":1}')
+
+
 def test_routing_and_unknown_topics(spark):
     frame = messages(spark, COMMENTS_TOPIC, GOOD).union(messages(spark, "else", GOOD))
     folders = {row.topic: row.folder for row in msg.route_messages(frame).collect()}

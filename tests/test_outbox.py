@@ -14,7 +14,8 @@ def payloads(spark, rows):
     return spark.createDataFrame(rows, "topic string, id bigint, payload string")
 
 
-def test_numbers_and_chunks_against_brute_force(spark):
+def test_numbers_and_chunks_against_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(outbox, "_BLOCKS_PER_GROUP", 3)
     # One topic holds most rows, ids have gaps, blocks are small and some are empty.
     rows = [("hot", i * 3, f'"h{i}"') for i in range(1000)] + [(f"t{i % 7}", i * 11, f'"c{i}"') for i in range(60)]
     by_topic = defaultdict(list)
@@ -76,3 +77,10 @@ def test_targets_and_counts(spark):
     frame = payloads(spark, [("a", 1, "{}"), ("a", 2, "{}"), ("b", 1, "{}")])
     assert {r.topic: r.payload_count for r in outbox.payload_counts(frame).collect()} == {"a": 2, "b": 1}
     assert {r.topic: r.target for r in outbox.with_target(frame, {"a": "x"}).collect()} == {"a": "x", "b": None}
+
+
+def test_chunks_without_a_target_are_put_aside(spark):
+    frame = payloads(spark, [("a", 1, "{}"), ("b", 1, "[1]"), (None, 1, "x")])
+    assert [(r.topic, r.target) for r in outbox.deliverable(frame, {"a": "x"}).collect()] == [("a", "x")]
+    aside = {(r.topic, r.value, r.reason) for r in outbox.without_target(frame, {"a": "x"}).collect()}
+    assert aside == {("b", "[1]", "no_target"), (None, "x", "no_target")}

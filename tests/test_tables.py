@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from demandlake.contracts import DEMAND_TOPIC
+from demandlake.operators.scd import DimSpec
 from demandlake.sources import archive, tables, topics
 from demandlake.sources.files import child_folders
 
@@ -104,13 +105,38 @@ def test_archive_of_documents(spark, folder):
     assert found == {"t1": ('{\n  "a": 1\n}', "2025-07-03 08:25:24"), "t2": ('{\n  "a": 1\n}', "None")}
 
 
-def test_landing_folder(spark, folder):
-    sent = spark.createDataFrame([("t", '{\r\n"a":\n1}'), ("u", "{}")], "topic string, value string")
+AWKWARD = [("t", '{\r\n"a":\n1}'), ("t", '{"a":"x\ny"}'), ("t", "broken\n"), ("t", None), ("u", "{}")]
+
+
+def landed(spark, folder):
+    found = topics.landed_messages(spark, folder).select("topic", "value").collect()
+    return sorted(map(tuple, found), key=str)
+
+
+def test_landed_messages_stay_as_they_are(spark, folder):
+    sent = spark.createDataFrame(AWKWARD, "topic string, value string")
     topics.land_messages(sent, folder)
-    assert sorted(map(tuple, topics.landed_messages(spark, folder).select("topic", "value").collect())) == [
-        ("t", '{ "a": 1}'),
-        ("u", "{}"),
-    ]
+    assert landed(spark, folder) == sorted(AWKWARD, key=str)
+    topics.land_messages(sent, folder)
+    assert landed(spark, folder) == sorted(AWKWARD * 2, key=str)
+
+
+def test_a_batch_landed_again_is_there_once(spark, folder):
+    sent = spark.createDataFrame(AWKWARD, "topic string, value string")
+    for label in ("s-0", "s-0", "s-1"):
+        topics.land_messages(sent, folder, label)
+    assert landed(spark, folder) == sorted(AWKWARD * 2, key=str)
+    # A try that ended before it was marked is replaced.
+    os.remove(f"{folder}/_landed/s-1")
+    topics.land_messages(sent, folder, "s-1")
+    assert landed(spark, folder) == sorted(AWKWARD * 2, key=str)
+
+
+def test_landings_of_text_lines(spark, folder):
+    sent = spark.createDataFrame([("t", "{}"), ("u", "[]")], "topic string, value string")
+    sent.write.partitionBy("topic").text(f"{folder}/lines")
+    found = topics.landed_messages(spark, f"{folder}/lines", topics.LINES).select("topic", "value").collect()
+    assert sorted(map(tuple, found)) == [("t", "{}"), ("u", "[]")]
 
 
 def test_broker_without_connector(spark):
@@ -124,3 +150,22 @@ def test_an_incomplete_batch_is_not_read(spark, folder):
     assert content(tables.read_table(spark, f"{folder}/t")) == [1, 2]
     os.remove(f"{folder}/t/batch_id=other-0/_SUCCESS")
     assert content(tables.read_table(spark, f"{folder}/t")) == [1]
+
+
+MATERIAL = DimSpec(keys=("k",), compare=("v",))
+
+
+def test_a_snapshot_with_a_repeated_key_is_refused(spark, folder):
+    twice = spark.createDataFrame([(1, "a"), (1, "b")], "k int, v string")
+    with pytest.raises(Exception, match="more than once"):
+        tables.merge_dimension(twice, f"{folder}/d", MATERIAL, "2024-01-01", 0)
+
+
+def test_a_legacy_table_is_taken_up_by_the_merge(spark, folder):
+    spark.createDataFrame([(1, "old"), (2, "same")], "k int, v string").write.parquet(f"{folder}/d")
+    snapshot = spark.createDataFrame([(1, "new"), (2, "same")], "k int, v string")
+    for batch in range(2):
+        tables.merge_dimension(snapshot, f"{folder}/d", MATERIAL, f"2024-01-0{batch + 1}", tables.Origin("s", batch))
+    found = {(row.k, row.v, row.IsCurrent) for row in tables.read_table(spark, f"{folder}/d").collect()}
+    assert found == {(1, "old", False), (1, "new", True), (2, "same", True)}
+    assert child_folders(spark, f"{folder}/d") == ["version=0"]

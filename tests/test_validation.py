@@ -123,3 +123,16 @@ def test_published_items_are_equal_to_the_received_ones(spark):
 @pytest.mark.parametrize("body,shape", [("{", "malformed"), ("5", "scalar"), ('"x"', "scalar"), ("null", "scalar")])
 def test_malformed_requests(spark, body, shape):
     assert [row["shape"] for row in val.malformed_requests(requests(spark, body, "[]", "{}")).collect()] == [shape]
+
+
+def test_a_body_beyond_the_limit_is_refused_as_such(spark):
+    import json
+
+    full = json.dumps({"commentText": "x" * (val.MAX_BODY_BYTES - len('{"commentText": ""}'))})
+    rows = [("fits", "/comments", full), ("over", "/comments", full + " ")]
+    requests = spark.createDataFrame(rows, "request_id string, endpoint string, body string")
+    assert {r.request_id: r.shape for r in val.normalise_requests(requests).select("request_id", "shape").collect()} == {
+        "fits": "object",
+        "over": "oversize",
+    }
+    assert {r.request_id: r.status for r in val.request_disposition(requests).collect()} == {"fits": 422, "over": 413}
