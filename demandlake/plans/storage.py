@@ -265,7 +265,7 @@ ORACLES = {
         UNION ALL
         SELECT later.*, '2024-01-02 00:00:00', '9999-12-31 23:59:59', true
         FROM later LEFT JOIN earlier USING ("MaterialNumberCustomer")
-        WHERE earlier."MaterialDescription" IS DISTINCT FROM later."MaterialDescription"""",
+        WHERE earlier."MaterialDescription" IS DISTINCT FROM later."MaterialDescription" """,
     "stream_outbox": f"""WITH {sql.COMMENT_MESSAGES}
         SELECT topic, 'target/comments' AS target, count(*) AS payloads, (count(*) + 99) // 100 AS chunks
         FROM comment_messages WHERE reason IS NULL GROUP BY topic""",
