@@ -103,10 +103,3 @@ def near_duplicates(
     smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     classes = rooted.join(smallest, "root").select("fingerprint", "component_id")
     return prints.join(classes, "fingerprint").select("doc_id", "fingerprint", "component_id")
-
-
-def drop_near_copies(documents: DataFrame, columns: list[str]) -> DataFrame:
-    """The document with the smallest doc_id of every group of near-duplicates."""
-    kept = near_duplicates(documents).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = kept.select(F.col("doc_id").alias("_kept_id")).distinct()
-    return documents.select(*columns).join(kept, F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi")
