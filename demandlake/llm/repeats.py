@@ -121,10 +121,13 @@ def arrow_schema(text: str) -> pa.Schema:
 
 
 class Chunk:
-    """Items of many rows, up to CHUNK_ITEMS, and what becomes of them."""
+    """Items of many rows, up to CHUNK_ITEMS, and what becomes of them.
 
-    def __init__(self, parts: int, schema: pa.Schema):
-        self.parts, self.schema = parts, schema
+    With `keep_first` the smallest (key, place) of each hash is its entry, and only the others are answered here.
+    """
+
+    def __init__(self, parts: int, schema: pa.Schema, keep_first: bool = False):
+        self.parts, self.schema, self.keep_first = parts, schema, keep_first
         self._clear()
 
     def _clear(self) -> None:
@@ -152,12 +155,16 @@ class Chunk:
         hashes, docs, places = map(np.concatenate, (self.hashes, self.docs, self.places))
         k1, k2 = np.concatenate(self.k1), np.concatenate(self.k2)
         self._clear()
-        order = np.argsort(hashes)
+        order = np.lexsort((places, k2[docs], k1[docs], hashes)) if self.keep_first else np.argsort(hashes)
         bounds = _groups(hashes[order])
         counts = np.diff(bounds)
         repeated = np.zeros(len(hashes), dtype=bool)
         repeated[order[np.repeat(counts > 1, counts)]] = True
         chosen, chosen_counts = order[bounds[:-1]], counts
+        if self.keep_first:
+            first = np.repeat(chosen, counts)
+            repeated[order] = _later(k1[docs[order]], k2[docs[order]], places[order], k1[docs[first]], k2[docs[first]], places[first])
+            chosen_counts = np.ones_like(counts)
         del order
         yield batch_of(answer_rows(k1, k2, *span_pairs(docs[repeated], places[repeated]), self.parts), self.schema)
         # One entry per different hash: those of one place with it, the others with their number.
@@ -181,6 +188,11 @@ class Chunk:
         yield batch_of(out, self.schema)
 
 
+def _later(k1, k2, place, first_k1, first_k2, first_place) -> np.ndarray:
+    """Which places are not the first one. Rows that repeat a key have the same places."""
+    return (k1 != first_k1) | (k2 != first_k2) | (place != first_place)
+
+
 def _by_part(hashes: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
     """Order by partition (stable) and the bounds of each partition."""
     part = ((hashes >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
@@ -201,7 +213,8 @@ class Entries:
         self.again.append(np.frombuffer(again, np.uint64))
         self.counts.append(np.frombuffer(counts, "<u4"))
 
-    def answers(self, parts: int, hot_from: int | None = None) -> Iterator[dict[str, list]]:
+    def answers(self, parts: int, hot_from: int | None = None, keep_first: bool = False) -> Iterator[dict[str, list]]:
+        """The repeated places, with `keep_first` without the smallest (key, place) of each hash."""
         if not self.hashes:
             return
         if hot_from is not None:  # the number of all items, for the caller to judge what is hot
@@ -223,13 +236,23 @@ class Entries:
                 np.add.at(total, at[hit], 1)
                 doc = np.repeat(np.arange(len(keys)), keys["n"])[hit]
                 used, doc = np.unique(doc, return_inverse=True)
-                found.append((keys[used], doc, placed(keys, from_planes(deltas))[hit]))
+                found.append((keys[used], doc, placed(keys, from_planes(deltas))[hit], at[hit]))
         if found:
-            keys, docs, places = zip(*found, strict=True)
+            keys, docs, places, of_hash = zip(*found, strict=True)
             before = np.cumsum([0, *map(len, keys)])[:-1]
             doc = np.concatenate([d + n for d, n in zip(docs, before, strict=True)])
             place, keys = np.concatenate(places), np.concatenate(keys)
-            yield answer_rows(keys["k1"].astype(np.int64), keys["k2"].astype(np.int64), doc, place, place + 1, parts)
+            k1, k2 = keys["k1"].astype(np.int64), keys["k2"].astype(np.int64)
+            if keep_first:
+                of_hash = np.concatenate(of_hash)
+                order = np.lexsort((place, k2[doc], k1[doc], of_hash))
+                bounds = _groups(of_hash[order])
+                first = np.empty(len(order), dtype=np.int64)
+                first[order] = np.repeat(order[bounds[:-1]], np.diff(bounds))
+                later = _later(k1[doc], k2[doc], place, k1[doc[first]], k2[doc[first]], place[first])
+                doc, place = doc[later], place[later]
+            if len(doc):
+                yield answer_rows(k1, k2, doc, place, place + 1, parts)
         if hot_from is not None and (total >= hot_from).any():
             many = total >= hot_from
             yield {"hot": known[many].view(np.int64).tolist(), "n": total[many].tolist()}

@@ -14,7 +14,8 @@ smallest hash in it (leftmost on ties). Stages:
 
 An anchor that occurs in more than one of HOT_SHARE places would gather too much in one task; there are at
 most HOT_SHARE such anchors. The strings around these are compared by 64-bit hash instead, as items of
-their own, so that no task gets more than one entry per string and chunk.
+their own, so that no task gets more than one entry per string and chunk: with keep="first" the chunk's first
+place, so that the first of all is found.
 """
 
 from __future__ import annotations
@@ -210,7 +211,9 @@ class Segments:
         lengths = np.array(list(map(len, content)), dtype=np.int64)
         raw = np.frombuffer(b"".join(content), np.uint8)
         rank = np.empty(len(rows), dtype=np.int64)
-        rank[np.lexsort((middle, k2, k1))] = np.arange(len(rows))
+        order = np.lexsort((middle, k2, k1))
+        steps = np.any([np.diff(x[order]) != 0 for x in (k1, k2, middle)], axis=0)
+        rank[order] = np.concatenate([[0], np.cumsum(steps)])  # rows that repeat a key share their ranks
         segment, start, later = repeated_starts(raw, np.cumsum(lengths) - lengths, low, high, middle, rank, size)
         if keep_first:
             segment, start = segment[later], start[later]
@@ -225,7 +228,7 @@ class Segments:
 def _segment_batches(done: list, hot: frozenset, parts: int, size: int, keep_first: bool) -> Iterator[pa.RecordBatch]:
     """Segments to send, equal ones once; the strings around hot anchors as items."""
     schema = arrow_schema(_SEGMENT_SCHEMA)
-    chunk = Chunk(parts, schema)
+    chunk = Chunk(parts, schema, keep_first)
     groups: dict[tuple, list[tuple]] = {}
     for anchor, k1, k2, low, high, middle, content in done:
         if anchor in hot:
@@ -245,7 +248,8 @@ def _segment_batches(done: list, hot: frozenset, parts: int, size: int, keep_fir
         values = (int(np.uint64(anchor & (2**64 - 1)) >> np.uint64(32)) * parts >> 32, k1, k2, anchor, low, high, middle, content)
         for column, value in zip(sent.values(), values, strict=True):
             column.append(value)
-        copies.extend(x[:4] for x in (members[int(keep_first) :] if len(members) > 1 else ()))
+        if len(members) > 1:
+            copies.extend(x[:4] for x in members if not (keep_first and x == members[0]))
     if sent["part"]:
         yield batch_of(sent, schema)
     if copies:
@@ -268,9 +272,9 @@ def remove_repeated_bytes(
 
     A byte goes if a string of `size` bytes over it starts anywhere else too, in the same document or
     another. With keep="none" all copies go; with keep="first" the copy that is first in key order stays,
-    whereas copies around very frequent anchors all go. Matches never cross documents and are judged
-    on the input. NULL text is empty; texts shorter than `size` lose nothing; rows that repeat an id and a
-    text are copies of each other. An empty table gives an empty result.
+    however frequent it is. Matches never cross documents and are judged on the input. NULL text is empty;
+    texts shorter than `size` lose nothing; rows that repeat an id and a text are copies of each other with
+    keep="none", and are treated alike with keep="first". An empty table gives an empty result.
     """
     rows = keyed(documents, id_column, text_column)
     parts = partitions(documents.sparkSession)
@@ -327,7 +331,7 @@ def remove_repeated_bytes(
                     gathered.add(r["hashes"], r["keys"], r["places"], r["again"], r["again_counts"])
                 else:
                     yield batch_of({name: [r[name]] for name in schema.names}, schema)
-        for out in chain(gathered.answers(parts), mine.answers(size, keep_first, parts)):
+        for out in chain(gathered.answers(parts, keep_first=keep_first), mine.answers(size, keep_first, parts)):
             yield batch_of(out, schema)
 
     found = stored(sent.repartitionById(parts, F.col("part")).mapInArrow(match, _ANSWER), "repeated-bytes")

@@ -420,3 +420,19 @@ def test_exact_similarity_of_texts():
     pairs = list(combinations(texts[:24], 2))
     found = near_copies.similarities(pa.array([a for a, _ in pairs]), pa.array([b for _, b in pairs]))
     assert found.tolist() == pytest.approx([_similarity(a, b) for a, b in pairs])
+
+
+def test_first_copies_stay_however_frequent(spark):
+    passage = " ".join(_words(3, 60))
+    texts = [passage, passage, passage] + [" ".join([*_words(i, 40), passage, *_words(50 + i, 30)]) for i in range(20)]
+    frame = _documents(spark, texts).repartition(6)
+    kept = []
+    for hot_least in (2, 10**9):
+        found = suffix_dedup.remove_repeated_bytes(frame, size=120, anchor=20, keep="first", hot_least=hot_least)
+        kept.append({row.doc_id: bytes(row.kept) for row in found.collect()})
+    assert kept[0] == kept[1]
+    assert sum(passage.encode() in text for text in kept[0].values()) == 1
+    twice = spark.createDataFrame([(1, passage), (1, passage)], "doc_id long, text string")
+    for hot_least in (2, 10**9):
+        found = suffix_dedup.remove_repeated_bytes(twice, size=120, anchor=20, keep="first", hot_least=hot_least)
+        assert {bytes(row.kept) for row in found.collect()} == {passage.encode()}
