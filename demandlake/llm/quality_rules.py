@@ -112,44 +112,55 @@ def _bin(value: Column) -> Column:
     return F.call_function("shiftleft", F.call_function("shiftright", value, spare), spare)
 
 
-def sketches(counted: DataFrame) -> DataFrame:
-    """Mergeable sketches: rows (lang, source, rule, bin, n)."""
+def different_texts(counted: DataFrame) -> DataFrame:
+    """One row per language, source and text of the documents that pass the base rules."""
+    rows = counted.filter(~base_failed()).select("lang", "source", "text_hash", *COUNTS)
+    # Copies are combined before the shuffle: each task sends a text that a third of all rows repeat once.
+    return rows.distinct()
+
+
+def sketches(counted: DataFrame, group: list[str]) -> DataFrame:
+    """Mergeable sketches: rows (*group, rule, bin, n)."""
     values = F.explode(
         F.array(*[F.struct(F.lit(rule).alias("rule"), _ratio(rule).alias("value")) for rule in RULES])
     ).alias("v")
     return (
-        counted.select("lang", "source", values)
+        counted.select(*group, values)
         .filter("v.value is not null")
-        .groupBy("lang", "source", F.col("v.rule").alias("rule"), _bin(F.col("v.value")).alias("bin"))
+        .groupBy(*group, F.col("v.rule").alias("rule"), _bin(F.col("v.value")).alias("bin"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
 
 
 def _quartiles(bins: DataFrame, group: list[str]) -> DataFrame:
-    """n, q1 and q3 of every group and rule: the least bin at which a quarter or three are reached."""
-    merged = bins.groupBy(*group, "rule", "bin").agg(F.sum("n").alias("n"))
+    """n, q1, q2 and q3 of every group and rule: the least bin at which one, two or three quarters are reached."""
     within = W.partitionBy(*group, "rule")
     reached = F.sum("n").over(within.orderBy("bin"))
     return (
-        merged.withColumns({"reached": reached, "total": F.sum("n").over(within)})
+        bins.withColumns({"reached": reached, "total": F.sum("n").over(within)})
         .groupBy(*group, "rule")
         .agg(
             F.max("total").alias("total"),
             F.min(F.when(F.expr("4 * reached >= total"), F.col("bin"))).alias("q1"),
+            F.min(F.when(F.expr("2 * reached >= total"), F.col("bin"))).alias("q2"),
             F.min(F.when(F.expr("4 * reached >= 3 * total"), F.col("bin"))).alias("q3"),
         )
     )
 
 
-def limits(bins: DataFrame) -> DataFrame:
-    """Rows (lang, source, least_<rule>, most_<rule>), one per group.
+def limits(counted: DataFrame) -> DataFrame:
+    """Rows (lang, source, least_<rule>, most_<rule>), one per group with a document that passes the base rules.
 
     A limit lies three quartile distances, and at least the rule's slack, beyond the quartile. Groups of
-    fewer than LEAST_DOCUMENTS documents take the quartiles of their language.
+    fewer than LEAST_DOCUMENTS different texts take the quartiles of their language. No limit lies beyond that
+    of the language, which is measured from the median and the nearer quartile, twice as far: up to half of a
+    language's texts may be junk on one side without moving it far, and a source full of junk does not set its own.
     """
-    own, common = _quartiles(bins, ["lang", "source"]), _quartiles(bins, ["lang"])
+    different = different_texts(counted)
+    own = _quartiles(sketches(different, ["lang", "source"]), ["lang", "source"])
+    common = _quartiles(sketches(different.drop("source").distinct(), ["lang"]), ["lang"])
     common = common.select(
-        F.col("lang").alias("c_lang"), F.col("rule").alias("c_rule"), F.col("q1").alias("c_q1"), F.col("q3").alias("c_q3")
+        F.col("lang").alias("c_lang"), F.col("rule").alias("c_rule"), *[F.col(q).alias(f"c_{q}") for q in ("q1", "q2", "q3")]
     )
     few = F.col("total") < LEAST_DOCUMENTS
     both = own.join(common, F.col("lang").eqNullSafe(F.col("c_lang")) & (F.col("rule") == F.col("c_rule")))
@@ -160,9 +171,13 @@ def limits(bins: DataFrame) -> DataFrame:
     for rule, (_, _, slack) in RULES.items():
         of_rule = F.col("rule") == rule
         reach = F.greatest(SPREADS * (F.col("q3") - F.col("q1")), F.lit(slack))
-        aggregates.append(F.max(F.when(of_rule, F.col("q3") + reach)).alias(f"most_{rule}"))
+        nearer = F.least(F.col("c_q3") - F.col("c_q2"), F.col("c_q2") - F.col("c_q1"))
+        bound = F.greatest(2 * SPREADS * nearer, F.lit(slack))
+        most = F.least(F.col("q3") + reach, F.col("c_q2") + bound)
+        aggregates.append(F.max(F.when(of_rule, most)).alias(f"most_{rule}"))
         if rule in LOWER_TOO:
-            aggregates.append(F.max(F.when(of_rule, F.col("q1") - reach)).alias(f"least_{rule}"))
+            least = F.greatest(F.col("q1") - reach, F.col("c_q2") - bound)
+            aggregates.append(F.max(F.when(of_rule, least)).alias(f"least_{rule}"))
     return both.groupBy("lang", "source").agg(*aggregates)
 
 
@@ -195,19 +210,22 @@ def quality_rules(
 ) -> DataFrame:
     """One row per document: doc_id, lang, source, the counts, base_failed and kept.
 
-    All documents with a word enter the sketches. NULL text has no words and fails the base rules; NULL
+    Of the documents that pass the base rules, each different text enters the sketch of its group once, told apart
+    by its 64-bit hash and its counts. NULL text has no words and fails the base rules; NULL
     languages and sources are groups of their own. Two windows or words count as equal if their 64-bit
     hashes within one text are. Rows that repeat an id each get their row; an empty table gives an empty
     result.
     """
     rows = picked(documents, doc_id=id_column, text=text_column, lang=lang_column, source=source_column)
-    counted = stored(with_counts(rows).drop("text"), "quality-counts")
-    return judged(counted, limits(sketches(counted)))
+    hashed = rows.withColumn("text_hash", F.xxhash64("text"))
+    counted = stored(with_counts(hashed).drop("text"), "quality-counts")
+    return judged(counted, limits(counted)).drop("text_hash")
 
 
 def keep_good(documents: DataFrame, columns: list[str]) -> DataFrame:
     """The documents that the rules keep, unchanged."""
     rows = documents.select(*columns)
-    counted = stored(with_counts(rows.select("text", "lang", "source")).drop("text"), "quality-counts")
-    group_limits = stored(limits(sketches(counted)), "quality-limits")
+    hashed = rows.select("text", "lang", "source", F.xxhash64("text").alias("text_hash"))
+    counted = stored(with_counts(hashed).drop("text"), "quality-counts")
+    group_limits = stored(limits(counted), "quality-limits")
     return judged(with_counts(rows), group_limits).filter("kept").select(*columns)

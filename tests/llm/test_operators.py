@@ -436,3 +436,20 @@ def test_first_copies_stay_however_frequent(spark):
     for hot_least in (2, 10**9):
         found = suffix_dedup.remove_repeated_bytes(twice, size=120, anchor=20, keep="first", hot_least=hot_least)
         assert {bytes(row.kept) for row in found.collect()} == {passage.encode()}
+
+
+def _row_of_words(seed: int, symbols: int) -> str:
+    words = _words(seed, 100)
+    return " ".join(words[symbols:] + [w + "#" for w in words[:symbols]])
+
+
+def test_junk_and_copies_set_no_limit(spark):
+    """A third of the texts of a source, and a page copied over another source, are full of symbols."""
+    rows = [(i, _row_of_words(i, 30 if i % 3 == 0 else i % 2), "en", "a") for i in range(600)]
+    rows += [(i, _row_of_words(i, 0), "en", "b") for i in range(600, 900)]
+    rows += [(i, _row_of_words(7777, 90), "en", "b") for i in range(900, 1200)]
+    rows += [(i, "# # # #", "en", "b") for i in range(1200, 1500)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    kept = {r.doc_id for r in quality_rules.quality_rules(frame).filter("kept").collect()}
+    good = {i for i in range(600) if i % 3} | set(range(600, 900))
+    assert kept == good
