@@ -10,12 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandlake.llm import (
+    conversation_repair,
     exact_dedup,
+    hard_negatives,
     lm_scores,
     mixing,
     packing,
     quality_model,
     quality_rules,
+    sharding,
     simhash,
     substring_dedup,
     suffix_dedup,
@@ -81,6 +84,18 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repairs(conversation_repair.damage(read(spark, sf_dir, "conversations")))
+
+
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.sharded(read(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(read(spark, sf_dir, "embeddings"))
+
+
 _QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_mixing": op2_mixing,
@@ -92,6 +107,9 @@ _QUERIES: dict[str, Query] = {
     "op8_simhash": op8_simhash,
     "op9_quality_rules": op9_quality_rules,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_sharding": op12_sharding,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 
@@ -128,4 +146,24 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, len(words) AS n_words, coalesce(n_removed, 0) AS n_removed,
             sha256(coalesce(kept.text, '')) AS kept_sha256
         FROM w LEFT JOIN kept USING (doc_id) LEFT JOIN removed USING (doc_id)""",
+    "op13_hard_negatives": """
+        WITH fine AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL
+                AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+            SELECT a.vec_id AS anchor_id, p.vec_id, a.label = p.label AS same,
+                CAST(list_sum(list_transform(generate_series(1, least(len(a.v), len(p.v))), i -> a.v[i] * p.v[i])) AS BIGINT) AS score
+            FROM fine a JOIN fine p ON a.vec_id IS DISTINCT FROM p.vec_id WHERE a.vec_id % 50 = 0),
+        positives AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+        SELECT anchor_id, positive_id,
+            CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+            vec_id AS negative_id, positive_score, score AS negative_score
+        FROM positives JOIN scored USING (anchor_id)
+        WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+        QUALIFY rank <= 3""",
 }
