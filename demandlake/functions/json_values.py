@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_END = "end of document"
+# The closing marker is a hash of the text, which no text holds itself.
 
 
 def strict_variant(text: Column) -> Column:
@@ -18,21 +18,32 @@ def strict_variant(text: Column) -> Column:
     The text is parsed once, between `[` and a closing marker; the filter over the one-element
     array drops the result if the marker is not where it belongs.
     """
-    wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{_END}"]')))
-    closed = F.filter(F.array(wrapped), lambda value: F.try_variant_get(value, "$[1]", "string") == _END)
+    wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"'), F.md5(text), F.lit('"]')))
+    closed = F.filter(F.array(wrapped), lambda value: F.try_variant_get(value, "$[1]", "string") == F.md5(text))
     return F.try_variant_get(F.get(closed, F.lit(0)), "$[0]", "variant")
 
 
+def strict_elements(text: Column) -> Column:
+    """The elements of a text that is exactly one JSON array, each a variant of its own; NULL for any other text.
+
+    The array is read element by element, so the bound on a variant's size holds for an element, not for all.
+    """
+    wrapped = F.concat(F.lit("["), text, F.lit(',["'), F.md5(text), F.lit('"]]'))
+    options = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+    parsed = F.array(F.from_json(wrapped, "array<array<variant>>", options))
+
+    def complete(lists: Column) -> Column:
+        end = F.get(F.get(lists, F.lit(1)), F.lit(0))
+        return (F.size(lists) == 2) & (F.try_variant_get(end, "$", "string") == F.md5(text))
+
+    return F.get(F.get(F.filter(parsed, complete), F.lit(0)), F.lit(0))
+
+
 def starts_with(text: Column, bracket: str) -> Column:
     """Whether the first character of a JSON text that is not blank is the given bracket."""
     return F.ltrim(text, F.lit(" \t\r\n")).startswith(bracket)
 
 
-def elements(value: Column) -> Column:
-    """The elements of a JSON array, or NULL for any other value."""
-    return F.try_variant_get(value, "$", "array<variant>")
-
-
 def strict_documents(text: Column, schema: str, key: str) -> Column:
     """The text's one JSON object, typed, in an array; NULL if it is not one object fitting the schema.
 

@@ -19,9 +19,9 @@ OVERSIZE = "oversize"
 OBJECT = "object"
 LIST = "list"
 
-# Larger bodies are refused as such, by size alone and before they are parsed. The JSON values of smaller
-# ones always fit the engine's limit; nesting of more than 1,000 levels does not and counts as malformed.
-MAX_BODY_BYTES = 16 * 2**20
+# A single document or item of more bytes is refused as such, as the engine's JSON values are bounded; those of
+# smaller ones always fit, and a list may be of any size. Nesting of more than 1,000 levels counts as malformed.
+MAX_ITEM_BYTES = 16 * 2**20
 
 _ROOT = ""
 _WHOLE_FIELD = -1
@@ -39,26 +39,35 @@ def dispatch_requests(requests: DataFrame) -> DataFrame:
 
 
 def normalise_requests(requests: DataFrame) -> DataFrame:
-    """Add `shape` and `items`: a single object becomes a list of one, a list stays as it is."""
+    """Add `shape` and `items`: a single object becomes a list of one, a list stays as it is.
+
+    A list is taken apart while it is read, so only its single items are bounded. A longer body that cannot be
+    read, as it holds a larger item or no JSON, is refused by its size.
+    """
     document = F.col("document")
-    fits = F.octet_length("body") <= MAX_BODY_BYTES
+    small = F.octet_length("body") <= MAX_ITEM_BYTES
+    is_list = jv.starts_with(F.col("body"), "[")
     # One select per step, as each parsed value is referenced several times by the next one.
     return (
         dispatch_requests(requests)
-        .withColumn("document", F.when(fits, jv.strict_variant(F.col("body"))))
+        .withColumns(
+            {
+                "listed": F.when(is_list, jv.strict_elements(F.col("body"))),
+                "document": F.when(~is_list & small, jv.strict_variant(F.col("body"))),
+            }
+        )
         .withColumn(
             "shape",
-            F.when(~fits, OVERSIZE)
+            F.when(F.col("listed").isNotNull(), LIST)
+            .when(~small, OVERSIZE)
             .when(document.isNull(), MALFORMED)
-            .when(jv.starts_with(F.col("body"), "["), LIST)
             .when(jv.starts_with(F.col("body"), "{"), OBJECT)
             .otherwise(SCALAR),
         )
         .withColumn(
-            "items",
-            F.when(F.col("shape") == LIST, jv.elements(document)).when(F.col("shape") == OBJECT, F.array(document)),
+            "items", F.when(F.col("shape") == LIST, F.col("listed")).when(F.col("shape") == OBJECT, F.array(document))
         )
-        .drop("document")
+        .drop("document", "listed")
     )
 
 
@@ -177,29 +186,31 @@ def check_requests(requests: DataFrame) -> DataFrame:
     return normalise_requests(requests).withColumn("errors", errors)
 
 
+def _reported(numbered: DataFrame) -> DataFrame:
+    """Rows with `index` and `item_errors` as the error report."""
+    path = (
+        F.when(F.col("error.field") == _ROOT, F.array().cast("array<string>"))
+        .when(F.col("error.item") == _WHOLE_FIELD, F.array("error.field"))
+        .otherwise(F.array(F.col("error.field"), F.col("error.item").cast("string")))
+    )
+    return numbered.select("request_id", "endpoint", "index", F.explode("item_errors").alias("error")).select(
+        "request_id",
+        "endpoint",
+        F.col("index").cast("bigint").alias("index"),
+        path.alias("field"),
+        F.col("error.message").alias("message"),
+    )
+
+
 def validation_errors(requests: DataFrame) -> DataFrame:
     """The error report: one row per violation with item index, path and message.
 
     `field` is the path inside the item: empty for the item itself, the field name, or the field
     name and the element's position.
     """
-    path = (
-        F.when(F.col("error.field") == _ROOT, F.array().cast("array<string>"))
-        .when(F.col("error.item") == _WHOLE_FIELD, F.array("error.field"))
-        .otherwise(F.array(F.col("error.field"), F.col("error.item").cast("string")))
-    )
-    return (
-        check_requests(requests)
-        # The outer form keeps Spark from testing, and so computing, the errors once more before.
-        .select("request_id", "endpoint", F.posexplode_outer("errors").alias("index", "item_errors"))
-        .select("request_id", "endpoint", "index", F.explode("item_errors").alias("error"))
-        .select(
-            "request_id",
-            "endpoint",
-            F.col("index").cast("bigint").alias("index"),
-            path.alias("field"),
-            F.col("error.message").alias("message"),
-        )
+    # The outer form keeps Spark from testing, and so computing, the errors once more before.
+    return _reported(
+        check_requests(requests).select("request_id", "endpoint", F.posexplode_outer("errors").alias("index", "item_errors"))
     )
 
 
@@ -239,3 +250,46 @@ def accepted_messages(requests: DataFrame) -> DataFrame:
         .select("topic", F.explode(publishable).alias("item"))
         .select("topic", F.to_json("item").alias("value"))
     )
+
+
+def checked_requests(requests: DataFrame) -> DataFrame:
+    """Each request with all that is reported or published of it, to be stored: one pass checks it once.
+
+    Columns: request_id, endpoint, topic, status, accepted, `failed_items` (index and errors of the items that
+    have any), and `messages`, the texts of the items it may publish.
+    """
+    indexed = F.transform("errors", lambda errors, index: F.struct(index.alias("index"), errors.alias("item_errors")))
+    publishable = F.when(F.col("status").isin(200, 201), F.transform("items", lambda item: F.to_json(item)))
+    # Taken out of an array by an outer explode, the decided request is not taken apart, and so checked, again.
+    decided = dispose_requests(requests).select(
+        "request_id",
+        "endpoint",
+        F.explode_outer(
+            F.array(
+                F.struct(
+                    "topic",
+                    "status",
+                    "accepted",
+                    F.filter(indexed, lambda item: F.size(item["item_errors"]) > 0).alias("failed_items"),
+                    publishable.alias("messages"),
+                )
+            )
+        ).alias("decided"),
+    )
+    return decided.select("request_id", "endpoint", "decided.*")
+
+
+def errors_of(checked: DataFrame) -> DataFrame:
+    """The error report out of checked requests."""
+    items = checked.select("request_id", "endpoint", F.explode("failed_items").alias("item"))
+    return _reported(items.select("request_id", "endpoint", "item.*"))
+
+
+def disposition_of(checked: DataFrame) -> DataFrame:
+    """One row per checked request: status code and accepted item count."""
+    return checked.select("request_id", "endpoint", "status", "accepted")
+
+
+def messages_of(checked: DataFrame) -> DataFrame:
+    """The items of fully valid requests as topic messages `(topic, value)`, out of checked requests."""
+    return checked.select("topic", F.explode("messages").alias("value"))

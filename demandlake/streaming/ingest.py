@@ -7,8 +7,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from demandlake.operators import validation as val
 from demandlake.sources import tables, topics
+from demandlake.sources.files import delete_folder
 from demandlake.sources.tables import Origin
-from demandlake.streaming.medallion import origin_of, run_together
+from demandlake.streaming.medallion import STAGED, origin_of, run_together
 
 ERRORS = "errors"
 DISPOSITIONS = "dispositions"
@@ -17,16 +18,25 @@ DISPOSITIONS = "dispositions"
 def ingest_batch(requests: DataFrame, batch_id: int | Origin, landing: str, reports: str) -> None:
     """Land the items of accepted requests, and store the violations and the status of every request.
 
-    Each output is replaced or left alone when the batch is tried again, so no request counts twice.
+    Requests are checked in one pass, whose outcome is stored; all three outputs are read from it. Each is
+    replaced or left alone when the batch is tried again, so no request counts twice.
     """
-    run_together(
-        requests.sparkSession,
-        [
-            lambda: topics.land_messages(val.accepted_messages(requests), landing, batch_id),
-            lambda: tables.append_batch(val.validation_errors(requests), f"{reports}/{ERRORS}", batch_id),
-            lambda: tables.append_batch(val.request_disposition(requests), f"{reports}/{DISPOSITIONS}", batch_id),
-        ],
-    )
+    spark = requests.sparkSession
+    staged = f"{reports}/{STAGED}/{batch_id}"
+    try:
+        checked = val.checked_requests(requests)
+        checked.write.mode("overwrite").parquet(staged)
+        checked = spark.read.schema(checked.schema).parquet(staged)
+        run_together(
+            spark,
+            [
+                lambda: topics.land_messages(val.messages_of(checked), landing, batch_id),
+                lambda: tables.append_batch(val.errors_of(checked), f"{reports}/{ERRORS}", batch_id),
+                lambda: tables.append_batch(val.disposition_of(checked), f"{reports}/{DISPOSITIONS}", batch_id),
+            ],
+        )
+    finally:
+        delete_folder(spark, staged)
 
 
 def start_ingest(

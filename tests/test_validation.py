@@ -125,14 +125,57 @@ def test_malformed_requests(spark, body, shape):
     assert [row["shape"] for row in val.malformed_requests(requests(spark, body, "[]", "{}")).collect()] == [shape]
 
 
-def test_a_body_beyond_the_limit_is_refused_as_such(spark):
+def shapes_and_statuses(spark, rows):
+    requests = spark.createDataFrame(rows, "request_id string, endpoint string, body string")
+    shapes = {r.request_id: r.shape for r in val.normalise_requests(requests).select("request_id", "shape").collect()}
+    return shapes, {r.request_id: (r.status, r.accepted) for r in val.request_disposition(requests).collect()}
+
+
+def test_a_document_beyond_the_limit_is_refused_as_such(spark):
+    import json
+
+    full = json.dumps({"commentText": "x" * (val.MAX_ITEM_BYTES - len('{"commentText": ""}'))})
+    rows = [("fits", "/comments", full), ("over", "/comments", full + " "), ("broken", "/comments", "[" + full + " ")]
+    shapes, statuses = shapes_and_statuses(spark, rows)
+    assert shapes == {"fits": "object", "over": "oversize", "broken": "oversize"}
+    assert statuses == {"fits": (422, 0), "over": (413, 0), "broken": (413, 0)}
+
+
+def test_a_list_may_be_of_any_size(spark):
+    """40 MB of valid items are accepted as a whole; with one bad item among them the request is refused."""
     import json
 
-    full = json.dumps({"commentText": "x" * (val.MAX_BODY_BYTES - len('{"commentText": ""}'))})
-    rows = [("fits", "/comments", full), ("over", "/comments", full + " ")]
+    items = [comment(author=str(i), extra="x" * 1_000_000) for i in range(40)]
+    rows = [("good", "/comments", json.dumps(items)), ("mixed", "/comments", json.dumps([*items, comment(author=5)]))]
+    shapes, statuses = shapes_and_statuses(spark, rows)
+    assert shapes == {"good": "list", "mixed": "list"}
+    assert statuses == {"good": (200, 40), "mixed": (400, 0)}
     requests = spark.createDataFrame(rows, "request_id string, endpoint string, body string")
-    assert {r.request_id: r.shape for r in val.normalise_requests(requests).select("request_id", "shape").collect()} == {
-        "fits": "object",
-        "over": "oversize",
-    }
-    assert {r.request_id: r.status for r in val.request_disposition(requests).collect()} == {"fits": 422, "over": 413}
+    checked = val.checked_requests(requests)
+    sent = val.messages_of(checked).selectExpr("get_json_object(value, '$.author') AS author", "length(value) AS n").collect()
+    assert sorted(int(row.author) for row in sent) == list(range(40)) and min(row.n for row in sent) > 1_000_000
+    assert [(r.request_id, r["index"], r.message) for r in val.errors_of(checked).collect()] == [("mixed", 40, "type: string")]
+
+
+@pytest.mark.parametrize(
+    "body",
+    ['[1]]', "[1],[2]", '[1],["x"]', '[], "x"', "[1] junk", "[1,]", "[,1]", "[1 2]", '["a]', "[{]", "['a']", "[NaN]", "[", '[1],"closed":1}'],
+)
+def test_text_beside_a_list_is_malformed(spark, body):
+    assert [row["shape"] for row in val.malformed_requests(requests(spark, body)).collect()] == ["malformed"]
+
+
+def test_items_of_a_list_keep_their_types(spark):
+    body = '[{"a": 1}, "b", 5, 2.50, null, true, [1], {}]'
+    rows = val.normalise_requests(requests(spark, body)).selectExpr("transform(items, i -> to_json(i)) AS items").first()
+    assert rows["items"] == ['{"a":1}', '"b"', "5", "2.5", "null", "true", "[1]", "{}"]
+
+
+@pytest.mark.parametrize("text", ['1,"end of document"', "1],[1", '{"a":1},2', '{"a":1}],"x":[1'])
+def test_no_text_closes_the_frame_it_is_parsed_in(spark, text):
+    from pyspark.sql import functions as F
+
+    from demandlake.functions import json_values as jv
+
+    frame = spark.createDataFrame([(text,)], "text string")
+    assert frame.select(jv.strict_variant(F.col("text")).isNull()).first()[0]
