@@ -25,7 +25,8 @@ def of_topic(messages: DataFrame, topic: str) -> DataFrame:
     return messages.filter(F.col("topic") == topic)
 
 
-def _documents(topic: str) -> Column:
+def documents(topic: str) -> Column:
+    """The text's document in an array, typed by the topic's schema; NULL if it does not fit."""
     entry = topic_of(topic)
     return jv.strict_documents(F.col("value"), entry.message_schema, entry.id_column)
 
@@ -36,7 +37,7 @@ def parse_with_flag(messages: DataFrame, topic: str, keep: list[str] | None = No
     Taking the document out of its array by an outer explode gives one row per message, and a
     column no filter can be pushed through, which would make Spark parse the text again for it.
     """
-    parsed = of_topic(messages, topic).select(*(keep or []), F.explode_outer(_documents(topic)).alias("document"))
+    parsed = of_topic(messages, topic).select(*(keep or []), F.explode_outer(documents(topic)).alias("document"))
     return parsed.withColumn("readable", F.col("document").isNotNull())
 
 
@@ -60,7 +61,7 @@ def unreadable_reason(text: Column) -> Column:
 
 def quarantine_messages(messages: DataFrame, topic: str) -> DataFrame:
     """The messages of one topic that cannot be read: `(topic, value, reason)`, text unchanged."""
-    unreadable = of_topic(messages, topic).filter(_documents(topic).isNull())
+    unreadable = of_topic(messages, topic).filter(documents(topic).isNull())
     return unreadable.select("topic", "value", unreadable_reason(F.col("value")).alias("reason"))
 
 
@@ -77,7 +78,7 @@ def quarantine_all(messages: DataFrame) -> DataFrame:
     """Everything that cannot be processed, over all topics, in one pass."""
     readable = F.lit(False)
     for topic in TOPICS:
-        readable = F.when(F.col("topic") == topic, _documents(topic).isNotNull()).otherwise(readable)
+        readable = F.when(F.col("topic") == topic, documents(topic).isNotNull()).otherwise(readable)
     reason = F.when(_is_known(), unreadable_reason(F.col("value"))).otherwise(UNKNOWN_TOPIC)
     return messages.filter(~readable).select("topic", "value", reason.alias("reason"))
 

@@ -73,43 +73,50 @@ def _starts(sizes: DataFrame, within: list[str], order: str, name: str) -> DataF
     return sizes.withColumn(name, F.coalesce(F.sum("size").over(before), F.lit(0)))
 
 
-def number_in_topic(payloads: DataFrame, order: list[str], block: Column) -> DataFrame:
+def number_in_topic(payloads: DataFrame, order: list[str], block: Column, source: Column | None = None) -> DataFrame:
     """Number the payloads of each topic from 0 in the given order, without sorting a topic in one task.
 
-    `block` must be a whole number that never decreases along the order, and must keep blocks small
-    (say, an offset divided by 10,000). Rows are numbered inside their block; a block's start is summed
-    inside its group of neighbouring blocks, and the group's start over the few groups of a topic.
+    `source`, where given, comes before the order: a file or a partition that payloads came from. `block` must
+    be a whole number that never decreases along the order inside a source, and must keep blocks small (say, an
+    offset divided by 10,000). Rows are numbered inside their block; a block's start is summed inside its group
+    of neighbouring blocks, the group's start over the few groups of a source, and that of a source over the
+    sources of a topic.
     """
-    blocked = payloads.withColumn("block", block)
+    blocked = payloads.withColumns({"block": block, "lane": F.lit("") if source is None else source})
     sizes = (
-        blocked.groupBy("topic", "block")
+        blocked.groupBy("topic", "lane", "block")
         .agg(F.count(F.lit(1)).alias("size"))
         .withColumn("group", F.floor(F.col("block") / _BLOCKS_PER_GROUP))
     )
-    groups = _starts(sizes.groupBy("topic", "group").agg(F.sum("size").alias("size")), ["topic"], "group", "group_start")
-    starts = (
-        _starts(sizes, ["topic", "group"], "block", "block_start")
-        .join(groups.select("topic", "group", "group_start"), ["topic", "group"])
-        .select("topic", "block", (F.col("group_start") + F.col("block_start")).alias("start"))
+    per_group = sizes.groupBy("topic", "lane", "group").agg(F.sum("size").alias("size"))
+    groups = _starts(per_group, ["topic", "lane"], "group", "group_start")
+    starts = _starts(sizes, ["topic", "lane", "group"], "block", "block_start").join(
+        groups.select("topic", "lane", "group", "group_start"), ["topic", "lane", "group"]
     )
-    inside = Window.partitionBy("topic", "block").orderBy(*order)
+    start = F.col("group_start") + F.col("block_start")
+    if source is not None:
+        lanes = _starts(per_group.groupBy("topic", "lane").agg(F.sum("size").alias("size")), ["topic"], "lane", "lane_start")
+        starts = starts.join(lanes.select("topic", "lane", "lane_start"), ["topic", "lane"])
+        start = start + F.col("lane_start")
+    starts = starts.select("topic", "lane", "block", start.alias("start"))
+    inside = Window.partitionBy("topic", "lane", "block").orderBy(*order)
     return (
         blocked.withColumn("place", F.row_number().over(inside) - 1)
-        .join(starts, ["topic", "block"])
+        .join(starts, ["topic", "lane", "block"])
         .withColumn("position", F.col("start") + F.col("place"))
-        .drop("block", "place", "start")
+        .drop("block", "lane", "place", "start")
     )
 
 
 def chunk_payloads(
-    payloads: DataFrame, order: list[str], block: Column, chunk_size: int = CHUNK_SIZE
+    payloads: DataFrame, order: list[str], block: Column, chunk_size: int = CHUNK_SIZE, source: Column | None = None
 ) -> DataFrame:
     """Cut `(topic, payload, ...)` into chunks of `chunk_size` per topic, in order.
 
     Result: `(topic, chunk_no, payload_count, payload)`, where `payload` is a JSON list, or the
     bare object if the chunk holds one. A topic's chunks are full, but for its last one.
     """
-    numbered = number_in_topic(payloads, order, block)
+    numbered = number_in_topic(payloads, order, block, source)
     chunks = (
         numbered.withColumn("chunk_no", F.floor(F.col("position") / chunk_size))
         .groupBy("topic", "chunk_no")

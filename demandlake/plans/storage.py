@@ -170,7 +170,7 @@ def stream_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _run_forwarder(spark: SparkSession, sf_dir: str) -> str:
     base = scratch_path(spark, "outbox")
     topics.land_messages(sample.comment_messages(spark, sf_dir), f"{base}/landing")
-    source = topics.topic_stream(spark, f"{base}/landing")
+    source = topics.topic_stream(spark, f"{base}/landing", positions=True)
     target = {COMMENTS_TOPIC: "target/comments"}
     start_forwarder(source, f"{base}/outbox", f"{base}/checkpoint", ["folder-1"], "tenant-1", target).awaitTermination()
     return f"{base}/outbox"

@@ -34,6 +34,19 @@ def test_numbers_and_chunks_against_brute_force(spark, monkeypatch):
     assert found == expected
 
 
+def test_sources_come_one_after_the_other(spark, monkeypatch):
+    """Offsets start anew in each source, one source holds most rows, and partitions do not matter."""
+    monkeypatch.setattr(outbox, "_BLOCKS_PER_GROUP", 3)
+    rows = [("t", f"file {i % 3 if i < 90 else 1}", i, str(i)) for i in range(700)] + [("u", "file 2", 5, "x"), ("u", "file 0", 9, "y")]
+    frame = spark.createDataFrame(rows, "topic string, source string, offset bigint, payload string")
+    texts = [row[3] for row in sorted(rows, key=lambda row: row[1:3]) if row[0] == "t"]
+    expected = {("t", no): texts[no * 8 : no * 8 + 8] for no in range((len(texts) + 7) // 8)} | {("u", 0): ["y", "x"]}
+    for parts in (1, 8):
+        block = F.floor(F.col("offset") / 20)
+        chunks = outbox.chunk_payloads(frame.repartition(parts), ["offset"], block, 8, F.col("source")).collect()
+        assert {(row.topic, row.chunk_no): row.payload.strip("[]").split(",") for row in chunks} == expected
+
+
 def test_a_chunk_of_one_is_not_a_list(spark):
     rows = [("a", 1, '{"x":1}'), ("b", 1, '{"x":1}'), ("b", 2, '{"x":2}')]
     chunks = outbox.chunk_payloads(payloads(spark, rows), ["id"], F.lit(0))
