@@ -112,6 +112,21 @@ def match_open(open_rows: DataFrame, incoming: DataFrame, spec: DimSpec) -> Data
     return left.join(right, same_key, "full_outer").withColumn("outcome", outcome)
 
 
+def _outcomes(open_rows: DataFrame, incoming: DataFrame, spec: DimSpec, as_of: str) -> tuple[DataFrame, dict[str, Column]]:
+    """Open rows paired with a snapshot, and the rows that may come of a pair: kept, closed, opened."""
+    stamped = stamp(incoming, spec.keys, as_of)
+    incoming_all = _columns_like(stamped, open_rows)
+    open_all = _columns_like(open_rows, stamped)
+    names = [name for name in incoming_all.columns if name not in SCD_COLUMNS] + SCD_COLUMNS
+    ended = {"ValidTo": _at(as_of), "IsCurrent": F.lit(False)}
+    tracked = DimSpec(spec.keys, tuple(spec.tracked(incoming.columns)))
+    return match_open(open_all, incoming_all, tracked), {
+        "kept": F.struct(*[F.col(f"open.{name}").alias(name) for name in names]),
+        "closed": F.struct(*[ended.get(name, F.col(f"open.{name}")).alias(name) for name in names]),
+        "opened": F.struct(*[F.col(f"incoming.{name}").alias(name) for name in names]),
+    }
+
+
 def merge_open(open_rows: DataFrame, incoming: DataFrame, spec: DimSpec, as_of: str) -> DataFrame:
     """Merge a snapshot into the open rows.
 
@@ -119,24 +134,35 @@ def merge_open(open_rows: DataFrame, incoming: DataFrame, spec: DimSpec, as_of:
     opens a new one in the same step; a key missing from the snapshot stays open. Repeating a merge
     with the same snapshot changes nothing.
     """
-    stamped = stamp(incoming, spec.keys, as_of)
-    incoming_all = _columns_like(stamped, open_rows)
-    open_all = _columns_like(open_rows, stamped)
-    names = [name for name in incoming_all.columns if name not in SCD_COLUMNS] + SCD_COLUMNS
-
-    kept = F.struct(*[F.col(f"open.{name}").alias(name) for name in names])
-    opened = F.struct(*[F.col(f"incoming.{name}").alias(name) for name in names])
-    ended = {"ValidTo": _at(as_of), "IsCurrent": F.lit(False)}
-    closed = F.struct(*[ended.get(name, F.col(f"open.{name}")).alias(name) for name in names])
-
-    tracked = DimSpec(spec.keys, tuple(spec.tracked(incoming.columns)))
+    matched, row = _outcomes(open_rows, incoming, spec, as_of)
     rows = (
-        F.when(F.col("outcome") == "new", F.array(opened))
-        .when(F.col("outcome") == "changed", F.array(closed, opened))
-        .otherwise(F.array(kept))
+        F.when(F.col("outcome") == "new", F.array(row["opened"]))
+        .when(F.col("outcome") == "changed", F.array(row["closed"], row["opened"]))
+        .otherwise(F.array(row["kept"]))
     )
     # Every outcome yields a row, so the outer form loses nothing and spares a filter on the array.
-    return match_open(open_all, incoming_all, tracked).select(F.inline_outer(rows))
+    return matched.select(F.inline_outer(rows))
+
+
+def changed_rows(open_rows: DataFrame, incoming: DataFrame, spec: DimSpec, as_of: str) -> DataFrame:
+    """Only what a merge changes: `closed`, the row it ends (NULL for a new key), and `opened`, the row it starts."""
+    matched, row = _outcomes(open_rows, incoming, spec, as_of)
+    changed = matched.filter(F.col("outcome").isin("new", "changed"))
+    return changed.select(
+        F.when(F.col("outcome") == "changed", row["closed"]).alias("closed"), row["opened"].alias("opened")
+    )
+
+
+def surrogate_clashes(rows: DataFrame, spec: DimSpec) -> DataFrame:
+    """The rows whose surrogate key another key or another version of their key carries too.
+
+    Rows of one surrogate key are compared by the least and greatest of what they stand for, combined before
+    the shuffle, so no key is hot; only clashing rows are looked up.
+    """
+    version = F.struct(*spec.keys, "ValidFrom")
+    ends = rows.groupBy(F.col("SurrogateKey").alias("_clash")).agg(F.min(version).alias("least"), F.max(version).alias("greatest"))
+    clashing = ends.filter(~F.col("least").eqNullSafe(F.col("greatest"))).select("_clash")
+    return rows.join(clashing, F.col("SurrogateKey") == F.col("_clash"), "left_semi")
 
 
 def unique_keys(incoming: DataFrame, keys: tuple[str, ...]) -> DataFrame:
@@ -154,15 +180,6 @@ def unique_keys(incoming: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     return counted.filter(proof.isNull()).select("_row.*")
 
 
-def has_news(open_rows: DataFrame, incoming: DataFrame, spec: DimSpec) -> bool:
-    """Whether merging a snapshot would open or close any row, or add a column."""
-    if set(incoming.columns) - set(open_rows.columns):
-        return True
-    tracked = DimSpec(spec.keys, tuple(spec.tracked(incoming.columns)))
-    matched = match_open(open_rows, _columns_like(incoming, open_rows), tracked)
-    return not matched.filter(F.col("outcome").isin("new", "changed")).isEmpty()
-
-
 def scd2_merge(
     existing: DataFrame | None, incoming: DataFrame, spec: DimSpec, as_of: str
 ) -> DataFrame:

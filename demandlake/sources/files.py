@@ -15,16 +15,10 @@ def exists(spark: SparkSession, location: str) -> bool:
     return system.exists(path)
 
 
-def modified(spark: SparkSession, location: str) -> int | None:
-    """When a file was last written, in milliseconds; None if it does not exist."""
-    path, system = _path(spark, location)
-    return system.getFileStatus(path).getModificationTime() if system.exists(path) else None
-
-
-def matches(spark: SparkSession, pattern: str) -> list[str]:
-    """Names of what lies at a location given with wildcards in its last part; empty if nothing does."""
+def matches_with_time(spark: SparkSession, pattern: str) -> list[tuple[str, int]]:
+    """Paths given with wildcards and when they were last written, found in one request however many there are."""
     path, system = _path(spark, pattern)
-    return [status.getPath().getName() for status in system.globStatus(path) or []]
+    return [(status.getPath().toString(), status.getModificationTime()) for status in system.globStatus(path) or []]
 
 
 def any_match(spark: SparkSession, pattern: str) -> bool:
@@ -46,12 +40,6 @@ def delete_folder(spark: SparkSession, location: str) -> None:
     system.delete(path, True)
 
 
-def rename(spark: SparkSession, location: str, target: str) -> bool:
-    """Move a folder; False if that failed."""
-    path, system = _path(spark, location)
-    return system.rename(path, spark._jvm.org.apache.hadoop.fs.Path(target))
-
-
 def touch(spark: SparkSession, location: str) -> None:
     """Create an empty file."""
     path, system = _path(spark, location)

@@ -1,20 +1,14 @@
 """Layer tables on plain Parquet folders.
 
-Two layouts, both written so that repeating a micro-batch replaces what it wrote before:
-
-* a batch table (`batch_id=<label>/`) grows by one folder per micro-batch: bronze, silver, facts. A
-  label names the stream and its batch, so several streams, or a stream with a new checkpoint, add to
-  a table without touching each other's batches;
-* a versioned table (`version=<n>/`) is replaced as a whole. A stream builds on the newest version,
-  whoever wrote it, and leaves its label there (`_by.<stream>.<n>`), so a batch tried again finds what
-  it has merged. Two merges of one table at the same moment are refused: the later one fails, and its
-  batch is tried again on top of the other's version.
-
-Batches and versions count from the moment their `_SUCCESS` file is there, so readers never see half of one.
-
-A history-keeping dimension is a versioned table split by `state`: each version holds all rows
-open after its merge, and only those rows which that merge closed. Closed rows never change, so
-they are not written again.
+* A batch table (`batch_id=<label>/`) grows by one folder per micro-batch: bronze, silver, facts, the calendar.
+  A label names the stream and its batch, so several streams, or a stream with a new checkpoint, add to a
+  table without touching each other's batches, and a batch tried again replaces what it wrote before.
+  Batches count from the moment their `_SUCCESS` file is there.
+* A replaced table (`version=<n>/`) is written anew as a whole; the newest complete version counts.
+* A history-keeping dimension lies in buckets of its key: `open/bucket=<b>/` holds the open rows,
+  `closed/bucket=<b>/merged_by=<label>/` the rows that one batch closed. A merge reads the buckets its
+  snapshot's keys lie in, and writes those in which a row changed, by dynamic partition overwrite; closed rows
+  are never written again.
 """
 
 from __future__ import annotations
@@ -23,6 +17,7 @@ import hashlib
 import json
 import logging
 from dataclasses import dataclass
+from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
@@ -32,19 +27,22 @@ from pyspark.sql.types import StructField, StructType
 
 from demandlake.contracts import topic_of
 from demandlake.operators.layout import check_columns, spread_for_write
-from demandlake.operators.scd import DimSpec, backfill, has_news, merge_open, scd2_merge, unique_keys
-from demandlake.sources.files import any_match, child_folders, delete_folder, exists, matches, modified, read_text, rename, touch, write_text
+from demandlake.operators.scd import DimSpec, backfill, changed_rows, scd2_merge, unique_keys
+from demandlake.sources.files import any_match, child_folders, delete_folder, exists, matches_with_time, read_text, touch, write_text
 
 logger = logging.getLogger(__name__)
 
 _BATCH = "batch_id"
 _VERSION = "version"
-_STATE = "state"
 _OPEN = "open"
 _CLOSED = "closed"
+_BUCKET = "bucket"
+_MERGED_BY = "merged_by"
+_MERGED = "_merged"
 _SUCCESS = "_SUCCESS"
-_BY = "_by"
 _SCHEMAS = "_schemas"
+# The engine's function that fails on the metrics of a step which the plan that ran no longer had.
+_NEVER_COUNTED = "PythonSQLUtils.toPyRow"
 _NO_MARKER = {"mapreduce.fileoutputcommitter.marksuccessfuljobs": "false"}
 
 
@@ -66,11 +64,14 @@ def _write(frame: DataFrame, location: str, partitions: list[str], **options: st
 def observed(seen: Observation, name: str) -> int | None:
     """A count taken while a frame was written.
 
-    None means that no row got through and adaptive execution dropped the counting step.
+    None means that no row got through and adaptive execution dropped the counting step; a job that
+    failed has raised its own error before.
     """
     try:
         return seen.get[name]
-    except Py4JJavaError:
+    except Py4JJavaError as problem:
+        if _NEVER_COUNTED not in str(problem):
+            raise
         return None
 
 
@@ -113,9 +114,9 @@ def _note_schema(frame: DataFrame, location: str) -> None:
 
 def _noted_schema(spark: SparkSession, location: str) -> StructType | None:
     """The union of the schemas a table's batches were written with, oldest first; None if none was kept."""
-    noted = [f"{location}/{_SCHEMAS}/{name}" for name in matches(spark, f"{location}/{_SCHEMAS}/*.json")]
+    noted = matches_with_time(spark, f"{location}/{_SCHEMAS}/*.json")
     fields = {}
-    for path in sorted(noted, key=lambda path: (modified(spark, path), path)):
+    for path, _ in sorted(noted, key=lambda found: found[::-1]):
         for field in StructType.fromJson(json.loads(read_text(spark, path))):
             known = fields.setdefault(field.name, StructField(field.name, field.dataType))
             if known.dataType != field.dataType:
@@ -139,91 +140,23 @@ def read_latest_batch(spark: SparkSession, location: str) -> DataFrame:
 def _complete_batches(spark: SparkSession, location: str) -> list[str]:
     """The folders of all complete micro-batches, in the order of their completion."""
     found = []
-    for name in child_folders(spark, location):
-        if name.startswith(f"{_BATCH}="):
-            moment = modified(spark, f"{location}/{name}/{_SUCCESS}")
-            if moment is not None:
-                number = int(name.rsplit("-", 1)[-1].rsplit("=", 1)[-1])
-                found.append((moment, number, f"{location}/{name}"))
+    for mark, moment in matches_with_time(spark, f"{location}/{_BATCH}=*/{_SUCCESS}"):
+        name = mark.rsplit("/", 2)[1]
+        found.append((moment, int(name.rsplit("-", 1)[-1].rsplit("=", 1)[-1]), f"{location}/{name}"))
     return [folder for _, _, folder in sorted(found)]
 
 
-# --- Versioned tables ---------------------------------------------------------------------------
+# --- Replaced tables ----------------------------------------------------------------------------
 
 
-def latest_version(spark: SparkSession, location: str, before: int | None = None) -> int | None:
-    """The newest complete version, or the newest one older than `before`."""
+def latest_version(spark: SparkSession, location: str) -> int | None:
+    """The newest complete version."""
     for number in reversed(_versions(spark, location)):
-        if (before is None or number < before) and exists(spark, f"{location}/{_VERSION}={number}/{_SUCCESS}"):
+        if exists(spark, f"{location}/{_VERSION}={number}/{_SUCCESS}"):
             return number
     return None
 
 
-def _has_merged(spark: SparkSession, location: str, origin: Origin) -> bool:
-    """Whether a complete version holds this batch already.
-
-    The batches of a stream come in order, so the newest version of the same stream decides.
-    """
-    for number in reversed(_versions(spark, location)):
-        folder = f"{location}/{_VERSION}={number}"
-        names = matches(spark, f"{folder}/{_BY}.{origin.stream}.*")
-        if names and exists(spark, f"{folder}/{_SUCCESS}"):
-            return max(int(name.rsplit(".", 1)[1]) for name in names) >= origin.batch
-    return False
-
-
-def _mark(spark: SparkSession, folder: str, origin: Origin) -> None:
-    """Leave a batch's mark in a complete version, in place of the same stream's earlier ones."""
-    name = f"{_BY}.{origin.stream}.{origin.batch}"
-    earlier = [found for found in matches(spark, f"{folder}/{_BY}.{origin.stream}.*") if found != name]
-    touch(spark, f"{folder}/{name}")
-    for found in earlier:
-        delete_folder(spark, f"{folder}/{found}")
-
-
-def _next_version(spark: SparkSession, location: str, at: int | Origin) -> tuple[int | None, int]:
-    """(the version to build on, the version to write)."""
-    if isinstance(at, int):
-        return latest_version(spark, location, before=at), at
-    base = latest_version(spark, location)
-    return base, 0 if base is None else base + 1
-
-
-def _write_version(frame: DataFrame, location: str, version: int, partitions: list[str], at: int | Origin) -> None:
-    """Write a version that builds on the one before, and complete it."""
-    target = f"{location}/{_VERSION}={version}"
-    if isinstance(at, int):
-        _write(frame, target, partitions)
-        return
-    spark = frame.sparkSession
-    # Written under a name readers skip, as another stream may be writing the same version.
-    draft = f"{location}/_draft.{at}"
-    _write(frame, draft, partitions, **_NO_MARKER)
-    if exists(spark, f"{target}/{_SUCCESS}"):
-        delete_folder(spark, draft)
-        raise RuntimeError(f"another stream has merged into {location} meanwhile; try again")
-    delete_folder(spark, target)
-    if not rename(spark, draft, target):
-        raise RuntimeError(f"could not put {target} in place; try again")
-    touch(spark, f"{target}/{_BY}.{at.stream}.{at.batch}")
-    touch(spark, f"{target}/{_SUCCESS}")
-
-
-def _drop_expired(spark: SparkSession, location: str, keep: int | None, part: str = "") -> None:
-    """Delete versions, or one part of them, beyond the newest `keep`.
-
-    The last two always stay, as a retry starts from the one before. Versions are visited from new
-    to old up to the first that is gone already, so the work does not grow with their number.
-    """
-    if keep is None:
-        return
-    for number in reversed(_versions(spark, location)[: -max(keep, 2)]):
-        folder = f"{location}/{_VERSION}={number}{part}"
-        if not exists(spark, folder):
-            return
-        delete_folder(spark, folder)
-
-
 def replace_table(
     frame: DataFrame, location: str, version: int, partitions: list[str] | None = None
 ) -> None:
@@ -246,114 +179,177 @@ def read_version(spark: SparkSession, location: str, version: int) -> DataFrame:
     return spark.read.parquet(f"{location}/{_VERSION}={version}")
 
 
-def extend_distinct(frame: DataFrame, location: str, version: int | Origin, keep: int | None = None) -> None:
-    """Write the distinct rows of the table so far and of `frame` as a new version.
+# --- Tables of distinct rows --------------------------------------------------------------------
 
-    A stream's batch without a new row only leaves its mark. Rows with a NULL count as new then.
+
+def extend_distinct(frame: DataFrame, location: str, batch_id: int | Origin) -> None:
+    """Add the rows of `frame` that no other batch of the table holds, as a batch; known rows write nothing.
+
+    NULLs are equal here. The table only grows: what is there is looked up, not written again.
     """
     spark = frame.sparkSession
-    if isinstance(version, Origin) and _has_merged(spark, location, version):
-        return
-    base, number = _next_version(spark, location, version)
-    if base is not None:
-        present = read_version(spark, location, base)
-        if isinstance(version, Origin) and frame.join(present, frame.columns, "left_anti").isEmpty():
-            _mark(spark, f"{location}/{_VERSION}={base}", version)
+    fresh = frame.distinct()
+    earlier = [folder for folder in _complete_batches(spark, location) if not folder.endswith(f"/{_BATCH}={batch_id}")]
+    if earlier:
+        present = _read_batches(spark, location, earlier, None).alias("present")
+        same = [F.col(f"fresh.{name}").eqNullSafe(F.col(f"present.{name}")) for name in frame.columns]
+        fresh = fresh.alias("fresh").join(present, reduce(lambda left, right: left & right, same), "left_anti")
+        if fresh.isEmpty():
             return
-        frame = present.unionByName(frame).distinct()
-    _write_version(frame, location, number, [], version)
-    _drop_expired(spark, location, keep)
+    append_batch(fresh, location, batch_id)
 
 
 # --- Dimensions ---------------------------------------------------------------------------------
 
+# Parts of a dimension; it must stay the same while a table lives. Choose more for a very large one.
+BUCKETS = 32
+
+
+def _bucketed(rows: DataFrame, spec: DimSpec, buckets: int) -> DataFrame:
+    """The rows with the bucket their key lies in."""
+    return rows.withColumn(_BUCKET, F.pmod(F.xxhash64(*spec.keys), F.lit(buckets)).cast("int"))
+
 
-def _open_rows(spark: SparkSession, location: str, version: int) -> DataFrame:
-    return spark.read.parquet(f"{location}/{_VERSION}={version}/{_STATE}={_OPEN}")
+def _overwrite(rows: DataFrame, location: str, partitions: list[str]) -> None:
+    """Replace the partitions that the rows lie in, and no other."""
+    writer = spread_for_write(rows, partitions).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*partitions).parquet(location)
+
+
+def _write_closed(rows: DataFrame, location: str, label: object) -> None:
+    _overwrite(rows.withColumn(_MERGED_BY, F.lit(str(label))), f"{location}/{_CLOSED}", [_BUCKET, _MERGED_BY])
 
 
 def _legacy_rows(spark: SparkSession, location: str, spec: DimSpec) -> DataFrame | None:
-    """A table that lies in plain files where the dimension is to be, as from before it was versioned."""
+    """A table that lies in plain files where the dimension is to be, as from before it kept history."""
     if any_match(spark, f"{location}/*.parquet"):
-        # Only the files of the table itself; a version beside them is no part of it.
+        # Only the files of the table itself; a bucket beside them is no part of it.
         return backfill(spark.read.parquet(f"{location}/*.parquet"), spec.keys)
     return None
 
 
+def _load(rows: DataFrame, location: str, spec: DimSpec, label: object, buckets: int, with_closed: bool) -> None:
+    """The first load: closed rows, if a table from before had any, and then the open ones."""
+    _note_schema(rows, location)
+    rows = _bucketed(rows, spec, buckets)
+    if with_closed:
+        _write_closed(rows.filter("NOT IsCurrent"), location, label)
+    _overwrite(rows.filter("IsCurrent"), f"{location}/{_OPEN}", [_BUCKET])
+
+
+def _rows_of(spark: SparkSession, folder: str, schema: StructType, partitions: str) -> DataFrame:
+    columns = StructType([*schema.fields, *StructType.fromDDL(partitions).fields])
+    return spark.read.schema(columns).parquet(folder)
+
+
+def _has_merged(spark: SparkSession, location: str, origin: Origin) -> bool:
+    """Whether the stream's batch is in the dimension already; the batches of a stream come in order."""
+    mark = f"{location}/{_MERGED}/{origin.stream}"
+    return exists(spark, mark) and int(read_text(spark, mark)) >= origin.batch
+
+
 def merge_dimension(
-    incoming: DataFrame, location: str, spec: DimSpec, as_of: str, version: int | Origin, keep: int | None = None
+    incoming: DataFrame, location: str, spec: DimSpec, as_of: str, label: int | Origin, buckets: int = BUCKETS
 ) -> None:
-    """Merge a snapshot into a stored dimension and write the outcome as a new version.
+    """Merge a snapshot into a stored dimension, once for each batch of a stream.
 
-    With a number, the merge starts from the newest version before it, so a repeated one starts from
-    the same rows as its first try. With an origin, it starts from the newest version of all, and does
-    nothing if that batch was merged before. A snapshot without a new or changed row writes nothing: the
-    newest version keeps the batch's mark. A table found in plain files is taken up as the first version.
-    `keep` drops the open rows of all but that many versions.
+    See `merge_snapshot`. A stream's batch that was merged before does nothing, also if another stream has
+    changed its rows since: the number of a stream's last batch is kept beside the table.
     """
     spark = incoming.sparkSession
-    if isinstance(version, Origin) and _has_merged(spark, location, version):
+    if isinstance(label, Origin) and _has_merged(spark, location, label):
         return
-    base, number = _next_version(spark, location, version)
+    merge_snapshot(incoming, location, spec, as_of, label, buckets)
+    if isinstance(label, Origin):
+        write_text(spark, f"{location}/{_MERGED}/{label.stream}", str(label.batch))
+
+
+def merge_snapshot(
+    incoming: DataFrame, location: str, spec: DimSpec, as_of: str, label: int | Origin, buckets: int = BUCKETS
+) -> None:
+    """Merge a snapshot into a stored dimension.
+
+    Open rows are read from the buckets in which the snapshot has keys, and the rows that changed are put beside
+    the table first. From them, what is closed is written under the batch's label, and then the buckets in which
+    a row changed are written with their new open rows. A merge tried again finds what its first try
+    finished unchanged, and replaces the closed rows of what it did not. A snapshot without a new or changed row
+    writes nothing. A table found in plain files is taken up. Batches of one dimension come one after the other;
+    a lakehouse format, where there is one, closes the gap in which a bucket is moved into place.
+    """
+    spark = incoming.sparkSession
     snapshot = unique_keys(incoming, spec.keys)
-    if base is not None:
-        open_rows = _open_rows(spark, location, base)
-        if isinstance(version, Origin) and not has_news(open_rows, snapshot, spec):
-            _mark(spark, f"{location}/{_VERSION}={base}", version)
-            return
-        merged = merge_open(open_rows, snapshot, spec, as_of)
-    else:
-        merged = scd2_merge(_legacy_rows(spark, location, spec), snapshot, spec, as_of)
-    state = F.when(F.col("IsCurrent"), _OPEN).otherwise(_CLOSED)
-    _write_version(merged.withColumn(_STATE, state), location, number, [_STATE], version)
-    _drop_expired(spark, location, keep, f"/{_STATE}={_OPEN}")
+    if not exists(spark, f"{location}/{_OPEN}"):
+        legacy = _legacy_rows(spark, location, spec)
+        _load(scd2_merge(legacy, snapshot, spec, as_of), location, spec, label, buckets, legacy is not None)
+        return
+    snapshot = _bucketed(snapshot, spec, buckets)
+    known = _noted_schema(spark, location)
+    # At most as many numbers as there are buckets.
+    touched = [row[0] for row in snapshot.select(_BUCKET).distinct().collect()]
+    open_rows = _rows_of(spark, f"{location}/{_OPEN}", known, f"{_BUCKET} int").filter(F.col(_BUCKET).isin(touched))
+    changes = changed_rows(open_rows.drop(_BUCKET), snapshot.drop(_BUCKET), spec, as_of)
+    found = f"{location}/_changes"
+    changes.write.mode("overwrite").parquet(found)
+    changes = spark.read.schema(changes.schema).parquet(found)
+    opened = _bucketed(changes.select("opened.*"), spec, buckets)
+    closing = F.count_if(F.col("closed").isNotNull())
+    written = changes.select(F.col("closed"), F.struct(*[F.col(f"opened.{key}") for key in spec.keys]).alias("key"))
+    per_bucket = _bucketed(written.select("closed", "key.*"), spec, buckets).groupBy(_BUCKET).agg(closing.alias("closing")).collect()
+    if not per_bucket:
+        return
+    _note_schema(opened.drop(_BUCKET), location)
+    if any(row.closing for row in per_bucket):
+        closed = changes.filter(F.col("closed").isNotNull()).select("closed.*")
+        _write_closed(_bucketed(closed, spec, buckets), location, label)
+    same_key = [F.col(f"kept.{key}").eqNullSafe(F.col(f"opened.{key}")) for key in spec.keys]
+    kept = open_rows.filter(F.col(_BUCKET).isin([row[_BUCKET] for row in per_bucket])).alias("kept")
+    kept = kept.join(opened.alias("opened"), reduce(lambda left, right: left & right, same_key), "left_anti")
+    _overwrite(kept.unionByName(opened, allowMissingColumns=True), f"{location}/{_OPEN}", [_BUCKET])
 
 
-def adopt_dimension(legacy: DataFrame, location: str, spec: DimSpec, version: int = 0) -> None:
-    """Store a table from before history was kept as the first version of a dimension."""
-    state = F.when(F.col("IsCurrent"), _OPEN).otherwise(_CLOSED)
-    backfill(legacy, spec.keys).withColumn(_STATE, state).write.mode("overwrite").partitionBy(_STATE).parquet(
-        f"{location}/{_VERSION}={version}"
-    )
+def adopt_dimension(legacy: DataFrame, location: str, spec: DimSpec, buckets: int = BUCKETS) -> None:
+    """Store a table from before history was kept as a dimension."""
+    _load(backfill(legacy, spec.keys), location, spec, "legacy", buckets, True)
 
 
 def read_dimension(spark: SparkSession, location: str) -> DataFrame:
-    """All rows of a dimension: those open in the newest version, and all closed ones."""
-    newest = latest_version(spark, location)
-    if newest is None:
-        raise FileNotFoundError(f"no complete version in {location}")
-    folders = [f"{location}/{_VERSION}={newest}/{_STATE}={_OPEN}"]
-    closed = f"{location}/{_VERSION}=*/{_STATE}={_CLOSED}"
-    if any_match(spark, closed):
-        folders.append(closed)
-    stored = spark.read.option("basePath", location).option("mergeSchema", True).parquet(*folders)
-    # A version still being written may have closed rows already.
-    return stored.filter(F.col(_VERSION) <= newest).drop(_VERSION, _STATE)
+    """All rows of a dimension, the open ones and the closed ones; no file is opened to learn the columns."""
+    schema = _noted_schema(spark, location)
+    if schema is None or not exists(spark, f"{location}/{_OPEN}"):
+        raise FileNotFoundError(f"no dimension in {location}")
+    rows = _rows_of(spark, f"{location}/{_OPEN}", schema, f"{_BUCKET} int").select(*schema.names)
+    if exists(spark, f"{location}/{_CLOSED}"):
+        closed = _rows_of(spark, f"{location}/{_CLOSED}", schema, f"{_BUCKET} int, {_MERGED_BY} string")
+        rows = rows.unionByName(closed.select(*schema.names))
+    return rows
 
 
 # --- Any table ----------------------------------------------------------------------------------
 
 
+def _read_batches(spark: SparkSession, location: str, folders: list[str], schema: StructType | None) -> DataFrame:
+    reader = spark.read.option("basePath", location)
+    schema = schema or _noted_schema(spark, location)
+    if schema is not None:
+        return reader.schema(schema).parquet(*folders).select(*schema.names)
+    return reader.option("mergeSchema", True).parquet(*folders).drop(_BATCH)
+
+
 def read_table(spark: SparkSession, location: str, schema: StructType | None = None) -> DataFrame:
     """The current content of a table of any layout, without its bookkeeping columns; complete batches only.
 
     The columns of a batch table are the union over its batches, kept beside the table when they were
     written, so no file is opened to find them; a `schema` given takes their place.
     """
-    newest = latest_version(spark, location)
-    if newest is not None:
-        states = child_folders(spark, f"{location}/{_VERSION}={newest}")
-        if any(name.startswith(f"{_STATE}=") for name in states):
-            return read_dimension(spark, location)
+    names = child_folders(spark, location)
+    if _OPEN in names:
+        return read_dimension(spark, location)
+    if any(name.startswith(f"{_VERSION}=") for name in names) and (newest := latest_version(spark, location)) is not None:
         return read_version(spark, location, newest)
     complete = _complete_batches(spark, location)
     if not complete:
         raise FileNotFoundError(f"no table in {location}")
-    reader = spark.read.option("basePath", location)
-    schema = schema or _noted_schema(spark, location)
-    if schema is not None:
-        return reader.schema(schema).parquet(*complete).select(*schema.names)
-    return reader.option("mergeSchema", True).parquet(*complete).drop(_BATCH)
+    return _read_batches(spark, location, complete, schema)
 
 
 def layer_path(lake: str, layer: str, topic: str, table: str | None = None) -> str:

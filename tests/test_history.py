@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 import random
 
 import pytest
@@ -148,18 +149,66 @@ def test_stored_dimension_equals_the_pure_merge(spark, stored):
     check_invariants(tables.read_table(spark, stored))
 
 
-def test_a_repeated_batch_starts_from_the_version_before_it(spark, stored):
+def test_a_repeated_batch_changes_nothing(spark, stored):
+    before = versions(tables.read_dimension(spark, stored))
     tables.merge_dimension(snapshot(spark, *SECOND), stored, SPEC, T3, 1)
-    found = versions(tables.read_dimension(spark, stored))
-    assert found["edit"] == [("x", 1, 1, 3, False), ("y", 1, 3, None, True)]
+    assert versions(tables.read_dimension(spark, stored)) == before
+
+
+def files_of(location):
+    """Bucket -> names of its files; a bucket written again has others."""
+    return {
+        folder: sorted(name for name in os.listdir(f"{location}/{folder}") if name.startswith("part-"))
+        for folder in os.listdir(location)
+        if folder.startswith("bucket=")
+    }
+
+
+def test_a_merge_writes_the_buckets_in_which_a_row_changed(spark, folder):
+    rows = spark.range(20_000).select(F.concat(F.lit("k"), "id").alias("k"), F.lit("x").alias("a"), F.lit(1).alias("b"))
+    tables.merge_dimension(rows, folder, SPEC, T1, 0)
+    before = files_of(f"{folder}/open")
+    assert len(before) == tables.BUCKETS
+    changed = rows.withColumn("a", F.when(F.col("k") == "k77", "y").otherwise(F.col("a")))
+    tables.merge_dimension(changed, folder, SPEC, T2, 1)
+    after = files_of(f"{folder}/open")
+    assert [bucket for bucket in before if before[bucket] != after[bucket]] == list(files_of(f"{folder}/closed"))
+    assert len(files_of(f"{folder}/closed")) == 1
+    found = tables.read_dimension(spark, folder)
+    assert found.count() == 20_001
+    assert versions(found.filter("k = 'k77'")) == {"k77": [("x", 1, 1, 2, False), ("y", 1, 2, None, True)]}
+    # One new key reads and writes its own bucket.
+    tables.merge_dimension(snapshot(spark, ("new", "x", 1)), folder, SPEC, T3, 2)
+    assert sum(files_of(f"{folder}/open")[bucket] != after[bucket] for bucket in after) == 1
+    assert tables.read_dimension(spark, folder).filter("IsCurrent").count() == 20_001
+    check_invariants(tables.read_dimension(spark, folder))
+
+
+def test_a_merge_that_failed_between_its_writes_is_finished_by_the_next_try(spark, stored, monkeypatch):
+    third = [("edit", "v", 2), ("same", "s", 3), ("late", "x", 1)]
+
+    def fail(rows, location, partitions):
+        if location.endswith("/open"):
+            raise RuntimeError("lost")
+        write(rows, location, partitions)
+
+    write = tables._overwrite
+    with monkeypatch.context() as patched:
+        patched.setattr(tables, "_overwrite", fail)
+        with pytest.raises(RuntimeError, match="lost"):
+            tables.merge_dimension(snapshot(spark, *third), stored, SPEC, T3, 2)
+    tables.merge_dimension(snapshot(spark, *third), stored, SPEC, "2024-04-01 00:00:00", 2)
+    expected = merge(spark, merge(spark, merge(spark, None, FIRST, T1), SECOND, T2), third, "2024-04-01 00:00:00")
+    assert versions(tables.read_dimension(spark, stored)) == versions(expected)
     check_invariants(tables.read_dimension(spark, stored))
 
 
-def test_old_open_rows_can_be_dropped(spark, stored):
-    before = versions(tables.read_dimension(spark, stored))
-    for version in (2, 3, 4):
-        tables.merge_dimension(snapshot(spark, *SECOND), stored, SPEC, T3, version, keep=2)
-    assert versions(tables.read_dimension(spark, stored)) == before
+def test_surrogate_clashes(spark):
+    frame = merge(spark, merge(spark, None, FIRST, T1), SECOND, T2)
+    assert scd.surrogate_clashes(frame, SPEC).count() == 0
+    assert scd.surrogate_clashes(frame.unionByName(frame), SPEC).count() == 0  # the same row twice is no clash
+    met = frame.withColumn("SurrogateKey", F.when(F.col("k").isin("same", "new") | F.col("k").isNull(), 7).otherwise(F.col("SurrogateKey")))
+    assert {(row.SurrogateKey, row.k) for row in scd.surrogate_clashes(met, SPEC).collect()} == {(7, "same"), (7, "new"), (7, None)}
 
 
 def test_a_legacy_dimension_can_be_adopted(spark, folder):

@@ -41,11 +41,49 @@ def test_texts_are_parsed_once(spark, folder):
     requests = spark.createDataFrame([("1", "/comments", "{}")], "request_id string, endpoint string, body string")
     requests.write.parquet(f"{folder}/requests")
     stored = spark.read.parquet(f"{folder}/requests")
-    for frame in (val.request_disposition(stored), val.validation_errors(stored), val.accepted_messages(stored)):
-        assert plan(frame).lower().count("parsejson") == 1
+    outputs = (val.request_disposition, val.validation_errors, val.accepted_messages, val.checked_requests)
+    for frame in (output(stored) for output in outputs):
+        # Lists are read by one of the two, all other bodies by the other.
+        steps = [line for line in plan(frame).splitlines() if "FileScan" not in line]
+        assert sum(line.lower().count("parsejson") for line in steps) == 1
+        assert sum(line.count("from_json(") for line in steps) == 1
         assert "Exchange" not in plan(frame)
 
 
+def test_a_batch_of_requests_is_checked_once(spark, folder, monkeypatch):
+    """All outputs of the ingest stream come from one checked pass over its source."""
+    from demandlake.streaming import ingest as stream
+
+    calls = []
+    check = val.check_requests
+    monkeypatch.setattr(val, "check_requests", lambda requests: calls.append(1) or check(requests))
+    requests = spark.createDataFrame([("1", "/comments", "{}")], "request_id string, endpoint string, body string")
+    stream.ingest_batch(requests, 0, f"{folder}/landing", f"{folder}/reports")
+    assert calls == [1]
+
+
+def test_a_micro_batch_is_read_once(spark, folder):
+    """The source is scanned in one pass, however many topics it holds; topics read their own folders."""
+    from demandlake.streaming import medallion
+
+    rows = [(COMMENTS_TOPIC, "{}"), (DEMAND_TOPIC, "{}"), ("else", "x"), (None, "y")]
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(value, topic):
+        reads.add(1)
+        return value
+
+    source = spark.createDataFrame(rows, "topic string, value string")
+    source = source.withColumn("value", F.udf(counted, "string")("value", "topic"))
+    staged = medallion.stage_by_topic(msg.decode_messages(source), f"{folder}/staged")
+    assert set(staged) == {"comments", "demand", None}
+    for folder_name, frame in staged.items():
+        frame.collect()
+        assert all(f"/folder={folder_name or '__HIVE_DEFAULT_PARTITION__'}/" in file for file in frame.inputFiles())
+    assert reads.value == len(rows)
+    assert sorted(map(tuple, staged[None].select("topic", "value").collect()), key=str) == [("else", "x"), (None, "y")]
+
+
 def test_messages_are_parsed_once_and_without_a_shuffle(spark, folder):
     spark.createDataFrame([(COMMENTS_TOPIC, "{}")], "topic string, value string").write.parquet(f"{folder}/m")
     stored = spark.read.parquet(f"{folder}/m")

@@ -36,6 +36,12 @@ def gold_table(spark, folder, topic, name):
     return tables.read_table(spark, tables.layer_path(f"{folder}/lake", "gold", topic, name))
 
 
+def as_json(document):
+    import json
+
+    return json.dumps(document)
+
+
 def as_text(frame):
     return sorted(map(str, frame.collect()))
 
@@ -143,7 +149,7 @@ def test_forwarder_writes_chunks(spark, folder):
     import json
 
     land(spark, folder, COMMENTS_TOPIC, *[comment(author=str(i)) for i in range(250)], "{broken")
-    source = topics.topic_stream(spark, f"{folder}/landing")
+    source = topics.topic_stream(spark, f"{folder}/landing", positions=True)
     targets = {COMMENTS_TOPIC: "somewhere"}
     start_forwarder(source, f"{folder}/outbox", f"{folder}/checkpoint", ["f"], "t", targets).awaitTermination()
     chunks = tables.read_table(spark, f"{folder}/outbox").orderBy("chunk_no").collect()
@@ -156,6 +162,23 @@ def test_forwarder_writes_chunks(spark, folder):
     assert authors == [str(i) for i in range(250)]
 
 
+def test_an_outbox_batch_read_again_on_other_partitions_gives_the_same_chunks(spark, folder):
+    from demandlake.streaming.forwarder import outbox_batch
+
+    rows = [
+        (DEMAND_TOPIC if i % 50 == 7 else COMMENTS_TOPIC, None if i == 3 else as_json(comment(author=str(i))), (f"f{i % 3}", i))
+        for i in range(330)
+    ]
+    batch = spark.createDataFrame(rows, "topic string, value string, position struct<source: string, offset: bigint>")
+    found = []
+    for parts in (1, 7):
+        outbox_batch(batch.repartition(parts), 0, f"{folder}/outbox", ["f"], "t", {COMMENTS_TOPIC: "x"})
+        found.append((as_text(tables.read_table(spark, f"{folder}/outbox")), as_text(tables.read_table(spark, f"{folder}/outbox-quarantine"))))
+    assert found[0] == found[1] and len(found[0][0]) == 4 and len(found[0][1]) == 8
+    with pytest.raises(ValueError, match="position"):
+        outbox_batch(batch.drop("position"), 1, f"{folder}/outbox", ["f"], "t", {COMMENTS_TOPIC: "x"})
+
+
 def test_forwarder_needs_a_target(spark, folder):
     with pytest.raises(ValueError, match="target"):
         start_forwarder(None, f"{folder}/outbox", f"{folder}/checkpoint", ["f"], "t", {})
@@ -201,7 +224,7 @@ def test_forwarder_puts_aside_what_it_cannot_deliver(spark, folder):
     land(spark, folder, COMMENTS_TOPIC, comment(), "{broken")
     land(spark, folder, DEMAND_TOPIC, FIRST)
     land(spark, folder, "else", "{}")
-    source = topics.topic_stream(spark, f"{folder}/landing")
+    source = topics.topic_stream(spark, f"{folder}/landing", positions=True)
     start_forwarder(source, f"{folder}/outbox", f"{folder}/checkpoint", ["f"], "t", {COMMENTS_TOPIC: "x"}).awaitTermination()
     aside = tables.read_table(spark, quarantine_path(f"{folder}/outbox")).collect()
     assert sorted((row.topic, row.reason) for row in aside) == [
@@ -211,13 +234,24 @@ def test_forwarder_puts_aside_what_it_cannot_deliver(spark, folder):
     ]
 
 
-def test_an_unchanged_snapshot_writes_no_version(spark, folder):
+def written(location):
+    """The files of a table by name: one written again has another."""
+    import os
+
+    return sorted(name for _, _, names in os.walk(location) for name in names if name.startswith("part-"))
+
+
+def test_an_unchanged_snapshot_writes_nothing(spark, folder):
+    gold_folder = tables.layer_path(f"{folder}/lake", "gold", DEMAND_TOPIC)
+    before = None
     for _ in range(3):
         land(spark, folder, DEMAND_TOPIC, FIRST)
         run(spark, folder)
-    gold_folder = tables.layer_path(f"{folder}/lake", "gold", DEMAND_TOPIC)
-    for name in ("DimMaterial", "DimCustomer", "DimTime"):
-        assert child_folders(spark, f"{gold_folder}/{name}") == ["version=0"]
+        before = before or {name: written(f"{gold_folder}/{name}/open") for name in ("DimMaterial", "DimCustomer")}
+    for name in ("DimMaterial", "DimCustomer"):
+        assert "closed" not in child_folders(spark, f"{gold_folder}/{name}")
+        assert written(f"{gold_folder}/{name}/open") == before[name]
+    assert len([name for name in child_folders(spark, f"{gold_folder}/DimTime") if name.startswith("batch_id=")]) == 1
     assert gold_table(spark, folder, DEMAND_TOPIC, "FactMaterialDemand").count() == 9
 
 
