@@ -24,10 +24,14 @@ LEGACY_START = "1900-01-01 00:00:00"
 
 @dataclass(frozen=True)
 class DimSpec:
-    """Business key and tracked attributes; ``compare=None`` tracks every other column."""
+    """Business key and tracked attributes; ``compare=None`` tracks every other column.
+
+    `buckets` is the number of parts a stored dimension lies in. It must stay the same while a table lives.
+    """
 
     keys: tuple[str, ...]
     compare: tuple[str, ...] | None = None
+    buckets: int = 32
 
     def tracked(self, columns: list[str]) -> list[str]:
         if self.compare is not None:
@@ -40,9 +44,9 @@ DIM_SPECS: dict[str, DimSpec] = {
         keys=("MaterialNumberCustomer", "MaterialNumberSupplier"),
         compare=("MaterialDescription", "MaterialGlobalAssetId", "UnitOfMeasure", "UnitOfMeasureIsOmitted"),
     ),
-    "DimCustomer": DimSpec(keys=("CustomerBPNL",), compare=()),
-    "DimSupplier": DimSpec(keys=("SupplierBPNL",), compare=()),
-    "DimDemandCategory": DimSpec(keys=("DemandCategoryCode",), compare=()),
+    "DimCustomer": DimSpec(keys=("CustomerBPNL",), compare=(), buckets=8),
+    "DimSupplier": DimSpec(keys=("SupplierBPNL",), compare=(), buckets=8),
+    "DimDemandCategory": DimSpec(keys=("DemandCategoryCode",), compare=(), buckets=1),
 }
 
 

@@ -201,13 +201,10 @@ def extend_distinct(frame: DataFrame, location: str, batch_id: int | Origin) ->
 
 # --- Dimensions ---------------------------------------------------------------------------------
 
-# Parts of a dimension; it must stay the same while a table lives. Choose more for a very large one.
-BUCKETS = 32
 
-
-def _bucketed(rows: DataFrame, spec: DimSpec, buckets: int) -> DataFrame:
+def _bucketed(rows: DataFrame, spec: DimSpec) -> DataFrame:
     """The rows with the bucket their key lies in."""
-    return rows.withColumn(_BUCKET, F.pmod(F.xxhash64(*spec.keys), F.lit(buckets)).cast("int"))
+    return rows.withColumn(_BUCKET, F.pmod(F.xxhash64(*spec.keys), F.lit(spec.buckets)).cast("int"))
 
 
 def _overwrite(rows: DataFrame, location: str, partitions: list[str]) -> None:
@@ -228,10 +225,10 @@ def _legacy_rows(spark: SparkSession, location: str, spec: DimSpec) -> DataFrame
     return None
 
 
-def _load(rows: DataFrame, location: str, spec: DimSpec, label: object, buckets: int, with_closed: bool) -> None:
+def _load(rows: DataFrame, location: str, spec: DimSpec, label: object, with_closed: bool) -> None:
     """The first load: closed rows, if a table from before had any, and then the open ones."""
     _note_schema(rows, location)
-    rows = _bucketed(rows, spec, buckets)
+    rows = _bucketed(rows, spec)
     if with_closed:
         _write_closed(rows.filter("NOT IsCurrent"), location, label)
     _overwrite(rows.filter("IsCurrent"), f"{location}/{_OPEN}", [_BUCKET])
@@ -249,7 +246,7 @@ def _has_merged(spark: SparkSession, location: str, origin: Origin) -> bool:
 
 
 def merge_dimension(
-    incoming: DataFrame, location: str, spec: DimSpec, as_of: str, label: int | Origin, buckets: int = BUCKETS
+    incoming: DataFrame, location: str, spec: DimSpec, as_of: str, label: int | Origin
 ) -> None:
     """Merge a snapshot into a stored dimension, once for each batch of a stream.
 
@@ -259,13 +256,13 @@ def merge_dimension(
     spark = incoming.sparkSession
     if isinstance(label, Origin) and _has_merged(spark, location, label):
         return
-    merge_snapshot(incoming, location, spec, as_of, label, buckets)
+    merge_snapshot(incoming, location, spec, as_of, label)
     if isinstance(label, Origin):
         write_text(spark, f"{location}/{_MERGED}/{label.stream}", str(label.batch))
 
 
 def merge_snapshot(
-    incoming: DataFrame, location: str, spec: DimSpec, as_of: str, label: int | Origin, buckets: int = BUCKETS
+    incoming: DataFrame, location: str, spec: DimSpec, as_of: str, label: int | Origin
 ) -> None:
     """Merge a snapshot into a stored dimension.
 
@@ -280,9 +277,9 @@ def merge_snapshot(
     snapshot = unique_keys(incoming, spec.keys)
     if not exists(spark, f"{location}/{_OPEN}"):
         legacy = _legacy_rows(spark, location, spec)
-        _load(scd2_merge(legacy, snapshot, spec, as_of), location, spec, label, buckets, legacy is not None)
+        _load(scd2_merge(legacy, snapshot, spec, as_of), location, spec, label, legacy is not None)
         return
-    snapshot = _bucketed(snapshot, spec, buckets)
+    snapshot = _bucketed(snapshot, spec)
     known = _noted_schema(spark, location)
     # At most as many numbers as there are buckets.
     touched = [row[0] for row in snapshot.select(_BUCKET).distinct().collect()]
@@ -291,25 +288,25 @@ def merge_snapshot(
     found = f"{location}/_changes"
     changes.write.mode("overwrite").parquet(found)
     changes = spark.read.schema(changes.schema).parquet(found)
-    opened = _bucketed(changes.select("opened.*"), spec, buckets)
+    opened = _bucketed(changes.select("opened.*"), spec)
     closing = F.count_if(F.col("closed").isNotNull())
     written = changes.select(F.col("closed"), F.struct(*[F.col(f"opened.{key}") for key in spec.keys]).alias("key"))
-    per_bucket = _bucketed(written.select("closed", "key.*"), spec, buckets).groupBy(_BUCKET).agg(closing.alias("closing")).collect()
+    per_bucket = _bucketed(written.select("closed", "key.*"), spec).groupBy(_BUCKET).agg(closing.alias("closing")).collect()
     if not per_bucket:
         return
     _note_schema(opened.drop(_BUCKET), location)
     if any(row.closing for row in per_bucket):
         closed = changes.filter(F.col("closed").isNotNull()).select("closed.*")
-        _write_closed(_bucketed(closed, spec, buckets), location, label)
+        _write_closed(_bucketed(closed, spec), location, label)
     same_key = [F.col(f"kept.{key}").eqNullSafe(F.col(f"opened.{key}")) for key in spec.keys]
     kept = open_rows.filter(F.col(_BUCKET).isin([row[_BUCKET] for row in per_bucket])).alias("kept")
     kept = kept.join(opened.alias("opened"), reduce(lambda left, right: left & right, same_key), "left_anti")
     _overwrite(kept.unionByName(opened, allowMissingColumns=True), f"{location}/{_OPEN}", [_BUCKET])
 
 
-def adopt_dimension(legacy: DataFrame, location: str, spec: DimSpec, buckets: int = BUCKETS) -> None:
+def adopt_dimension(legacy: DataFrame, location: str, spec: DimSpec) -> None:
     """Store a table from before history was kept as a dimension."""
-    _load(backfill(legacy, spec.keys), location, spec, "legacy", buckets, True)
+    _load(backfill(legacy, spec.keys), location, spec, "legacy", True)
 
 
 def read_dimension(spark: SparkSession, location: str) -> DataFrame:

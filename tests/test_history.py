@@ -168,7 +168,7 @@ def test_a_merge_writes_the_buckets_in_which_a_row_changed(spark, folder):
     rows = spark.range(20_000).select(F.concat(F.lit("k"), "id").alias("k"), F.lit("x").alias("a"), F.lit(1).alias("b"))
     tables.merge_dimension(rows, folder, SPEC, T1, 0)
     before = files_of(f"{folder}/open")
-    assert len(before) == tables.BUCKETS
+    assert len(before) == SPEC.buckets
     changed = rows.withColumn("a", F.when(F.col("k") == "k77", "y").otherwise(F.col("a")))
     tables.merge_dimension(changed, folder, SPEC, T2, 1)
     after = files_of(f"{folder}/open")
