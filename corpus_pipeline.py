@@ -2,7 +2,7 @@
 
 Each stage takes the session, the documents its predecessor kept and the folder of the tables. All but the
 last return documents with the columns of the table; rows with NULLs or empty texts are judged like others
-and other columns are dropped. Run by itself, each stage cuts lineage as its operator does; `run` writes
+and other columns are dropped. Rows that repeat both id and text are one document from the second stage on. Run by itself, each stage cuts lineage as its operator does; `run` writes
 every stage's result to the shared folder.
 """
 
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandlake.llm import exact_dedup, mixing, near_copies, packing, quality_rules
+from demandlake.llm import exact_dedup, mixing, packing, quality_rules, simhash
 from demandlake.llm.frames import DOCUMENT_COLUMNS, read, stored
 
 
@@ -26,8 +26,8 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents of similarity 0.8 or more the one with the smallest doc_id."""
-    return near_copies.drop_near_copies(docs, DOCUMENT_COLUMNS)
+    """Of documents whose SimHash fingerprints are linked the one with the smallest doc_id."""
+    return simhash.drop_near_copies(docs, DOCUMENT_COLUMNS)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,13 +46,13 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("quality_rules", good_documents),
     ("exact_dedup", without_copies),
-    ("near_copies", without_near_copies),
+    ("simhash_near_dedup", without_near_copies),
     ("mixing", mixed),
     ("packing", packed),
 ]
 
 # Fingerprints, connected components and a public tokenizer are beyond SQL; tests compare the stages with
-# brute force.
+# brute force or, where they have a choice, with what every right outcome has in common.
 ORACLE_SQL = None
 
 
