@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from demandlake.llm.frames import picked, stored, whole_text
+from demandlake.llm.frames import kept_rows, picked, stored, whole_text
 
 
 def exact_groups(
@@ -64,14 +64,11 @@ def exact_groups(
 
 
 def drop_exact_copies(documents: DataFrame, columns: list[str]) -> DataFrame:
-    """The documents without copies: of equal texts the row with the largest doc_id, once."""
-    kept = exact_groups(documents).filter("kept").select("doc_id", "text_sha256").distinct()
-    rows = documents.select(*columns).withColumn("text_sha256", F.sha2(whole_text(F.col("text")), 256))
-    return (
-        rows.join(
-            kept.select(F.col("doc_id").alias("kept_id"), F.col("text_sha256").alias("kept_sha")),
-            F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("text_sha256") == F.col("kept_sha")),
-            "left_semi",
-        )
-        .select(*columns)
+    """The documents without copies: of equal texts the row with the largest doc_id, once.
+
+    Rows that repeat both id and text are one row; so are those of a text that has no other id than NULL.
+    """
+    kept = exact_groups(documents).filter("kept").groupBy(
+        F.col("doc_id").alias("kept_id"), F.col("text_sha256").alias("kept_key")
     )
+    return kept_rows(documents, kept.agg(F.count(F.lit(1)).alias("times")), columns)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from demandlake.session import scratch_path
@@ -41,3 +42,28 @@ def partitions(spark: SparkSession) -> int:
 def whole_text(text: Column) -> Column:
     """NULL counts as empty."""
     return F.coalesce(text, F.lit(""))
+
+
+def text_key(text: Column) -> Column:
+    """The hash by which a row's text is told from others; NULL counts as empty."""
+    return F.sha2(whole_text(text), 256)
+
+
+def kept_rows(documents: DataFrame, kept: DataFrame, columns: list[str]) -> DataFrame:
+    """The documents named in `kept` (kept_id, kept_key, times), once each.
+
+    `kept` holds a (doc_id, text_key) once, and how many rows carry it. Rows that repeat an id and a text are one
+    document, whatever their other columns say, and only such rows are gathered by key: equal ones are combined
+    before that, and of the rest the first in order of the other columns stays.
+    """
+    kept = stored(kept, "kept-documents")
+    rows = documents.select(*columns).withColumn("text_key", text_key(F.col("text")))
+    met = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("text_key") == F.col("kept_key"))
+    single = rows.join(kept.filter("times = 1"), met, "left_semi").select(*columns)
+    if kept.filter("times > 1").isEmpty():
+        return single
+    several = rows.join(kept.filter("times > 1"), met, "left_semi").distinct()
+    others = [c for c in columns if c not in ("doc_id", "text")]
+    order = W.partitionBy("doc_id", "text_key").orderBy(*(others or ["doc_id"]))
+    once = several.withColumn("row_in_order", F.row_number().over(order)).filter("row_in_order = 1")
+    return single.unionByName(once.select(*columns))

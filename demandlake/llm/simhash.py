@@ -21,7 +21,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from demandlake.llm.components import connected_components
-from demandlake.llm.frames import picked, stored
+from demandlake.llm.frames import kept_rows, picked, stored, text_key
 
 BITS = 64
 SEGMENTS = 2
@@ -57,20 +57,23 @@ def fingerprint(text: bytes, size: int = SHINGLE_WORDS, seed: int = SHINGLE_SEED
 def fingerprints(
     documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", shingle_words: int = SHINGLE_WORDS
 ) -> DataFrame:
-    """One row (doc_id, fingerprint) per document; NULL text has no words."""
-    rows = picked(documents, doc_id=id_column, text=text_column)
+    """One row (doc_id, fingerprint, text_key) per document; NULL text has no words."""
+    rows = picked(documents, doc_id=id_column, text=text_column).withColumn("text_key", text_key(F.col("text")))
     id_type = rows.schema["doc_id"].dataType.simpleString()
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = [fingerprint((text.as_py() or "").encode(), shingle_words) for text in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.int64())], ["doc_id", "fingerprint"])
+            columns = [batch.column(0), pa.array(values, pa.int64()), batch.column(2)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "fingerprint", "text_key"])
 
-    return rows.mapInArrow(compute, f"doc_id {id_type}, fingerprint long")
+    return rows.mapInArrow(compute, f"doc_id {id_type}, fingerprint long, text_key string")
 
 
 def fingerprint_links(values: DataFrame, segments: int = SEGMENTS) -> DataFrame:
     """Links (a, b) between different fingerprints within two bits, enough to keep all components."""
+    if BITS % segments:
+        raise ValueError(f"{segments} segments do not divide {BITS} bits")
     width = BITS // segments
     value = F.col("fingerprint")
     entries = [F.array(value)]
@@ -84,6 +87,17 @@ def fingerprint_links(values: DataFrame, segments: int = SEGMENTS) -> DataFrame:
     return verified.select(F.col("fingerprint").alias("a"), "b").distinct()
 
 
+def _in_components(prints: DataFrame) -> DataFrame:
+    """The rows of `prints` with the root of their component, a fingerprint, and its smallest doc_id."""
+    values = stored(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id")), "fingerprint-values")
+    roots = connected_components(fingerprint_links(values), "simhash")
+    rooted = values.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").withColumn(
+        "root", F.coalesce("root", "fingerprint")
+    )
+    smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    return prints.join(rooted.join(smallest, "root").select("fingerprint", "root", "component_id"), "fingerprint")
+
+
 def near_duplicates(
     documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", shingle_words: int = SHINGLE_WORDS
 ) -> DataFrame:
@@ -95,11 +109,17 @@ def near_duplicates(
     their row. An empty table gives an empty result.
     """
     prints = stored(fingerprints(documents, id_column, text_column, shingle_words), "fingerprints")
-    values = stored(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id")), "fingerprint-values")
-    roots = connected_components(fingerprint_links(values), "simhash")
-    rooted = values.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").withColumn(
-        "root", F.coalesce("root", "fingerprint")
-    )
-    smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    classes = rooted.join(smallest, "root").select("fingerprint", "component_id")
-    return prints.join(classes, "fingerprint").select("doc_id", "fingerprint", "component_id")
+    return _in_components(prints).select("doc_id", "fingerprint", "component_id")
+
+
+def drop_near_copies(documents: DataFrame, columns: list[str], shingle_words: int = SHINGLE_WORDS) -> DataFrame:
+    """Of each component of near duplicates the row with the smallest doc_id, once.
+
+    A NULL id is the largest; of rows that share an id the one whose text has the smallest hash stays.
+    """
+    prints = stored(fingerprints(documents, shingle_words=shingle_words), "fingerprints")
+    rows = _in_components(prints).groupBy("root", "doc_id", "text_key").agg(F.count(F.lit(1)).alias("times"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key", "times"))
+    kept = rows.groupBy("root").agg(first.alias("kept"))
+    kept = kept.select(F.col("kept.doc_id").alias("kept_id"), F.col("kept.text_key").alias("kept_key"), "kept.times")
+    return kept_rows(documents, kept, columns)

@@ -356,12 +356,6 @@ def test_query_matches_sql(spark, name):
     assert differences(queries.QUERIES[name](spark, SF_DIR), SF_DIR, queries.ORACLES[name]) == []
 
 
-@given
-def test_pipeline_runs(spark):
-    found = corpus_pipeline.run(spark, SF_DIR)
-    assert found.count() > 0
-
-
 def test_encoder_forgets_and_stays_right(monkeypatch):
     from demandlake.llm import tokens
 
@@ -374,54 +368,6 @@ def test_encoder_forgets_and_stays_right(monkeypatch):
     assert encoder(default_path()) is encoder(default_path())
 
 
-def _shingle_set(text: str) -> set:
-    words = text.encode().lower().split()
-    return {tuple(words[i : i + 5]) for i in range(len(words) - 4)} or {tuple(words)}
-
-
-def _similarity(a: str, b: str) -> float:
-    a, b = _shingle_set(a), _shingle_set(b)
-    return len(a & b) / len(a | b)
-
-
-def _near_texts() -> list[str]:
-    """Pairs of similarity 0.8 and a little more, pairs well below it, and a large group of near copies."""
-    texts = []
-    for i in range(40):
-        for length, changes in ((200, 4), (500, 10), (200, 12)):
-            words = [f"w{i}x{length}x{changes}x{j}" for j in range(length)]
-            texts.append(" ".join(words))
-            for j in range(changes):
-                words[(2 * j + 1) * length // (2 * changes)] = f"changed{j}"
-            texts.append(" ".join(words).upper())
-    group = [f"g{j}" for j in range(300)]
-    texts += [" ".join([*group[:i], "other", *group[i + 1 :]]) for i in range(5, 295, 3)]
-    return [*texts, "", " ", "a b", "A  b", "a c"]
-
-
-def test_near_copies_of_similarity_0_8_go(spark):
-    from demandlake.llm import near_copies
-
-    texts = _near_texts()
-    rows = [(i, text) for i, text in enumerate(texts)] + [(None, texts[0].replace("x0 ", "x0  "))]
-    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
-    kept = {r.doc_id for r in near_copies.drop_near_copies(frame, ["doc_id", "text"]).collect()}
-    similar = {i: [j for j in range(i) if _similarity(texts[i], texts[j]) >= 0.8] for i in range(len(texts))}
-    expected = {i for i, others in similar.items() if not others}
-    assert {i for i, others in similar.items() if others} >= set(range(len(texts))) - kept  # nothing dissimilar goes
-    assert len(kept - expected - {None}) <= 1 and None not in kept
-    assert kept >= expected
-
-
-def test_exact_similarity_of_texts():
-    from demandlake.llm import near_copies
-
-    texts = [t or "" for t in _texts()]
-    pairs = list(combinations(texts[:24], 2))
-    found = near_copies.similarities(pa.array([a for a, _ in pairs]), pa.array([b for _, b in pairs]))
-    assert found.tolist() == pytest.approx([_similarity(a, b) for a, b in pairs])
-
-
 def test_first_copies_stay_however_frequent(spark):
     passage = " ".join(_words(3, 60))
     texts = [passage, passage, passage] + [" ".join([*_words(i, 40), passage, *_words(50 + i, 30)]) for i in range(20)]
