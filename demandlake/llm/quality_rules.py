@@ -36,7 +36,8 @@ RULES = {
 }
 LOWER_TOO = ("word_length",)
 SPREADS = 3
-LEAST_DOCUMENTS = 100
+# What the language's sketch weighs in that of each of its sources, in texts.
+COMMON_TEXTS = 100
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper"]
 
@@ -132,15 +133,31 @@ def sketches(counted: DataFrame, group: list[str]) -> DataFrame:
     )
 
 
+def blended(own: DataFrame, common: DataFrame) -> DataFrame:
+    """The sketches of all groups (lang, source), each merged with that of its language at the weight of COMMON_TEXTS texts.
+
+    A group of few texts follows its language, a large one itself, and there is no size at which that turns.
+    Weights are whole numbers: a group's count times the language's total, and the language's count times
+    COMMON_TEXTS.
+    """
+    exact = "decimal(38,0)"
+    totals = common.groupBy(F.col("lang").alias("t_lang"), F.col("rule").alias("t_rule")).agg(F.sum("n").alias("all_texts"))
+    met = F.col("lang").eqNullSafe(F.col("t_lang")) & (F.col("rule") == F.col("t_rule"))
+    weight = (F.col("n").cast("decimal(19,0)") * F.col("all_texts").cast("decimal(19,0)")).cast(exact)
+    weighed = own.join(totals, met).select("lang", "source", "rule", "bin", weight.alias("n"))
+    groups = own.select(F.col("lang").alias("t_lang"), "source", F.col("rule").alias("t_rule")).distinct()
+    lent = common.join(groups, met).select("lang", "source", "rule", "bin", (F.col("n") * COMMON_TEXTS).cast(exact).alias("n"))
+    return weighed.unionByName(lent).groupBy("lang", "source", "rule", "bin").agg(F.sum("n").cast(exact).alias("n"))
+
+
 def _quartiles(bins: DataFrame, group: list[str]) -> DataFrame:
-    """n, q1, q2 and q3 of every group and rule: the least bin at which one, two or three quarters are reached."""
+    """q1, q2 and q3 of every group and rule: the least bin at which one, two or three quarters are reached."""
     within = W.partitionBy(*group, "rule")
     reached = F.sum("n").over(within.orderBy("bin"))
     return (
         bins.withColumns({"reached": reached, "total": F.sum("n").over(within)})
         .groupBy(*group, "rule")
         .agg(
-            F.max("total").alias("total"),
             F.min(F.when(F.expr("4 * reached >= total"), F.col("bin"))).alias("q1"),
             F.min(F.when(F.expr("2 * reached >= total"), F.col("bin"))).alias("q2"),
             F.min(F.when(F.expr("4 * reached >= 3 * total"), F.col("bin"))).alias("q3"),
@@ -151,22 +168,20 @@ def _quartiles(bins: DataFrame, group: list[str]) -> DataFrame:
 def limits(counted: DataFrame) -> DataFrame:
     """Rows (lang, source, least_<rule>, most_<rule>), one per group with a document that passes the base rules.
 
-    A limit lies three quartile distances, and at least the rule's slack, beyond the quartile. Groups of
-    fewer than LEAST_DOCUMENTS different texts take the quartiles of their language. No limit lies beyond that
-    of the language, which is measured from the median and the nearer quartile, twice as far: up to half of a
+    A limit lies three quartile distances, and at least the rule's slack, beyond the quartile of the group's
+    sketch, blended with its language's. No limit lies beyond that of the language alone, which is measured from the median and the nearer quartile, twice as far: up to half of a
     language's texts may be junk on one side without moving it far, and a source full of junk does not set its own.
     """
     different = different_texts(counted)
-    own = _quartiles(sketches(different, ["lang", "source"]), ["lang", "source"])
-    common = _quartiles(sketches(different.drop("source").distinct(), ["lang"]), ["lang"])
+    # Stored, as both are read more than once: by group and bin, they are small.
+    of_language = stored(sketches(different.drop("source").distinct(), ["lang"]), "language-sketches")
+    of_group = stored(sketches(different, ["lang", "source"]), "group-sketches")
+    own = _quartiles(blended(of_group, of_language), ["lang", "source"])
+    common = _quartiles(of_language, ["lang"])
     common = common.select(
         F.col("lang").alias("c_lang"), F.col("rule").alias("c_rule"), *[F.col(q).alias(f"c_{q}") for q in ("q1", "q2", "q3")]
     )
-    few = F.col("total") < LEAST_DOCUMENTS
     both = own.join(common, F.col("lang").eqNullSafe(F.col("c_lang")) & (F.col("rule") == F.col("c_rule")))
-    both = both.withColumns(
-        {"q1": F.when(few, F.col("c_q1")).otherwise(F.col("q1")), "q3": F.when(few, F.col("c_q3")).otherwise(F.col("q3"))}
-    )
     aggregates = []
     for rule, (_, _, slack) in RULES.items():
         of_rule = F.col("rule") == rule
