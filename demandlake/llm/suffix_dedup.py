@@ -8,12 +8,13 @@ smallest hash in it (leftmost on ties). Stages:
    partition of the anchor. Equal segments of a task are sent once.
 3. There the segments are put in suffix order for every distance from the anchor: the right parts are sorted
    once, and each step to the left is one stable sort by one byte. Strings that agree in `size` bytes are
-   neighbours in it. Longest common prefixes come from range minima over the right parts. A position whose
-   longest previous factor has `size` bytes has a smaller position before or after it in such a run of
-   neighbours: it is a later copy. A run's smallest position is the first copy.
+   neighbours in it. Longest common prefixes come from range minima over the right parts. A position's longest
+   previous factor, cut off at `size` bytes, is the longer of its common prefixes with the previous and the next
+   smaller position in suffix order: if it has `size` bytes, the position is a later copy and may go. The longest
+   next factor, from the previous and next larger positions, finds the copies that have only later ones.
 
-An anchor that occurs in more than one of HOT_SHARE places would gather too much in one task; there are at
-most HOT_SHARE such anchors. The strings around these are compared by 64-bit hash instead, as items of
+An anchor that occurs in HOT_LEAST places, and in more than one of HOT_SHARE, would gather too much in one task;
+there are at most HOT_SHARE such anchors, 16 MB in all. The strings around these are compared by 64-bit hash instead, as items of
 their own, so that no task gets more than one entry per string and chunk: with keep="first" the chunk's first
 place, so that the first of all is found.
 """
@@ -47,7 +48,7 @@ from demandlake.llm.words import SLICE_BYTES, mixed, prefix_sums, range_hashes,
 
 MATCH_BYTES = 400
 ANCHOR_BYTES = 64
-HOT_SHARE = 100_000
+HOT_SHARE = 2_000_000
 HOT_LEAST = 2_000
 BATCH_SEGMENTS = 1 << 12
 
@@ -128,6 +129,23 @@ def _range_minima(values: np.ndarray):
     return least
 
 
+def nearer_positions(position: np.ndarray, common: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Longest previous and longest next factors, cut off at `size`, of suffixes in their order.
+
+    `common` holds the common prefixes of neighbours, cut off at `size`. Within a run of neighbours that agree in
+    `size` bytes all agree, so the factor of an element is `size` if the run holds a smaller (larger) position
+    before or after it, and else ends at the run's edge: it is below `size`, and 0 stands for it.
+    """
+    run = np.concatenate([[0], np.cumsum(common < size)])
+    # Runs shifted apart, so that a running minimum or maximum never looks into the run before.
+    span = np.int64(position.max(initial=0) + 1)
+    previous_smaller = np.minimum.accumulate(position - run * span) < position - run * span
+    next_smaller = (np.minimum.accumulate((position + run * span)[::-1]) < (position + run * span)[::-1])[::-1]
+    previous_larger = np.maximum.accumulate(position + run * span) > position + run * span
+    next_larger = (np.maximum.accumulate((position - run * span)[::-1]) > (position - run * span)[::-1])[::-1]
+    return np.where(previous_smaller | next_smaller, size, 0), np.where(previous_larger | next_larger, size, 0)
+
+
 def repeated_starts(
     raw: np.ndarray, begins: np.ndarray, low: np.ndarray, high: np.ndarray, middle: np.ndarray, rank: np.ndarray, size: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -160,15 +178,14 @@ def repeated_starts(
         if len(match):
             match = match[least(place[v[match]], place[v[match + 1]]) >= size - distance]
         if len(match):
-            linked = np.zeros(len(v), dtype=bool)
-            linked[match + 1] = True
-            runs_at = np.flatnonzero(~linked)
-            first = np.minimum.reduceat(rank[v], runs_at)
-            of_run = np.cumsum(~linked) - 1
-            repeated = linked.copy()
-            repeated[match] = True
-            later = rank[v] > first[of_run]
-            v, later = v[repeated], later[repeated]
+            common_here = np.zeros(len(v) - 1, dtype=np.int64)
+            common_here[match] = size
+            previous, following = nearer_positions(rank[v], common_here, size)
+            repeated = np.zeros(len(v), dtype=bool)  # rows that repeat a key hold one position several times
+            repeated[match] = repeated[match + 1] = True
+            repeated |= (previous == size) | (following == size)
+            later = previous[repeated] == size
+            v = v[repeated]
             found.append((v, middle[v] - distance, later))
         more = to_anchor[order] > distance
         order, group = order[more], group[more]
@@ -225,13 +242,16 @@ class Segments:
         yield answer_rows(k1[first], k2[first], *span_pairs(doc[turn], start[turn]), parts)
 
 
-def _segment_batches(done: list, hot: frozenset, parts: int, size: int, keep_first: bool) -> Iterator[pa.RecordBatch]:
+def _segment_batches(done: list, hot: np.ndarray, parts: int, size: int, keep_first: bool) -> Iterator[pa.RecordBatch]:
     """Segments to send, equal ones once; the strings around hot anchors as items."""
     schema = arrow_schema(_SEGMENT_SCHEMA)
     chunk = Chunk(parts, schema, keep_first)
     groups: dict[tuple, list[tuple]] = {}
-    for anchor, k1, k2, low, high, middle, content in done:
-        if anchor in hot:
+    anchors = np.fromiter((row[0] for row in done), dtype=np.int64, count=len(done))
+    at = np.minimum(np.searchsorted(hot, anchors), max(len(hot) - 1, 0))
+    is_hot = (hot[at] == anchors).tolist() if len(hot) else [False] * len(done)
+    for (anchor, k1, k2, low, high, middle, content), frequent in zip(done, is_hot, strict=True):
+        if frequent:
             piece = np.frombuffer(content, np.uint8)
             place = np.arange(low, high + 1)
             chunk.add(np.array([k1]), np.array([k2]), np.zeros(len(place), np.int64), place, _hashes(piece, size))
@@ -295,9 +315,9 @@ def remove_repeated_bytes(
     entries = rows.select("k1", "k2", "text").mapInArrow(collect, ENTRY_SCHEMA)
     anchors = stored(answers(entries, parts, hot_least), "anchors")
     items = anchors.filter("keys is null and hot is null").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    # At most HOT_SHARE rows, as each stands for more than that share of all items.
+    # At most HOT_SHARE numbers, as each stands for more than that share of all items.
     frequent = anchors.filter((F.col("hot").isNotNull()) & (F.col("n") >= max(hot_least, items // HOT_SHARE)))
-    hot = frozenset(r.hot for r in frequent.select("hot").collect())
+    hot = np.array(sorted(r.hot for r in frequent.select("hot").collect()), dtype=np.int64)
 
     def segments(doc_id, text: bytes, key, begins: np.ndarray, ends: np.ndarray) -> list[tuple]:
         if not len(begins):
