@@ -107,8 +107,9 @@ def mix(
     three times the size; all of a source come to its target but for less than a block a shard.
 
     A NULL text has size 0 and nothing is taken of it; a NULL source is a source. Shards and order hang on
-    the id and the seed alone, so reruns agree; rows with one id follow each other by size. A source that
-    holds most rows is cut into shards of about `shard_documents`. An empty table gives an empty result.
+    the id, the text and the seed alone, so reruns agree, and an id that most rows share, or lack, is spread by
+    text; rows that repeat both follow each other. A source that holds most rows is cut into shards of about
+    `shard_documents`. An empty table gives an empty result.
     """
     rows = picked(
         documents,
@@ -117,7 +118,7 @@ def mix(
         source=source_column,
         **{f"carried_{i}": name for i, name in enumerate(carry or [])},
     )
-    sized = rows.withColumn("size", word_count(F.col("mix_text"))).drop("mix_text")
+    sized = rows.withColumns({"size": word_count(F.col("mix_text")), "mark": F.xxhash64("mix_text")}).drop("mix_text")
     if not carry:
         sized = stored(sized, "mix-sizes")
     per_source = sized.groupBy("source").agg(
@@ -141,7 +142,7 @@ def mix(
     dealt = (
         sized.join(quotas, F.col("source").eqNullSafe(F.col("of_source")))
         .drop("of_source")
-        .withColumn("shard", F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.col("shards")))
+        .withColumn("shard", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "mark"), F.col("shards")))
     )
     shards = dealt.groupBy("source", "shard").agg(
         F.sum("size").alias("shard_size"), F.first("source_blocks").alias("source_blocks")
@@ -149,7 +150,8 @@ def mix(
     shards = apportion(shards, ["source"], [F.col("shard")], "shard_size", "source_blocks").select(
         F.col("source").alias("s_source"), F.col("shard").alias("s_shard"), "shard_size", F.col("won").alias("quota")
     )
-    in_order = W.partitionBy("source", "shard").orderBy(F.xxhash64(F.lit(seed + 1), "doc_id"), "doc_id", "size")
+    seeded = F.xxhash64(F.lit(seed + 1), "doc_id", "mark")
+    in_order = W.partitionBy("source", "shard").orderBy(seeded, "doc_id", "mark", "size")
     before = F.coalesce(F.sum("size").over(in_order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     placed = dealt.withColumn("before", before).join(
         shards, F.col("source").eqNullSafe(F.col("s_source")) & (F.col("shard") == F.col("s_shard"))
