@@ -128,7 +128,103 @@ def prepared(query: Query) -> Query:
 
 QUERIES: dict[str, Query] = {name: prepared(query) for name, query in _QUERIES.items()}
 
+
+def _repair_sql() -> str:
+    """Damage, faults and the cheapest edits in SQL: one recursion step takes a row of every conversation.
+
+    s0 to s3 are the best edits so far that end before any turn, after system, user or assistant: cost c, audit a
+    and lines o. Inserts are tried three times before each row and after the last.
+    """
+
+    def put(state: str, cost: str, edit: str, line: str = "''") -> str:
+        return f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{edit}', 'o': {state}.o || {line}}}"
+
+    def best(*choices: str) -> str:
+        listed = ", ".join(choices)
+        return f"list_sort([{listed}])[1]"
+
+    user, assistant = "chr(10) || 'user:'", "chr(10) || 'assistant:'"
+    carried = "conv_id, k"
+    inserted = "FROM_HERE"
+    for _ in range(3):
+        u = best("s2", *[put(s, "3", "I", user) for s in ("s0", "s1", "s3")])
+        a = best("s3", put("s2", "3", "I", assistant))
+        inserted = inserted.replace("FROM_HERE", f"(SELECT {carried}, s0, s1, {u} AS s2, {a} AS s3 FROM FROM_HERE)")
+    line = "chr(10) || role || ':' || text"
+    far = "{'c': CAST(1000000000 AS BIGINT), 'a': '', 'o': ''}"
+
+    def kept(initial: str, *states: str) -> list[str]:
+        held = f"free AND left(role, 1) = '{initial}'"
+        return [f"CASE WHEN {held} THEN {put(s, 'more', 'K', line)} ELSE {far} END" for s in states]
+
+    def led(role: str, *states: str) -> list[str]:
+        return [f"CASE WHEN free THEN {put(s, '3 + more', 'R', f'{role} || text')} ELSE {far} END" for s in states]
+
+    step = ", ".join(
+        f"{best(put(state, '4', 'D'), *choices)} AS {state}"
+        for state, choices in {
+            "s0": [],
+            "s1": kept("s", "s0"),
+            "s2": kept("u", "s0", "s1", "s3") + led(user, "s0", "s1", "s3"),
+            "s3": kept("a", "s2") + led(assistant, "s2"),
+        }.items()
+    )
+    crc = (
+        "xor(list_reduce(list_transform(string_split(key, ''), lambda ch: CAST(ascii(ch) AS BIGINT)),"
+        " lambda crc, b: list_reduce([1, 2, 3, 4, 5, 6, 7, 8], lambda c, i: xor(c >> 1, 3988292384 * (c & 1)), xor(crc, b)),"
+        " CAST(4294967295 AS BIGINT)), 4294967295)"
+    )
+    some = r"[^\x20\x09-\x0D]"
+    return rf"""
+        WITH RECURSIVE given AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key
+            FROM conversations),
+        ruled AS (SELECT *, {crc} % 20 AS rule FROM given),
+        damaged AS (
+            SELECT conv_id, turn, CASE WHEN rule = 4 THEN 'user' ELSE role END AS role,
+                CASE rule WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+                unnest(generate_series(1, CASE rule WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+            FROM ruled),
+        placed AS (
+            SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), copy) AS k
+            FROM damaged),
+        marked AS (
+            SELECT *, CASE WHEN NOT regexp_matches(text, '{some}') THEN 'blank'
+                    WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY k) > 1 THEN 'duplicate'
+                    WHEN NOT regexp_matches(text, '[.!?][ 	-]*\z') THEN 'truncated' ELSE '' END AS fault,
+                lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY k) AS earlier
+            FROM placed),
+        counted AS (
+            SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+                count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+                count(*) FILTER (fault = 'truncated') AS truncated,
+                count(*) FILTER (earlier IS NOT NULL AND earlier || left(role, 1) NOT IN ('su', 'ua', 'au')) AS illegal,
+                max(k) AS n
+            FROM marked GROUP BY conv_id),
+        steps AS (
+            SELECT conv_id, CAST(0 AS BIGINT) AS k, {{'c': CAST(0 AS BIGINT), 'a': '', 'o': ''}} AS s0,
+                {far} AS s1, {far} AS s2, {far} AS s3
+            FROM counted
+            UNION ALL
+            SELECT conv_id, k, {step}
+            FROM (
+                SELECT i.conv_id, m.k, s0, s1, s2, s3, m.role, m.text, m.fault NOT IN ('blank', 'duplicate') AS free,
+                    CASE m.fault WHEN 'truncated' THEN 3 ELSE 0 END AS more
+                FROM {inserted.replace("FROM_HERE", "steps")} AS i
+                JOIN marked AS m ON m.conv_id IS NOT DISTINCT FROM i.conv_id AND m.k = i.k + 1) AS met),
+        ended AS (
+            SELECT conv_id, k, {best("s0", "s3")} AS e FROM {inserted.replace("FROM_HERE", "steps")} AS i)
+        SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+            coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(e.c, 0) AS cost,
+            coalesce(e.a, '') AS audit, sha256(coalesce(substr(e.o, 2), '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) AS c
+        LEFT JOIN counted AS f ON f.conv_id IS NOT DISTINCT FROM c.conv_id
+        LEFT JOIN ended AS d ON d.conv_id IS NOT DISTINCT FROM c.conv_id AND d.k = f.n"""
+
+
 ORACLES: dict[str, str] = {
+    "op11_conversation_repair": _repair_sql(),
     "op1_exact_dedup": """
         WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
         g AS (SELECT text, max(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY text)
@@ -149,13 +245,13 @@ ORACLES: dict[str, str] = {
     "op13_hard_negatives": """
         WITH fine AS (
             SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-                list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+                list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
             FROM embeddings
             WHERE label IS NOT NULL AND embedding IS NOT NULL
-                AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
         scored AS (
             SELECT a.vec_id AS anchor_id, p.vec_id, a.label = p.label AS same,
-                CAST(list_sum(list_transform(generate_series(1, least(len(a.v), len(p.v))), i -> a.v[i] * p.v[i])) AS BIGINT) AS score
+                CAST(list_sum(list_transform(generate_series(1, least(len(a.v), len(p.v))), lambda i: a.v[i] * p.v[i])) AS BIGINT) AS score
             FROM fine a JOIN fine p ON a.vec_id IS DISTINCT FROM p.vec_id WHERE a.vec_id % 50 = 0),
         positives AS (
             SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
