@@ -5,33 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandlake.contracts import CAPACITY_TOPIC, COMMENTS_TOPIC, DEMAND_TOPIC
+from demandlake.contracts import CAPACITY_TOPIC, COMMENTS_TOPIC, CONTRACTS, DEMAND_TOPIC
 from demandlake.functions.calendar import contract_date
 
-_DEMAND_HEADER = [
-    "materialDemandId",
-    "materialNumberCustomer",
-    "materialNumberSupplier",
-    "materialDescriptionCustomer",
-    "materialGlobalAssetId",
-    "customer",
-    "supplier",
-    "changedAt",
-    "unitOfMeasure",
-    "unitOfMeasureIsOmitted",
-    "materialDemandIsInactive",
-]
+def _plain_fields(topic: str) -> list[str]:
+    """The fields of a topic's contract that hold one value, in its order."""
+    return [rule.name for rule in CONTRACTS[topic] if rule.kind in ("string", "boolean", "number")]
 
-_CAPACITY_HEADER = [
-    "capacityGroupId",
-    "name",
-    "supplier",
-    "customer",
-    "unitOfMeasure",
-    "unitOfMeasureIsOmitted",
-    "capacityGroupIsInactive",
-    "changedAt",
-]
+
+_DEMAND_HEADER = _plain_fields(DEMAND_TOPIC)
+_CAPACITY_HEADER = _plain_fields(CAPACITY_TOPIC)
 
 _THRESHOLD_FIELDS = [
     "sequenceNumber",
@@ -42,21 +25,6 @@ _THRESHOLD_FIELDS = [
     "relativePositiveDeviation",
 ]
 
-_COMMENT_COLUMNS = [
-    "commentId",
-    "objectId",
-    "objectType",
-    "customer",
-    "supplier",
-    "author",
-    "postedAt",
-    "changedAt",
-    "commentText",
-    "commentType",
-    "requestDelete",
-    "listOfReferenceDates",
-]
-
 
 def bronze_demand(messages: DataFrame) -> DataFrame:
     """One row per demand entry: message header x series x demands.
@@ -122,7 +90,7 @@ def bronze_capacity(messages: DataFrame) -> DataFrame:
 
 def bronze_comment(messages: DataFrame) -> DataFrame:
     """Comments are flat already; only the contract's columns are kept."""
-    return messages.select(*_COMMENT_COLUMNS)
+    return messages.select(*[rule.name for rule in CONTRACTS[COMMENTS_TOPIC]])
 
 
 BRONZE = {

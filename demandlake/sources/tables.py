@@ -15,23 +15,20 @@ from __future__ import annotations
 
 import hashlib
 import json
-import logging
 from dataclasses import dataclass
 from functools import reduce
 
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from demandlake.contracts import topic_of
+from demandlake.operators.gold import row_counts
 from demandlake.operators.layout import check_columns, spread_for_write
 from demandlake.operators.scd import DimSpec, backfill, changed_rows, scd2_merge, unique_keys
 from demandlake.sources.files import any_match, child_folders, delete_folder, exists, matches_with_time, read_text, touch, write_text
 
-logger = logging.getLogger(__name__)
-
 _BATCH = "batch_id"
 _VERSION = "version"
 _OPEN = "open"
@@ -269,7 +266,7 @@ def merge_snapshot(
     Open rows are read from the buckets in which the snapshot has keys, and the rows that changed are put beside
     the table first. From them, what is closed is written under the batch's label, and then the buckets in which
     a row changed are written with their new open rows. A merge tried again finds what its first try
-    finished unchanged, and replaces the closed rows of what it did not. A snapshot without a new or changed row
+    finished unchanged, and replaces the closed rows of what it did not; so a label must be its batch's own. A snapshot without a new or changed row
     writes nothing. A table found in plain files is taken up. Batches of one dimension come one after the other;
     a lakehouse format, where there is one, closes the gap in which a bucket is moved into place.
     """
@@ -287,11 +284,18 @@ def merge_snapshot(
     changes = changed_rows(open_rows.drop(_BUCKET), snapshot.drop(_BUCKET), spec, as_of)
     found = f"{location}/_changes"
     changes.write.mode("overwrite").parquet(found)
-    changes = spark.read.schema(changes.schema).parquet(found)
+    try:
+        _write_changes(spark.read.schema(changes.schema).parquet(found), open_rows, location, spec, label)
+    finally:
+        delete_folder(spark, found)
+
+
+def _write_changes(changes: DataFrame, open_rows: DataFrame, location: str, spec: DimSpec, label: int | Origin) -> None:
+    """Write the rows that a merge closes, and then the buckets in which it opens one."""
     opened = _bucketed(changes.select("opened.*"), spec)
-    closing = F.count_if(F.col("closed").isNotNull())
-    written = changes.select(F.col("closed"), F.struct(*[F.col(f"opened.{key}") for key in spec.keys]).alias("key"))
-    per_bucket = _bucketed(written.select("closed", "key.*"), spec).groupBy(_BUCKET).agg(closing.alias("closing")).collect()
+    keyed = changes.select("closed", *[F.col(f"opened.{key}").alias(key) for key in spec.keys])
+    closing = F.count_if(F.col("closed").isNotNull()).alias("closing")
+    per_bucket = _bucketed(keyed, spec).groupBy(_BUCKET).agg(closing).collect()  # a row a bucket at most
     if not per_bucket:
         return
     _note_schema(opened.drop(_BUCKET), location)
@@ -355,24 +359,26 @@ def layer_path(lake: str, layer: str, topic: str, table: str | None = None) -> s
     return f"{base}/{table}" if table else base
 
 
-def preview_gold(spark: SparkSession, lake: str, topic: str) -> dict[str, DataFrame]:
-    """All gold tables of a topic by name; a folder that holds no readable table is skipped."""
+def gold_names(spark: SparkSession, lake: str, topic: str) -> list[str]:
+    """The gold tables a topic has, by what marks each layout: found in three requests, no table is opened."""
     base = layer_path(lake, "gold", topic)
-    if not exists(spark, base):
-        raise FileNotFoundError(f"no gold folder for {topic}: {base}")
-    tables = {}
-    for name in child_folders(spark, base):
-        try:
-            tables[name] = read_table(spark, f"{base}/{name}")
-        except (FileNotFoundError, AnalysisException) as problem:
-            logger.warning("skipped %s/%s: %s", base, name, problem)
-    return tables
+    marks = {f"{_BATCH}=*/{_SUCCESS}": 3, f"{_VERSION}=*/{_SUCCESS}": 3, _OPEN: 2}
+    found = [path.split("/")[-depth] for mark, depth in marks.items() for path, _ in matches_with_time(spark, f"{base}/*/{mark}")]
+    if not found and not exists(spark, base):
+        raise FileNotFoundError(f"{topic} has no gold tables in {lake}")
+    return sorted(set(found))
+
+
+def preview_gold(spark: SparkSession, lake: str, topic: str) -> dict[str, DataFrame]:
+    """The gold tables of a topic by name."""
+    return {name: read_table(spark, layer_path(lake, "gold", topic, name)) for name in gold_names(spark, lake, topic)}
 
 
 def show_gold(spark: SparkSession, lake: str, topic: str, limit: int = 10) -> dict[str, DataFrame]:
-    """Print row count and first rows of each gold table of a topic, and return the tables."""
-    tables = preview_gold(spark, lake, topic)
-    for name, table in tables.items():
-        print(f"{name}: {table.count()} rows")
-        table.show(limit, truncate=False)
-    return tables
+    """Print the row counts of a topic's gold tables, from one query, and the first rows of each."""
+    found = preview_gold(spark, lake, topic)
+    if found:
+        row_counts(found).orderBy("table_name").show(len(found), truncate=False)
+    for table in found.values():
+        table.limit(limit).show(limit, truncate=False)
+    return found
