@@ -192,7 +192,8 @@ def _repair_sql() -> str:
         marked AS (
             SELECT *, CASE WHEN NOT regexp_matches(text, '{some}') THEN 'blank'
                     WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY k) > 1 THEN 'duplicate'
-                    WHEN NOT regexp_matches(text, '[.!?][ 	-]*\z') THEN 'truncated' ELSE '' END AS fault,
+                    WHEN NOT regexp_matches(text, '[.!?][ 	-
+]*\z') THEN 'truncated' ELSE '' END AS fault,
                 lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY k) AS earlier
             FROM placed),
         counted AS (
@@ -223,7 +224,80 @@ def _repair_sql() -> str:
         LEFT JOIN ended AS d ON d.conv_id IS NOT DISTINCT FROM c.conv_id AND d.k = f.n"""
 
 
+def _rules_sql() -> str:
+    """The counts, the blended sketches and their limits, and the verdicts in SQL."""
+    some = r"[^\x20\x09-\x0D]"
+    rules = quality_rules.RULES
+    values = ", ".join(f"{{'rule': '{rule}', 'value': 1000 * {top} // nullif({bottom}, 0)}}" for rule, (top, bottom, _) in rules.items())
+    slack = "CASE rule " + " ".join(f"WHEN '{rule}' THEN {least}" for rule, (_, _, least) in rules.items()) + " END"
+    lower = "rule IN (" + ", ".join(f"'{rule}'" for rule in quality_rules.LOWER_TOO) + ")"
+    failed = f"n_words < {quality_rules.LEAST_WORDS} OR 100 * n_repeat_words > {quality_rules.MOST_REPEATED_PERCENT} * n_words"
+
+    def quartiles(bins: str, group: str) -> str:
+        return f"""(SELECT {group}, rule, min(bin) FILTER (4 * reached >= total) AS q1, min(bin) FILTER (2 * reached >= total) AS q2,
+                min(bin) FILTER (4 * reached >= 3 * total) AS q3
+            FROM (SELECT *, sum(n) OVER (PARTITION BY {group}, rule ORDER BY bin) AS reached,
+                sum(n) OVER (PARTITION BY {group}, rule) AS total FROM {bins}) AS s GROUP BY {group}, rule)"""
+
+    def sketch(rows: str, group: str) -> str:
+        return f"""(SELECT {group}, v.rule AS rule, (v.value >> spare) << spare AS bin, count(*) AS n
+            FROM (SELECT *, greatest(length(bin(v.value)) - 7, 0) AS spare FROM
+                (SELECT {group}, unnest([{values}]) AS v FROM {rows}) AS u WHERE v.value IS NOT NULL) AS b
+            GROUP BY {group}, rule, bin)"""
+
+    columns = "n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_upper"
+    return rf"""
+        WITH given AS (
+            SELECT row_number() OVER () AS row_id, doc_id, lang, source, coalesce(text, '') AS text,
+                regexp_extract_all(coalesce(text, ''), '{some}+') AS words,
+                list_filter(string_split(coalesce(text, ''), chr(10)), lambda line: regexp_matches(line, '{some}')) AS lines
+            FROM documents),
+        places AS (
+            SELECT row_id, words, unnest(generate_series(1, len(words) - 2)) AS place FROM given WHERE len(words) > 2),
+        threes AS (SELECT row_id, place, array_to_string(words[place:place + 2], ' ') AS content FROM places),
+        again AS (SELECT row_id, place FROM threes QUALIFY count(*) OVER (PARTITION BY row_id, content) > 1),
+        covered AS (
+            SELECT row_id, count(DISTINCT place + step) AS n FROM again, range(0, 3) AS steps(step) GROUP BY row_id),
+        counted AS (
+            SELECT g.row_id, doc_id, lang, source, text, CAST(len(words) AS BIGINT) AS n_words,
+                CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+                CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+                CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+                CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words, CAST(len(lines) AS BIGINT) AS n_lines,
+                CAST(len(regexp_extract_all(text, '[A-ZÀ-ÖØ-Þ]')) AS BIGINT) AS n_upper
+            FROM given AS g LEFT JOIN covered AS c ON c.row_id = g.row_id),
+        own_texts AS (SELECT DISTINCT lang, source, text, {columns} FROM counted WHERE NOT ({failed})),
+        own AS {sketch("own_texts", "lang, source")},
+        common AS {sketch("(SELECT DISTINCT lang, text, " + columns + " FROM own_texts) AS t", "lang")},
+        totals AS (SELECT lang, rule, sum(n) AS all_texts FROM common GROUP BY lang, rule),
+        blended AS (
+            SELECT lang, source, rule, bin, sum(n) AS n FROM (
+                SELECT o.lang, o.source, o.rule, o.bin, o.n * t.all_texts AS n FROM own AS o
+                JOIN totals AS t ON t.lang IS NOT DISTINCT FROM o.lang AND t.rule = o.rule
+                UNION ALL
+                SELECT g.lang, g.source, g.rule, c.bin, c.n * {quality_rules.COMMON_TEXTS}
+                FROM (SELECT DISTINCT lang, source, rule FROM own) AS g
+                JOIN common AS c ON c.lang IS NOT DISTINCT FROM g.lang AND c.rule = g.rule) AS merged
+            GROUP BY lang, source, rule, bin),
+        reaches AS (
+            SELECT o.lang, o.source, o.rule, o.q1, o.q3, c.q2 AS c2,
+                greatest({quality_rules.SPREADS} * (o.q3 - o.q1), {slack.replace("rule", "o.rule", 1)}) AS reach,
+                greatest({2 * quality_rules.SPREADS} * least(c.q3 - c.q2, c.q2 - c.q1), {slack.replace("rule", "o.rule", 1)}) AS bound
+            FROM {quartiles("blended", "lang, source")} AS o
+            JOIN {quartiles("common", "lang")} AS c ON c.lang IS NOT DISTINCT FROM o.lang AND c.rule = o.rule),
+        judged AS (
+            SELECT row_id, bool_or(coalesce(v.value > least(q3 + reach, c2 + bound), false)
+                OR ({lower.replace("rule", "l.rule", 1)} AND coalesce(v.value < greatest(q1 - reach, c2 - bound), false))) AS bad
+            FROM (SELECT row_id, lang, source, unnest([{values}]) AS v FROM counted) AS d
+            JOIN reaches AS l ON l.lang IS NOT DISTINCT FROM d.lang AND l.source IS NOT DISTINCT FROM d.source AND l.rule = d.v.rule
+            GROUP BY row_id)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, {failed} AS base_failed,
+            NOT ({failed}) AND NOT coalesce(j.bad, false) AS kept
+        FROM counted AS c LEFT JOIN judged AS j ON j.row_id = c.row_id"""
+
+
 ORACLES: dict[str, str] = {
+    "op9_quality_rules": _rules_sql(),
     "op11_conversation_repair": _repair_sql(),
     "op1_exact_dedup": """
         WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
