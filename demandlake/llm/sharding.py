@@ -10,6 +10,7 @@ whenever the rounds end.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -23,12 +24,16 @@ LAW = "rows"
 MOST_ROUNDS = 12
 # Rounds end when one moves no more than this part of the linked documents.
 SETTLED = 0.002
-# Rows that one window task numbers, about.
-BLOCK_ROWS = 20_000
+# Rows of a block at least. Numbering a group looks at a block, and at its blocks: both grow with the root of it.
+BLOCK_ROWS = 1_000
 
 
 def _blocks(rows: int) -> int:
-    return rows // BLOCK_ROWS + 1
+    return rows // max(BLOCK_ROWS, math.isqrt(rows)) + 1
+
+
+def _blocks_of(rows: Column) -> Column:
+    return F.floor(rows / F.greatest(F.lit(BLOCK_ROWS), F.floor(F.sqrt(rows)))) + 1
 
 
 def _before(rows: DataFrame, within: list[str], block: str, order: list[str], amount: str, name: str) -> DataFrame:
@@ -121,12 +126,12 @@ def _proposals(state: DataFrame, room: list[int]) -> DataFrame:
     split = split.withColumn("sources", F.filter("ranked", lambda r: (r["held"] > 0) & ~F.array_contains(chosen, r["shard"])))
     # One target takes every source; several are filled one after the other, along the sources.
     single = F.size("targets") == 1
+    whole = F.struct(F.lit(0).cast("long").alias("low"), F.col("n").alias("high"), F.get(chosen, F.lit(0)).alias("shard"))
     laid = split.select(
         "content",
         F.get("targets", F.lit(0))["held"].alias("gain"),
         _ends("sources", "held").alias("sources"),
-        F.when(single, F.array(F.struct(F.lit(0).cast("long").alias("low"), F.col("n").alias("high"), F.get(chosen, F.lit(0)).alias("shard"))))
-        .otherwise(_ends("targets", "room")).alias("targets"),
+        F.when(single, F.array(whole)).otherwise(_ends("targets", "room")).alias("targets"),
     )
     asked = laid.select("content", "gain", "targets", F.explode("sources").alias("source"))
     asked = asked.select("content", "gain", "source", F.explode("targets").alias("target"))
@@ -190,7 +195,8 @@ def _held_by(state: DataFrame, shards: int) -> list[int]:
 def propagate(groups: DataFrame, capacity: list[int], blocks: int, most_rounds: int = MOST_ROUNDS) -> DataFrame:
     """Rows (content, n, held) after the last round. Only counts by shard come to the driver.
 
-    Rounds end when hardly any document moves, or after `most_rounds`. A round never fills a shard beyond its capacity, so the outcome is balanced after any number of rounds.
+    Rounds end when hardly any document moves, or after `most_rounds`. A round never fills a shard beyond its
+    capacity, so the outcome is balanced after any number of rounds.
     """
     shards = len(capacity)
     state = stored(_first_labels(groups, shards, blocks), "shard-labels")
@@ -281,7 +287,9 @@ def sharded(
 
     entries = _entries(state, shards, blocks)
     members = counted.join(linked.withColumnRenamed("content", "g_content"), F.col("content") == F.col("g_content"))
-    members = members.drop("g_content").withColumn("block", _spread(key, F.floor(F.col("n") / BLOCK_ROWS) + 1))
+    members = members.drop("g_content").withColumn("block", _spread(key, _blocks_of(F.col("n"))))
+    # Dealt by block, so that the join before may split a hot group, and its blocks go to many tasks.
+    members = members.repartition("content", "block")
     members = _before(members, ["content"], "block", ["doc_id"], "copies", "place")
     seated = _seated(members.join(entries, F.col("content") == F.col("e_content")))
 
