@@ -282,6 +282,9 @@ def hard_negatives(
         F.col("uid").alias("n_uid"), (F.col("place") + 1).alias("n_place"), "rank",
         F.col("found_id").alias("negative_id"), F.col("score").alias("negative_score"),
     )
-    of = positives.select("uid", "anchor_id", F.col("found_id").alias("positive_id"), F.col("rank").alias("place"), F.col("score").alias("positive_score"))
+    of = positives.select(
+        "uid", "anchor_id", F.col("found_id").alias("positive_id"), F.col("rank").alias("place"),
+        F.col("score").alias("positive_score"),
+    )
     met = of.join(found, (F.col("uid") == F.col("n_uid")) & (F.col("place") == F.col("n_place")))
     return met.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")

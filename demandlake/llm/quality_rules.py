@@ -169,8 +169,9 @@ def limits(counted: DataFrame) -> DataFrame:
     """Rows (lang, source, least_<rule>, most_<rule>), one per group with a document that passes the base rules.
 
     A limit lies three quartile distances, and at least the rule's slack, beyond the quartile of the group's
-    sketch, blended with its language's. No limit lies beyond that of the language alone, which is measured from the median and the nearer quartile, twice as far: up to half of a
-    language's texts may be junk on one side without moving it far, and a source full of junk does not set its own.
+    sketch, blended with its language's. No limit lies beyond that of the language alone, which is measured from
+    the median and the nearer quartile, twice as far: up to half of a language's texts may be junk on one side
+    without moving it far, and a source full of junk does not set its own.
     """
     different = different_texts(counted)
     # Stored, as both are read more than once: by group and bin, they are small.
