@@ -2,8 +2,9 @@
 
 Each stage takes the session, the documents its predecessor kept and the folder of the tables. All but the
 last return documents with the columns of the table; rows with NULLs or empty texts are judged like others
-and other columns are dropped. Rows that repeat both id and text are one document from the second stage on. Run by itself, each stage cuts lineage as its operator does; `run` writes
-every stage's result to the shared folder.
+and other columns are dropped. Rows that repeat both id and text are one document from the second stage on.
+Run by itself, each stage cuts lineage as its operator does; `run` writes every stage's result to the shared
+folder.
 """
 
 from __future__ import annotations
