@@ -116,6 +116,24 @@ def test_archive_of_documents(spark, folder):
     assert found == {"t1": ('{\n  "a": 1\n}', "2025-07-03 08:25:24"), "t2": ('{\n  "a": 1\n}', "None")}
 
 
+def test_archive_is_written_a_document_a_file(spark, folder):
+    texts = ["{}", "{}", '{\n  "ü": 1\n}', None]
+    rows = spark.createDataFrame([(text,) for text in texts], "value string").repartition(2)
+    for _ in range(2):
+        archive.write_documents(rows, "t", f"file:{folder}")
+    written = os.listdir(f"{folder}/topic=t")
+    assert len(written) == 8 and all(name.endswith(".json") for name in written)
+    found = archive.read_documents(spark, folder).collect()
+    assert sorted(row.value for row in found) == sorted(f"{text or ''}\n" for text in texts * 2)
+    assert {row.topic for row in found} == {"t"} and all(row.archived_at for row in found)
+
+
+def test_archive_on_storage_unknown_to_arrow(spark, folder, monkeypatch):
+    monkeypatch.setattr(archive, "_opens", lambda location: False)
+    archive.write_documents(spark.createDataFrame([("{}",), ("[]",)], "value string"), "t", folder)
+    assert sorted(row.value for row in archive.read_documents(spark, folder).collect()) == ["[]\n", "{}\n"]
+
+
 AWKWARD = [("t", '{\r\n"a":\n1}'), ("t", '{"a":"x\ny"}'), ("t", "broken\n"), ("t", None), ("u", "{}")]
 
 
