@@ -64,19 +64,21 @@ class Network:
         return np.ascontiguousarray(np.tanh(np.einsum("nsd,sd->nd", looked, self.scale)).T)
 
     def class_logits(self, hidden: np.ndarray) -> np.ndarray:
-        return self.class_out @ hidden + self.class_bias[:, None]
+        logits = self.class_out @ hidden
+        logits += self.class_bias[:, None]
+        return logits
 
     def place_logits(self, hidden: np.ndarray, columns: list[tuple[int, slice]]) -> np.ndarray:
         """Of the places in each column's class."""
         logits = np.empty((CLASSES, hidden.shape[1]), np.float32)
         for c, own in columns:
-            logits[:, own] = self.place_out[c] @ hidden[:, own] + self.place_bias[c][:, None]
+            np.add(self.place_out[c] @ hidden[:, own], self.place_bias[c][:, None], out=logits[:, own])
         return logits
 
     def log_probabilities(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Of each target id given the ids beside it."""
         order, of_class, place, columns = _by_class(target)
-        hidden = self.hidden(self.embed[context[order]])
+        hidden = self.hidden(self.embed.take(context[order], axis=0))
         each = np.arange(len(target))
         out = np.empty(len(target), np.float32)
         out[order] = (
@@ -90,7 +92,7 @@ class Network:
         slope = Network(np.zeros_like(self.values))
         order, of_class, place, columns = _by_class(target)
         context = context[order]
-        looked = self.embed[context]
+        looked = self.embed.take(context, axis=0)
         hidden = self.hidden(looked)
         each = np.arange(len(target))
         error = _softmax(self.class_logits(hidden))
@@ -104,7 +106,8 @@ class Network:
             slope.place_out[c] += error[:, own] @ hidden[:, own].T
             slope.place_bias[c] += error[:, own].sum(axis=1)
             back[:, own] += self.place_out[c].T @ error[:, own]
-        back *= 1 - hidden * hidden
+        hidden *= hidden
+        back *= np.subtract(1, hidden, out=hidden)
         slope.scale += np.einsum("nd,nsd->sd", np.ascontiguousarray(back.T), looked)
         sides = context.T.ravel()
         for d in range(HIDDEN):
@@ -125,23 +128,33 @@ class Descent:
     def __init__(self, network: Network, rate: float):
         self.network, self.rate = network, rate
         self.met = np.full_like(network.values, 1e-6)
+        self.room = np.empty_like(self.met)
 
     def step(self, context: np.ndarray, target: np.ndarray) -> None:
-        slope = self.network.gradient(context, target).values / max(len(target), 1)
-        self.met += slope**2
-        self.network.values -= self.rate * slope / np.sqrt(self.met)
+        slope = self.network.gradient(context, target).values
+        slope /= max(len(target), 1)
+        self.met += np.square(slope, out=self.room)
+        slope *= self.rate
+        slope /= np.sqrt(self.met, out=self.room)
+        self.network.values -= slope
+
+
+# Both work in the array they get: a new one of this size costs the system more than the sums in it.
 
 
 def _log_softmax(logits: np.ndarray) -> np.ndarray:
-    """Of each column."""
-    logits = logits - logits.max(axis=0, initial=-np.inf)
-    return logits - np.log(np.exp(logits).sum(axis=0))
+    """Of each column, in place."""
+    logits -= logits.max(axis=0, initial=-np.inf)
+    logits -= np.log(np.exp(logits).sum(axis=0))
+    return logits
 
 
 def _softmax(logits: np.ndarray) -> np.ndarray:
-    """Of each column."""
-    shares = np.exp(logits - logits.max(axis=0, initial=-np.inf))
-    return shares / shares.sum(axis=0)
+    """Of each column, in place."""
+    logits -= logits.max(axis=0, initial=-np.inf)
+    np.exp(logits, out=logits)
+    logits /= logits.sum(axis=0)
+    return logits
 
 
 def _by_class(target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[int, slice]]]:
@@ -152,22 +165,28 @@ def _by_class(target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, l
     return order, of_class, place, [(c, slice(bounds[c], bounds[c + 1])) for c in np.unique(of_class)]
 
 
-def examples(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(first row, past the last, row, context, target) of every word of the texts, in slices."""
+def targets(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, past the last, where each row's words begin, target) of the texts, in slices."""
     data, offsets = text_bytes(texts)
-    outside = CLASSES * CLASSES
     for low, high in row_slices(offsets):
         words = find_words(data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low])
-        target = (words.hashes % np.uint64(outside)).astype(np.int64)
-        lengths = np.diff(words.first)
+        yield low, high, words.first, (words.hashes % np.uint64(CLASSES * CLASSES)).astype(np.int64)
+
+
+def examples(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(first row, past the last, row, context, target) of every word of the texts, in slices."""
+    outside = CLASSES * CLASSES
+    for low, high, first, target in targets(texts):
+        lengths = np.diff(first)
         row = np.repeat(np.arange(high - low), lengths)
-        place = np.arange(len(target)) - words.first[row]
+        each = np.arange(len(target))
+        before, after = each - first[row], first[row + 1] - 1 - each
         padded = np.concatenate([np.full(SIDE_WORDS, outside), target, np.full(SIDE_WORDS, outside)])
-        columns = []
-        for step in [*range(-SIDE_WORDS, 0), *range(1, SIDE_WORDS + 1)]:
-            inside = (place + step >= 0) & (place + step < lengths[row])
-            columns.append(np.where(inside, padded[SIDE_WORDS + step : SIDE_WORDS + step + len(target)], outside))
-        yield low, high, row, np.stack(columns, axis=1), target
+        context = np.empty((len(target), 2 * SIDE_WORDS), np.int64)
+        for side, step in enumerate([*range(-SIDE_WORDS, 0), *range(1, SIDE_WORDS + 1)]):
+            inside = before >= -step if step < 0 else after >= step
+            context[:, side] = np.where(inside, padded[SIDE_WORDS + step : SIDE_WORDS + step + len(target)], outside)
+        yield low, high, row, context, target
 
 
 def train(documents: DataFrame, text_column: str = "text", rounds: int = ROUNDS, rate: float = RATE) -> Network:
@@ -178,7 +197,7 @@ def train(documents: DataFrame, text_column: str = "text", rounds: int = ROUNDS,
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = np.zeros(ids)
         for batch in batches:
-            for _, _, _, _, target in examples(batch.column(0)):
+            for _, _, _, target in targets(batch.column(0)):
                 totals += np.bincount(target, minlength=ids)
         yield from slot_rows(totals)
 

@@ -297,6 +297,19 @@ def test_quality_rules_and_model_on_labels(spark):
     assert np.mean([a == b for a, b in held]) > 0.9
 
 
+def test_counting_needs_no_context_and_softmax_no_copy():
+    texts = pa.array([None, "a b c", "", "d " * 9])
+    ((low, high, first, target),) = lm_scores.targets(texts)
+    ((_, _, row, context, same),) = lm_scores.examples(texts)
+    assert (low, high, first.tolist()) == (0, 4, [0, 0, 3, 3, 12]) and target.tolist() == same.tolist()
+    assert row.tolist() == [1] * 3 + [3] * 9
+    outside, (a, b, c) = lm_scores.CLASSES**2, target[:3].tolist()
+    assert context[:3].tolist() == [[outside, outside, b, c], [outside, a, c, outside], [a, b, outside, outside]]
+    logits = np.random.default_rng(0).standard_normal((4, 3)).astype(np.float32)
+    shares = np.exp(logits) / np.exp(logits).sum(axis=0)
+    assert lm_scores._softmax(logits) is logits and np.allclose(logits, shares)
+
+
 def test_network_gradient_and_training(spark):
     random_state = np.random.default_rng(0)
     context = random_state.integers(0, lm_scores.CLASSES**2 + 1, (40, 4))
