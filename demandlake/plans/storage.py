@@ -122,9 +122,8 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_second_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two streams with a checkpoint each fill one lake; rows per table and customer of what both left there."""
     base = scratch_path(spark, "second-checkpoint")
-    messages = sample.stored(spark, sample.demand_messages(spark, sf_dir), "two-halves")
-    inactive = F.get_json_object("value", "$.materialDemandIsInactive") == "true"
-    for name, part in (("first", messages.filter(inactive)), ("second", messages.filter(~inactive))):
+    halves = sample.stored_demand_halves(spark, sf_dir, "two-halves")
+    for name, part in zip(("first", "second"), halves):
         topics.land_messages(part, f"{base}/{name}")
         source = topics.topic_stream(spark, f"{base}/{name}")
         start_medallion(source, f"{base}/lake", f"{base}/checkpoint-{name}", as_of=lambda batch: _LOADED_AT).awaitTermination()
@@ -147,9 +146,7 @@ def stream_second_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Materials described by finished orders, then in a second batch by the others: their whole history."""
     base = scratch_path(spark, "history")
-    messages = sample.stored(spark, sample.demand_messages(spark, sf_dir), "history-halves")
-    inactive = F.get_json_object("value", "$.materialDemandIsInactive") == "true"
-    for part in (messages.filter(inactive), messages.filter(~inactive)):
+    for part in sample.stored_demand_halves(spark, sf_dir, "history-halves"):
         topics.land_messages(part, f"{base}/landing")
         source = topics.topic_stream(spark, f"{base}/landing")
         moment = lambda batch: f"2024-01-{batch + 1:02d} 00:00:00"

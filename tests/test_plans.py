@@ -149,3 +149,23 @@ def test_message_counts_of_hot_sources_match_sql(spark, hot_tables, name):
         F.lit("click").alias("event_type"),
     ).write.parquet(f"{hot_tables}/events.parquet")
     assert differences(ingest.QUERIES[name](spark, hot_tables), hot_tables, ingest.ORACLES[name]) == []
+
+
+def test_stored_halves_follow_the_flag_in_the_text(spark, tmp_path):
+    tables_of = {
+        "orders": "VALUES (1, 10, 'F', timestamp'2024-01-01', '1-URGENT'), (2, 11, 'O', timestamp'2024-01-01', '5-LOW'), "
+        "(3, 12, NULL, timestamp'2024-01-01', NULL), (3, 12, 'F', timestamp'2024-01-02', '5-LOW')",
+        "lineitem": "VALUES (1, 5, 6, 1, 2.0D, 'R', 'F', timestamp'2024-02-01'), (3, 5, 6, 1, 3.0D, 'N', 'O', NULL)",
+    }
+    names = {
+        "orders": "o_orderkey, o_custkey, o_orderstatus, o_orderdate, o_orderpriority",
+        "lineitem": "l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_returnflag, l_linestatus, l_shipdate",
+    }
+    for name, values in tables_of.items():
+        spark.sql(f"SELECT * FROM ({values}) AS t({names[name]})").write.parquet(f"{tmp_path}/{name}.parquet")
+    texts = sample.demand_messages(spark, str(tmp_path))
+    flag = F.get_json_object("value", "$.materialDemandIsInactive")
+    halves = sample.stored_demand_halves(spark, str(tmp_path), "halves")
+    for half, expected in zip(halves, ("true", "false")):
+        assert sorted(map(tuple, half.collect())) == sorted(map(tuple, texts.filter(flag == expected).collect()))
+        assert "get_json_object" not in plan(half)
