@@ -18,6 +18,7 @@ from demandlake.streaming.forwarder import quarantine_path, start_forwarder
 from demandlake.streaming.medallion import start_medallion
 
 _LOADED_AT = "2024-01-01 00:00:00"
+_MICRO_BATCHES = 3
 
 
 def write_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,8 +95,10 @@ def stream_micro_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Demand messages in several micro-batches; returns the dimension merged over all of them."""
     messages = sample.demand_messages(spark, sf_dir)
     base = scratch_path(spark, "micro-batches")
-    topics.land_messages(messages.repartition(6), f"{base}/landing")
-    _stream_again(spark, base, files_per_batch=2)
+    # As many files as there are cores to write them, two at least for each micro-batch.
+    files_per_batch = max(2, -(-spark.sparkContext.defaultParallelism // _MICRO_BATCHES))
+    topics.land_messages(messages.repartition(_MICRO_BATCHES * files_per_batch), f"{base}/landing")
+    _stream_again(spark, base, files_per_batch=files_per_batch)
     customers = tables.layer_path(f"{base}/lake", "gold", DEMAND_TOPIC, "DimCustomer")
     return tables.read_table(spark, customers).select("CustomerBPNL", "IsCurrent", "ValidTo")
 

@@ -11,8 +11,9 @@ from demandlake.contracts import COMMENTS_TOPIC, DEMAND_TOPIC
 from demandlake.operators import bronze, gold
 from demandlake.operators import messages as msg
 from demandlake.operators import validation as val
-from demandlake.plans import ingest
+from demandlake.plans import ingest, storage
 from demandlake.plans import sample_messages as sample
+from demandlake.session import scratch_path
 from oracle import differences
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -169,3 +170,13 @@ def test_stored_halves_follow_the_flag_in_the_text(spark, tmp_path):
     for half, expected in zip(halves, ("true", "false")):
         assert sorted(map(tuple, half.collect())) == sorted(map(tuple, texts.filter(flag == expected).collect()))
         assert "get_json_object" not in plan(half)
+
+
+@needs_tables
+def test_micro_batches_are_landed_by_as_many_tasks_as_there_are_cores(spark):
+    base = Path(scratch_path(spark, "x")).parent
+    before = set(base.glob("micro-batches-*"))
+    storage.stream_micro_batches(spark, SF_DIR)
+    (run,) = set(base.glob("micro-batches-*")) - before
+    assert len(list(run.glob("landing/topic=*/*/*.parquet"))) >= spark.sparkContext.defaultParallelism
+    assert len([path for path in run.glob("checkpoint/commits/*") if path.name.isdigit()]) == 3
