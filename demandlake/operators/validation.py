@@ -92,6 +92,14 @@ def _error(field: str, message: str, item: str = str(_WHOLE_FIELD)) -> str:
 _SCALAR_TYPES = {"string": "= 'STRING'", "boolean": "= 'BOOLEAN'", "number": "rlike '^(BIGINT|DECIMAL|DOUBLE|FLOAT)'"}
 _ELEMENTS = "try_variant_get({value}, '$', 'array<variant>')"
 _OBJECT = "try_variant_get({value}, '$', 'map<string,variant>')"
+# Whether a value is a list or an object, whatever it holds: what is inside is neither copied nor converted.
+_IS_LIST = "try_variant_get({value}, '$', 'array<struct<>>') IS NOT NULL"
+_IS_OBJECT = "try_variant_get({value}, '$', 'struct<>') IS NOT NULL"
+
+
+def _reads_elements(rule: FieldRule) -> bool:
+    """Whether the elements of a list are looked at; else all that counts is that the field is one."""
+    return rule.kind == "strings" or rule.unique_items
 
 
 def _read_field(rule: FieldRule) -> str:
@@ -103,10 +111,12 @@ def _read_field(rule: FieldRule) -> str:
     if rule.pattern or rule.choices or rule.max_chars is not None:
         text = f"CASE WHEN schema_of_variant({value}) = 'STRING' THEN try_variant_get({value}, '$', 'string') END"
         parts.append(f"'text', {text}")
-    if rule.kind in ("array", "strings"):
+    if _reads_elements(rule):
         parts.append(f"'elements', {_ELEMENTS.format(value=value)}")
+    elif rule.kind == "array":
+        parts.append(f"'is_list', {_IS_LIST.format(value=value)}")
     if rule.kind == "object":
-        parts.append(f"'is_object', {_OBJECT.format(value=value)} IS NOT NULL")
+        parts.append(f"'is_object', {_IS_OBJECT.format(value=value)}")
     return f"named_struct({', '.join(parts)})"
 
 
@@ -117,8 +127,10 @@ def _violations(rule: FieldRule) -> list[tuple[str, str]]:
         fits = f"{field}.type {_SCALAR_TYPES[rule.kind]}"
     elif rule.kind == "object":
         fits = f"{field}.is_object"
-    else:
+    elif _reads_elements(rule):
         fits = f"{field}.elements IS NOT NULL"
+    else:
+        fits = f"{field}.is_list"
     found = [(f"NOT ({fits})", f"type: {rule.kind}")]
     if rule.pattern:
         found.append((f"NOT ({field}.text rlike {_quoted(_UNIX_LINES + rule.pattern)})", "pattern"))
