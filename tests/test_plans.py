@@ -14,6 +14,7 @@ from demandlake.operators import validation as val
 from demandlake.plans import ingest, storage
 from demandlake.plans import sample_messages as sample
 from demandlake.session import scratch_path
+from demandlake.sources import archive
 from oracle import differences
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -180,3 +181,27 @@ def test_micro_batches_are_landed_by_as_many_tasks_as_there_are_cores(spark):
     (run,) = set(base.glob("micro-batches-*")) - before
     assert len(list(run.glob("landing/topic=*/*/*.parquet"))) >= spark.sparkContext.defaultParallelism
     assert len([path for path in run.glob("checkpoint/commits/*") if path.name.isdigit()]) == 3
+
+
+def test_an_archive_is_written_and_read_in_parts(spark, tmp_path, monkeypatch):
+    """No part lies on disk beside another, and what they hold is counted as a whole."""
+    days = [(order, f"2024-01-{order % 28 + 1:02d}") for order in range(0, 60_000, 10_000)]
+    lines = [(order, 5, supplier, 1, 2.0, 0.5, day) for supplier in (1, 2) for order, day in days]
+    names = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_discount double, l_shipdate string"
+    spark.createDataFrame(lines, names).withColumn("l_shipdate", F.to_timestamp("l_shipdate")).write.parquet(f"{tmp_path}/lineitem.parquet")
+    suppliers = [(key, f"Supplier {key}", 3, 1.0) for key in (1, 2, 3)]
+    spark.createDataFrame(suppliers, "s_suppkey long, s_name string, s_nationkey int, s_acctbal double").write.parquet(f"{tmp_path}/supplier.parquet")
+
+    lying, write = [], archive.write_documents
+
+    def watched(part, topic, location):
+        write(part, topic, location)
+        lying.append(len(list(Path(location).parent.glob("archive*/topic=*/*.json"))))
+
+    monkeypatch.setattr(archive, "write_documents", watched)
+    monkeypatch.setattr(archive, "PART_BYTES", 1, raising=False)
+    monkeypatch.setattr(ingest, "_DOCUMENTS_PER_FILE", 1, raising=False)
+    found = ingest.archive_read(spark, str(tmp_path)).collect()
+    # Two suppliers with a message per block of order numbers, and one without a line.
+    assert lying == [1] * 13
+    assert sorted((*row[:3], str(row[3])) for row in found) == [("CG-1", "Supplier 1", 6, "2024-01-21"), ("CG-2", "Supplier 2", 6, "2024-01-21")]
