@@ -13,6 +13,7 @@ from demandlake.operators import messages as msg
 from demandlake.operators import validation as val
 from demandlake.plans import ingest, storage
 from demandlake.plans import sample_messages as sample
+from demandlake.plans.registry import all_queries
 from demandlake.session import scratch_path
 from demandlake.sources import archive
 from oracle import differences
@@ -205,3 +206,27 @@ def test_an_archive_is_written_and_read_in_parts(spark, tmp_path, monkeypatch):
     # Two suppliers with a message per block of order numbers, and one without a line.
     assert lying == [1] * 13
     assert sorted((*row[:3], str(row[3])) for row in found) == [("CG-1", "Supplier 1", 6, "2024-01-21"), ("CG-2", "Supplier 2", 6, "2024-01-21")]
+
+
+@needs_tables
+def test_the_stream_takes_a_backlog_in_batches_that_go(spark, monkeypatch):
+    base = Path(scratch_path(spark, "x")).parent
+    before = set(base.glob("medallion-*"))
+    monkeypatch.setattr(storage, "_BYTES_PER_BATCH", 1, raising=False)
+    facts = all_queries()["stream_medallion"](spark, SF_DIR)
+    (run,) = set(base.glob("medallion-*")) - before
+    assert len([path for path in run.glob("checkpoint/commits/*") if path.name.isdigit()]) > 1
+    # Each batch took a file, and that of the last stays until another follows.
+    assert len(list(run.glob("landing/topic=*/*/*.parquet"))) == 1
+    assert differences(facts, SF_DIR, storage.ORACLES["stream_medallion"]) == []
+
+
+@needs_tables
+@pytest.mark.parametrize("name, label", [("stream_second_checkpoint", "second-checkpoint"), ("stream_history", "history")])
+def test_stored_halves_go_when_they_have_landed(spark, name, label, monkeypatch):
+    base = Path(scratch_path(spark, "x")).parent
+    before = set(base.glob(f"{label}-*")) | set(base.glob("*-halves-*"))
+    frame = all_queries()[name](spark, SF_DIR)
+    (run,) = (set(base.glob(f"{label}-*")) | set(base.glob("*-halves-*"))) - before
+    assert not (run / "halves").exists()
+    assert differences(frame, SF_DIR, storage.ORACLES[name]) == []

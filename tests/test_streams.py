@@ -184,6 +184,59 @@ def test_forwarder_needs_a_target(spark, folder):
         start_forwarder(None, f"{folder}/outbox", f"{folder}/checkpoint", ["f"], "t", {})
 
 
+def shuffle_files(spark):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {path for path in disk.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in path}
+
+
+def left_over(spark, before):
+    """Shuffle files that were not there before; they are deleted beside the work, so give it a moment."""
+    import time
+
+    for _ in range(50):
+        if not shuffle_files(spark) - before:
+            break
+        time.sleep(0.2)
+    return shuffle_files(spark) - before
+
+
+def test_a_stream_leaves_no_shuffle_files(spark, folder):
+    land(spark, folder, DEMAND_TOPIC, FIRST, "{broken")
+    land(spark, folder, COMMENTS_TOPIC, comment())
+    before = shuffle_files(spark)
+    run(spark, folder)
+    assert gold_table(spark, folder, DEMAND_TOPIC, "FactMaterialDemand").schema
+    assert left_over(spark, before) == set()
+    assert all(name.endswith(".zstd.parquet") for name in written(folder))
+
+
+def test_staged_messages_go_once_bronze_has_them(spark, folder, monkeypatch):
+    from demandlake.streaming import medallion
+
+    seen, promote = [], medallion.promote_layer
+
+    def watched(stored, transform, target, batch_id):
+        seen.append(child_folders(spark, f"{folder}/lake/{medallion.STAGED}/{batch_id}"))
+        return promote(stored, transform, target, batch_id)
+
+    monkeypatch.setattr(medallion, "promote_layer", watched)
+    for _ in range(2):  # a batch tried again finds its messages at the source
+        medallion.process_batch(messages(spark, DEMAND_TOPIC, FIRST, "{broken"), 0, f"{folder}/lake", "2024-01-01 00:00:00")
+    assert seen == [[], []]
+    assert tables.read_table(spark, f"{folder}/lake/quarantine/{DEMAND_TOPIC}").count() == 1
+    assert gold_table(spark, folder, DEMAND_TOPIC, "FactMaterialDemand").count() == 3
+
+
+def test_consumed_files_go_and_are_read_once(spark, folder):
+    for _ in range(3):
+        land(spark, folder, DEMAND_TOPIC, FIRST)
+    for _ in range(2):
+        source = topics.topic_stream(spark, f"{folder}/landing", bytes_per_batch=1, consume=True)
+        start_medallion(source, f"{folder}/lake", f"{folder}/checkpoint").awaitTermination()
+    assert len(written(f"{folder}/landing")) == 1  # of the last batch, until one follows
+    assert gold_table(spark, folder, DEMAND_TOPIC, "FactMaterialDemand").count() == 9
+
+
 def run_second(spark, folder):
     source = topics.topic_stream(spark, f"{folder}/landing-2")
     start_medallion(source, f"{folder}/lake", f"{folder}/checkpoint-2", as_of=lambda batch: "2024-02-01 00:00:00").awaitTermination()
