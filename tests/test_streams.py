@@ -210,6 +210,18 @@ def test_a_stream_leaves_no_shuffle_files(spark, folder):
     assert all(name.endswith(".zstd.parquet") for name in written(folder))
 
 
+def test_landing_in_a_query_leaves_no_shuffle_files(spark, folder):
+    from demandlake.plans import storage
+    from demandlake.session import DROP_SHUFFLES
+
+    before = shuffle_files(spark)
+    setting = spark.conf.get(DROP_SHUFFLES[0], None)
+    storage._land(spark, messages(spark, DEMAND_TOPIC, FIRST, SECOND).repartition(3), f"{folder}/landing")
+    assert left_over(spark, before) == set()
+    assert spark.conf.get(DROP_SHUFFLES[0], None) == setting
+    assert topics.landed_messages(spark, f"{folder}/landing").count() == 2
+
+
 def test_staged_messages_go_once_bronze_has_them(spark, folder, monkeypatch):
     from demandlake.streaming import medallion
 
